@@ -1 +1,8 @@
 """Telemetry analytics on Spark: redaction, deduplication, scopes, batches and delivery reports."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to Python workers by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -45,15 +45,16 @@ def gate_enabled(
 
 def sample(
     df: DataFrame, rate: float, key: str = "event_id", seed: str = "0", portable: bool = True,
-    draw: Column | None = None, keep_dropped: bool = True,
+    draw: Column | None = None, exempt: Column | None = None, keep_dropped: bool = True,
 ) -> DataFrame:
     """Keep a row iff its draw is below ``rate``. The draw depends on the key alone, so a
-    recomputed task decides the same way; ``draw`` (in [0,1)) replaces it."""
+    recomputed task decides the same way; ``draw`` (in [0,1)) replaces it. ``exempt`` rows stay."""
     if draw is not None:
         dropped = draw >= rate
     else:
         number = portable_draw(F.col(key), seed) if portable else fast_draw(F.col(key), seed)
         dropped = number >= round(rate * DRAW_RANGE)
+    dropped = dropped if exempt is None else dropped & ~exempt
     return mark(df, dropped, "sampled", keep_dropped)
 
 

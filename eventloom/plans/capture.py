@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import CaptureConfig, LogConfig
 from ..functions.net import dsn_parts, log_endpoint
+from ..functions.redact import scrub_text
 from ..functions.text import merge_maps
 from ..operators.dedupe import dedupe, with_fingerprint
 from ..operators.delivery import (
@@ -23,7 +24,7 @@ from ..operators.payload import merge_context, to_error_payload
 from ..operators.reports import drop_report
 from ..operators.requests import collect_request_context
 from ..operators.scopes import apply_scope
-from ..operators.scrub import scrub_event, scrub_fatal
+from ..operators.scrub import scrub_event
 from ..operators.slices import ROWS_PER_SLICE
 from ..operators.throttle import throttle
 from ..session import cut_lineage
@@ -44,28 +45,42 @@ class Capture:
 
 def capture_errors(
     events: DataFrame, scopes: DataFrame | None, cfg: CaptureConfig,
-    responses: DataFrame | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+    responses: DataFrame | None = None, lean_rows: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> Capture:
     """Gate, sample, scope, scrub, hook, buffer cap, dedupe, throttle and payload.
 
     Without a hook no verdict depends on scrubbed text, so verdicts are settled on a few narrow
     columns first and only the rows that are sent are joined to their scope and scrubbed.
+
+    With ``lean_rows`` events marked partial skip sampling, scope and hook; only their message
+    and file are scrubbed, and a closed gate drops them without counting them.
     """
-    def enrich(df: DataFrame) -> DataFrame:
-        scoped = df if scopes is None else apply_scope(df, scopes, rows_per_slice)
-        return scrub(scoped)
+    lean = F.coalesce(F.col("partial"), F.lit(False)) if lean_rows else F.lit(False)
 
     def scrub(df: DataFrame) -> DataFrame:
         return scrub_event(df, cfg.fragments, cfg.literals, cfg.max_scan_bytes)
 
+    def enrich(df: DataFrame) -> DataFrame:
+        full = df.where(~lean) if lean_rows else df
+        full = scrub(full if scopes is None else apply_scope(full, scopes, rows_per_slice))
+        return full.unionByName(df.where(lean)) if lean_rows else full
+
     dsn = dsn_parts(F.lit(cfg.dsn).cast("string"))
-    base = gate_enabled(with_verdict(events), cfg.enabled, dsn)
-    base = sample(base, cfg.sample_rate, seed=cfg.sample_seed)
-    if cfg.before_send is not None:
-        live = before_send(
-            enrich(base.where(F.col(REASON).isNull())), cfg.before_send, scrub)
-        base = cut_lineage(live.unionByName(
-            base.where(F.col(REASON).isNotNull()), allowMissingColumns=True), "hooked")
+    base = with_verdict(events)
+    if lean_rows:
+        base = base.withColumns({
+            c: F.when(lean, scrub_text(F.col(c), cfg.literals, cfg.max_scan_bytes))
+            .otherwise(F.col(c)) for c in ("message", "file")})
+        base = mark(base, lean & (F.lit(not cfg.enabled) | dsn.isNull()), "uncounted")
+    base = gate_enabled(base, cfg.enabled, dsn)
+    base = sample(base, cfg.sample_rate, seed=cfg.sample_seed, exempt=lean if lean_rows else None)
+    hooked = cfg.before_send is not None
+    if hooked:
+        shown = F.col(REASON).isNull() & ~lean
+        live = before_send(enrich(base.where(shown)), cfg.before_send, scrub)
+        base = cut_lineage(
+            live.unionByName(base.where(~shown), allowMissingColumns=True), "hooked")
 
     endpoint = [] if responses is None else ["endpoint"]
     verdicts = with_fingerprint(base).select(*KEYS, *endpoint, "timestamp", "fingerprint", REASON)
@@ -81,7 +96,7 @@ def capture_errors(
 
     sent = verdicts.where(F.col(REASON).isNull()).select("flush_id", "seq", "duplicate_count")
     rows = base.drop(REASON).join(sent, ["flush_id", "seq"])
-    rows = rows if cfg.before_send is not None else enrich(rows)
+    rows = rows if hooked else enrich(rows)
     tag = F.create_map(F.lit("duplicate_count"), F.col("duplicate_count").cast("string"))
     rows = rows.withColumn("tags", F.when(
         F.col("duplicate_count").isNotNull(), merge_maps(F.col("tags"), tag)
@@ -114,17 +129,10 @@ def capture_fatals(
     raw: DataFrame, scopes: DataFrame | None, cfg: CaptureConfig,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> Capture:
-    """Errors that ended a process. Out-of-memory rows take a lean way: no scope, sampling or
-    hook, and only message and file are scrubbed; they share the flush with all other rows."""
+    """Errors that ended a process, out-of-memory ones by the lean way. Both kinds share the
+    buffer, the fingerprints and the throttle of their flush."""
     fatal = from_fatals(raw, cfg.environment, cfg.release)
-    other = capture_errors(fatal.where(~F.col("partial")), scopes, cfg, rows_per_slice=rows_per_slice)
-    lean = gate_enabled(
-        with_verdict(fatal.where("partial")), cfg.enabled, dsn_parts(F.lit(cfg.dsn).cast("string")))
-    lean = scrub_fatal(lean, cfg.literals, cfg.max_scan_bytes)
-    lean_sent = lean.where(F.col(REASON).isNull())
-    verdicts = other.verdicts.select(*KEYS, REASON).unionByName(lean.select(*KEYS, REASON))
-    payloads = other.payloads.unionByName(to_error_payload(lean_sent).select(*KEYS, "payload"))
-    return Capture(verdicts, payloads)
+    return capture_errors(fatal, scopes, cfg, lean_rows=True, rows_per_slice=rows_per_slice)
 
 
 def request_context_job(

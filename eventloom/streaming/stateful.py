@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.delivery import is_failure_signal, is_success
 from ..operators.throttle import Bucket, replay
@@ -17,91 +17,85 @@ from ..session import STREAM_SETTINGS
 
 
 def use_state_store(spark) -> None:
+    """State lives in RocksDB, outside the heap of the executors."""
     for key, value in STREAM_SETTINGS.items():
         spark.conf.set(key, value)
 
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
-    """Null keys mix up the state of other keys, so they become ''."""
     return df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
-class _Throttle(StatefulProcessor):
-    def __init__(self, bucket: Bucket, columns: Sequence[str]):
-        self.bucket, self.columns = bucket, list(columns)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("bucket", "level long, last long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        level, last = self.state.get() if self.state.exists() else (self.bucket.full, None)
-        # Rows of one key in one micro-batch, whose size the source's trigger options bound.
-        frame = pd.concat(list(rows)).sort_values("seq")
-        allowed, level, last = replay(self.bucket, level, last, frame["__us"].tolist())
-        self.state.update((int(level), int(last)))
-        yield frame[self.columns].assign(allowed=allowed)
-
-    def close(self) -> None:
-        pass
-
-
 def stream_throttle(
     events: DataFrame, key: str = "sender_id", rate: str | int | Fraction = "10", burst: int = 20,
     ts: str = "ts", columns: Sequence[str] = ("event_id", "seq"),
 ) -> DataFrame:
     """Token bucket per key across micro-batches; adds ``allowed`` to ``columns``.
 
-    Rows of a micro-batch are decided in ``seq`` order; rows older than the last one decided
-    gain no tokens.
+    Rows of a micro-batch are decided in ``seq`` order; rows older than the last one decided gain
+    no tokens. The rows of one key in one micro-batch are sorted in one task, so the trigger
+    limits of the source bound its memory. Null keys share one bucket.
     """
     use_state_store(events.sparkSession)
+    bucket, columns = Bucket.of(rate, burst), list(columns)
     shown = _keyed(events, key).select(
         "__key", *dict.fromkeys([*columns, "seq"]),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("__us"))
-    out = T.StructType([shown.schema[c] for c in columns] + [T.StructField("allowed", T.BooleanType())])
-    return shown.groupBy("__key").transformWithStateInPandas(
-        _Throttle(Bucket.of(rate, burst), columns), out, "Append", "None")
+    out = T.StructType([shown.schema[c] for c in columns]).add("allowed", T.BooleanType())
 
+    def decide(_, frames, state):
+        level, last = state.get if state.exists else (bucket.full, None)
+        rows = pd.concat(list(frames)).sort_values("seq")
+        allowed, level, last = replay(bucket, level, last, rows["__us"].tolist())
+        state.update((level, last))
+        yield rows[columns].assign(allowed=allowed)
 
-class _Alerts(StatefulProcessor):
-    def __init__(self, threshold: int, ttl_ms: int):
-        self.threshold, self.ttl_ms = threshold, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("run", "failures long", self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        failures = self.state.get()[0] if self.state.exists() else 0
-        frame = pd.concat(list(rows)).sort_values("seq")
-        fired = []
-        for r in frame.itertuples(index=False):
-            if r.good:
-                failures = 0
-            elif r.bad:
-                failures += 1
-                if failures == self.threshold:
-                    fired.append((key[0], r.seq, failures))
-        self.state.update((int(failures),))
-        if fired:
-            yield pd.DataFrame(fired, columns=["endpoint", "seq", "failures"])
-
-    def close(self) -> None:
-        pass
+    return shown.groupBy("__key").applyInPandasWithState(
+        decide, out, "level long, last long", "append", GroupStateTimeout.NoTimeout)
 
 
 def failure_alerts(
-    attempts: DataFrame, threshold: int = 5, endpoint: str = "endpoint", open_seconds: int = 60
+    attempts: DataFrame, threshold: int = 5, endpoint: str = "endpoint", open_seconds: int = 60,
+    ts: str = "ts", delay: str = "1 hour",
 ) -> DataFrame:
     """One row whenever an endpoint reaches ``threshold`` consecutive failure signals.
 
-    A success clears the run; state of a silent endpoint expires as late as an hour or four open
-    periods, whichever is longer.
+    A success clears the run, and so does a silence of an hour or four open periods, whichever
+    is longer. Time is event time: the state of an endpoint leaves once the watermark has passed
+    the end of its silence.
     """
     use_state_store(attempts.sparkSession)
     code = F.col("status")
-    shown = _keyed(attempts, endpoint).select(
-        "__key", "seq", is_success(code).alias("good"), is_failure_signal(code).alias("bad"))
-    ttl_ms = max(3600, 4 * open_seconds) * 1000
-    return shown.groupBy("__key").transformWithStateInPandas(
-        _Alerts(threshold, ttl_ms), "endpoint string, seq long, failures long",
-        "Append", "ProcessingTime")
+    shown = _keyed(attempts.withWatermark(ts, delay), endpoint).select(
+        "__key", "seq", ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+        is_success(code).alias("good"), is_failure_signal(code).alias("bad"))
+    keep = max(3600, 4 * open_seconds)
+
+    def watch(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        failures, last = state.get if state.exists else (0, None)
+        rows = pd.concat(list(frames)).sort_values("seq")
+        fired = []
+        for seq, us, good, bad in zip(rows["seq"], rows["us"], rows["good"], rows["bad"]):
+            if not (good or bad):
+                continue
+            second = us // 1_000_000
+            if good or (last is not None and second - last > keep):
+                failures = 0
+            last = second
+            if bad:
+                failures += 1
+                if failures == threshold:
+                    fired.append((key[0], seq, failures))
+        if last is not None:
+            state.update((failures, int(last)))
+            ends = (last + keep + 1) * 1000
+            state.setTimeoutTimestamp(int(max(ends, state.getCurrentWatermarkMs() + 1)))
+        if fired:
+            yield pd.DataFrame(fired, columns=["endpoint", "seq", "failures"])
+
+    return shown.groupBy("__key").applyInPandasWithState(
+        watch, "endpoint string, seq long, failures long", "failures long, last long", "append",
+        GroupStateTimeout.EventTimeTimeout)
