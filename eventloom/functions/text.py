@@ -50,7 +50,7 @@ def timestamp_text(col: Column) -> Column:
 def _double_text(col: Column) -> Column:
     """A double with up to 14 significant digits: plain between 1e-4 and 1e14, else d.dE+x."""
     sci = F.format_string("%.13e", col)
-    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).cast("int")
+    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).try_cast("int")
     sign = F.when(F.startswith(sci, F.lit("-")), "-").otherwise("")
     digits = F.regexp_replace(F.regexp_extract(sci, r"^-?([\d.]+)e", 1), r"\.", "")
     short = F.regexp_replace(digits, "0+$", "")
@@ -69,7 +69,7 @@ def _double_text(col: Column) -> Column:
         .when(col == float("inf"), "INF")
         .when(col == float("-inf"), "-INF")
         .when(col == 0, F.when(F.startswith(col.cast("string"), F.lit("-")), "-0").otherwise("0"))
-        .when((exponent < -4) | (exponent > 14), F.concat(sign, mantissa, F.lit("E"), power))
+        .when((exponent < -4) | (exponent > 13), F.concat(sign, mantissa, F.lit("E"), power))
         .otherwise(plain)
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import DRAW_RANGE, fast_draw, portable_draw
 from ..functions.levels import FATAL_MASK
 from ..functions.text import in_order
+from .slices import numbered
 
 REASON = "drop_reason"
 
@@ -85,11 +86,25 @@ def fatal_only(df: DataFrame, errno: str = "errno") -> DataFrame:
     return df.where(F.col(errno).bitwiseAND(F.lit(FATAL_MASK)) != 0)
 
 
-def first_n(df: DataFrame, n: int, group: str = "flush_id", order: str = "seq") -> DataFrame:
-    """The first ``n`` rows of each group. The limit also runs before the shuffle, so no task
-    receives more than ``n`` rows of a group from any other."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+# Spark trims groups before the shuffle for rank limits up to its default of 1000.
+MAX_RANK_LIMIT = 1000
+
+
+def first_n(
+    df: DataFrame, n: int, group: str = "flush_id", order: str = "seq", descending: bool = False
+) -> DataFrame:
+    """The first (or last) ``n`` rows of each group by ``order``, which is unique there.
+
+    Small limits also run before the shuffle, so no task receives more than ``n`` rows of a group
+    from any other; for larger ones the rows of large groups are numbered in slices.
+    """
+    if n <= MAX_RANK_LIMIT:
+        by = F.desc(order) if descending else F.asc(order)
+        rank = F.row_number().over(Window.partitionBy(group).orderBy(by))
+        return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+    keys = df.select(group, order, (F.col(order) * (-1 if descending else 1)).alias("__order"))
+    kept = numbered(keys, [group], "__order", "__place").where(F.col("__place") < n)
+    return df.join(kept.select(group, order), [group, order], "left_semi")
 
 
 def buffer_cap(
@@ -114,11 +129,8 @@ def last_n(
     output: str = "breadcrumbs", value: Column | None = None,
 ) -> DataFrame:
     """The most recent ``n`` rows of each group as one array in their original order."""
-    n = max(1, n)
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(order)))
     value = F.struct(*[c for c in df.columns if c != group]) if value is None else value
-    kept = (df.select(group, order, value.alias("__value"))
-            .withColumn("__rank", rank).where(F.col("__rank") <= n))
+    kept = first_n(df.select(group, order, value.alias("__value")), max(1, n), group, order, True)
     items = F.collect_list(F.struct(F.col(order).alias("o"), F.col("__value").alias("v")))
     dtype = kept.schema["__value"].dataType
     return kept.groupBy(group).agg(in_order(items, dtype, "o", "v").alias(output))

@@ -3,10 +3,11 @@
 A bucket starts full, refills with time up to its burst and pays one token per allowed row. All
 arithmetic is on integers: with a rate of ``p/q`` tokens per microsecond one token is ``q`` units.
 
-Rows of a large key are cut into slices. What a slice does to the bucket is a step function of
-the level it starts with: few linear pieces, because two start levels that differ by less than
-one token can differ by at most one allowed row. Pieces of all slices run in parallel, one small
-row per slice is chained along the key, and the slices are then replayed from their true levels.
+Rows of a large key are cut into slices. What a slice does to the bucket is a piecewise linear
+function of the level it starts with; equal neighbours merge as rows are added, which keeps it at
+some tens of pieces however many rows the slice has. The functions of all slices are computed in
+parallel, one small row per slice is chained along the key, and the slices are then replayed from
+their true levels.
 """
 
 from __future__ import annotations

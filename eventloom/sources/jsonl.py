@@ -24,7 +24,9 @@ def read_events_jsonl(
 
     ``context_schema=None`` leaves the context as JSON text.
     """
-    raw = spark.read.schema(EVENT_LINE).option("mode", "PERMISSIVE").json(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    line = F.from_json("value", EVENT_LINE, options)
+    raw = spark.read.text(path).where(F.col("value") != "").select(line.alias("e")).select("e.*")
     context = F.col("context")
     if context_schema is not None:
         context = F.from_json(
