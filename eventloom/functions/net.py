@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip_blanks
+from .text import bind, strip_blanks
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IPV4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
@@ -31,31 +31,42 @@ def _ipv6_sides(text: Column) -> tuple[Column, Column]:
             .otherwise(F.array().cast("array<string>")))
 
 
-def is_ipv6(col: Column) -> Column:
-    text = _ipv6_hex(col)
+def _is_ipv6_text(text: Column) -> Column:
     left, right = _ipv6_sides(text)
     count = F.size(left) + F.size(right)
     shaped = text.rlike(rf"\A(?:{_GROUPS})?(?:::(?:{_GROUPS})?)?\z")
     fits = F.when(F.contains(text, F.lit("::")), count <= 7).otherwise(count == 8)
-    return F.contains(col, F.lit(":")) & shaped & fits
+    return F.contains(text, F.lit(":")) & shaped & fits
+
+
+def is_ipv6(col: Column) -> Column:
+    return bind(_ipv6_hex(col), _is_ipv6_text)
 
 
 def is_ip(col: Column) -> Column:
     return is_ipv4(col) | is_ipv6(col)
 
 
-def anonymize_ip(col: Column) -> Column:
-    """IPv4 with a zero last octet, IPv6 cut to 48 bits in canonical text, else null."""
-    left, right = _ipv6_sides(_ipv6_hex(col))
+def _ipv6_prefix(text: Column) -> Column:
+    """The first 48 bits in canonical text."""
+    left, right = _ipv6_sides(text)
     gap = F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - F.size(left) - F.size(right)))
     head = F.transform(
         F.slice(F.concat(left, gap, right), 1, 3),
         lambda g: F.regexp_replace(F.lower(g), r"\A0+(?=.)", ""))
-    prefix = F.regexp_replace(F.concat(F.array_join(head, ":"), F.lit(":")), r"(?<![^:])(?:0:)+\z", "")
-    return (
-        F.when(is_ipv4(col), F.concat(F.substring_index(col, ".", 3), F.lit(".0")))
-        .when(is_ipv6(col), F.when(prefix == "", "::").otherwise(F.concat(prefix, F.lit(":"))))
-    )
+    prefix = F.regexp_replace(
+        F.concat(F.array_join(head, ":"), F.lit(":")), r"(?<![^:])(?:0:)+\z", "")
+    return F.concat(F.when(prefix == "", ":").otherwise(prefix), F.lit(":"))
+
+
+def anonymize_ip(col: Column) -> Column:
+    """IPv4 with a zero last octet, IPv6 cut to 48 bits in canonical text, else null."""
+    def masked(ip: Column) -> Column:
+        v6 = bind(_ipv6_hex(ip), lambda t: F.when(_is_ipv6_text(t), _ipv6_prefix(t)))
+        return (F.when(F.contains(ip, F.lit(":")), v6)
+                .when(is_ipv4(ip), F.concat(F.substring_index(ip, ".", 3), F.lit(".0"))))
+
+    return bind(col, masked)
 
 
 def client_ip(forwarded: Column, real: Column, remote: Column) -> Column:

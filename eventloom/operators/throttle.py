@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -104,14 +105,15 @@ def apply_pieces(pieces, level: int) -> int:
     return slope * level + offset
 
 
-def _runs(frame: pd.DataFrame, columns: list[str]):
-    """Consecutive stretches of equal values in ``columns`` of a sorted frame."""
+def _runs(frame: pd.DataFrame):
+    """Bounds of consecutive rows of one key and slice in a sorted frame."""
     if len(frame) == 0:
         return
-    changed = (frame[columns] != frame[columns].shift()).any(axis=1).to_numpy().nonzero()[0]
-    stops = [*changed[1:], len(frame)]
-    for start, stop in zip(changed, stops):
-        yield tuple(frame[columns].iloc[start]), frame.iloc[start:stop]
+    keys, slices = frame["key"].to_numpy(), frame[SLICE].to_numpy()
+    changed = np.flatnonzero((keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])) + 1
+    bounds = [0, *changed.tolist(), len(frame)]
+    for start, stop in zip(bounds, bounds[1:]):
+        yield (keys[start], slices[start]), start, stop
 
 
 def _slice_pieces(bucket: Bucket):
@@ -125,13 +127,13 @@ def _slice_pieces(bucket: Bucket):
                 "offsets": [[p[2] for p in pieces]]})
 
         for frame in frames:
-            for name, part in _runs(frame, ["key", SLICE]):
-                times = part["us"].tolist()
+            us = frame["us"].tolist()
+            for name, start, stop in _runs(frame):
                 if name != current:
                     if current is not None:
                         yield row()
-                    current, pieces, last, first = name, None, None, times[0]
-                pieces, last = level_pieces(bucket, times, pieces, last)
+                    current, pieces, last, first = name, None, None, us[start]
+                pieces, last = level_pieces(bucket, us[start:stop], pieces, last)
         if current is not None:
             yield row()
 
@@ -164,13 +166,13 @@ def _replay(bucket: Bucket):
         current, level, last = None, bucket.full, None
         for frame in frames:
             decided = []
-            for name, part in _runs(frame, ["key", SLICE]):
-                times = part["us"].tolist()
+            us, kinds = frame["us"].tolist(), frame["kind"].tolist()
+            for name, start, stop in _runs(frame):
                 if name != current:
                     current, level, last = name, bucket.full, None
-                    if part["kind"].iloc[0] == 0:
-                        level, times = times[0], times[1:]
-                allowed, level, last = replay(bucket, level, last, times)
+                    if kinds[start] == 0:
+                        level, start = us[start], start + 1
+                allowed, level, last = replay(bucket, level, last, us[start:stop])
                 decided += allowed
             rows = frame[frame["kind"] == 1]
             yield pd.DataFrame({"key": rows["key"], "seq": rows["seq"], "allowed": decided})

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import in_order
+from ..session import cut_lineage
 from .slices import ROWS_PER_SLICE, running, spread_join
 
 
@@ -36,6 +37,8 @@ def attach_trail(
         {"__count": (is_crumb.cast("int"), None),
          "__held": (is_crumb.cast("int"), F.col("__kind") == "reset")},
         rows_per_slice=rows_per_slice, carry_columns=["__kind"])
+    # Read three times below: written once instead of numbered three times.
+    line = cut_lineage(line, "trail")
 
     here = F.floor(F.col("__count") / n)
     blocks = (
