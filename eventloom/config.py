@@ -30,6 +30,8 @@ class CaptureConfig:
     max_buffered_events: int = 100
     fragments: tuple[str, ...] = DEFAULT_FRAGMENTS
     max_scan_bytes: int | None = 8192
+    fingerprint_message: bool = False
+    session_hash_salt: str | None = None
     before_send: Callable[[DataFrame], DataFrame] | None = None
     events_per_second: str = "10"
     burst: int = 20
@@ -43,6 +45,17 @@ class CaptureConfig:
     def literals(self) -> tuple[str, ...]:
         return tuple(v for v in (self.dsn, self.api_key) if v)
 
+    @property
+    def salt(self) -> str:
+        """The key for session hashes: the given one, else a digest of the DSN."""
+        if self.session_hash_salt:
+            return self.session_hash_salt
+        if not self.dsn:
+            raise ValueError("session hashes need a salt or a DSN")
+        import xxhash
+
+        return xxhash.xxh128_hexdigest(self.dsn.strip(" \t\n\r\0\x0b"))
+
 
 @dataclass(frozen=True)
 class LogConfig:

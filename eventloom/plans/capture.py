@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -83,7 +83,8 @@ def capture_errors(
             live.unionByName(base.where(~shown), allowMissingColumns=True), "hooked")
 
     endpoint = [] if responses is None else ["endpoint"]
-    verdicts = with_fingerprint(base).select(*KEYS, *endpoint, "timestamp", "fingerprint", REASON)
+    printed = with_fingerprint(base, cfg.fingerprint_message)
+    verdicts = printed.select(*KEYS, *endpoint, "timestamp", "fingerprint", REASON)
     verdicts = dedupe(buffer_cap(verdicts, cfg.max_buffered_events))
     verdicts = cut_lineage(verdicts, "verdicts")
     if responses is not None:
@@ -136,14 +137,21 @@ def capture_fatals(
     return capture_errors(fatal, scopes, cfg, lean_rows=True, rows_per_slice=rows_per_slice)
 
 
+def with_collected_context(
+    events: DataFrame, collector: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Run a function that adds a ``collected`` context and lay it under the events' own."""
+    return merge_context(collector(events), "collected")
+
+
 def request_context_job(
     requests: DataFrame, fragments: Sequence[str], salt: str, runtime: str
 ) -> DataFrame:
     """Collected request context, under the event's own context where the rows carry one."""
     if "context" not in requests.columns:
         return collect_request_context(requests, fragments, salt, runtime)
-    collected = collect_request_context(requests, fragments, salt, runtime, "__collected")
-    return merge_context(collected, "__collected")
+    return with_collected_context(
+        requests, lambda df: collect_request_context(df, fragments, salt, runtime, "collected"))
 
 
 def delivery_report(

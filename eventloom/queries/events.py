@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hmac_sha256
 from ..functions.levels import errno_name, errno_severity, log_level, severity
+from ..functions.text import empty_map
 from ..operators.dedupe import dedupe, issue_rollup, with_fingerprint
 from ..operators.events import from_exceptions, from_fatals, from_messages, from_raw_errors
 from ..operators.gates import before_send, buffer_cap, gate_enabled, last_n, sample
-from ..operators.payload import promote_context, stringify_tags, to_error_payload
+from ..operators.payload import event_to_row, promote_context, stringify_tags, to_error_payload
 from ..operators.reports import drop_report, health_rollup, merge_reports, rollup_reports
 from ..operators.scrub import scrub_event
 from ..plans import views
@@ -430,6 +431,27 @@ def jsonl(spark, sf):
         F.col("context.url").alias("url"), F.col("context.extra.k").alias("extra_k"), "partial")
 
 
+@query("event_rows", f"""
+WITH {EV}
+SELECT event_id, '{{"kind":"' || type || '","api_token":"' || seq || '"}}' AS tags, '[]' AS empty_tags,
+       '["info",{{"k":"' || k || '"}},"' || strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') || '"]' AS crumb,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS timestamp FROM ev""")
+def rows(spark, sf):
+    """Maps as JSON text, an empty one as []; breadcrumbs with text timestamps."""
+    ev = views.ev(spark, sf)
+    crumb = F.struct(
+        F.lit("c").alias("category"), F.lit("m").alias("message"), F.lit("info").alias("level"),
+        F.create_map(F.lit("k"), F.col("k").cast("string")).alias("data"), F.col("ts").alias("timestamp"))
+    events = views.full_events(ev).join(ev.select("event_id", crumb.alias("crumb")), "event_id")
+    events = events.withColumn("breadcrumbs", F.array("crumb"))
+    out = event_to_row(events.withColumn("type", F.col("event_id").cast("string")))
+    none = event_to_row(events.withColumns({"tags": empty_map(), "type": F.col("event_id").cast("string")}))
+    c = F.col("breadcrumbs")[0]
+    text = F.concat(F.lit('["'), c["level"], F.lit('",'), F.to_json(c["data"]), F.lit(',"'), c["timestamp"], F.lit('"]'))
+    return out.select(F.col("type").cast("long").alias("event_id"), "tags", text.alias("crumb"), "timestamp").join(
+        none.select(F.col("type").cast("long").alias("event_id"), F.col("tags").alias("empty_tags")), "event_id")
+
+
 @query("error_bodies", f"""
 WITH {EV}
 SELECT event_id, 'https://ingest.example.com:8443/api/v1/errors' AS url, 'proj1' AS project_id, true AS has_api_key,

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import DEFAULT_FRAGMENTS
 from ..functions.net import anonymize_ip
 from ..functions.redact import scrub_query_string, scrub_text, scrub_url
 from ..functions.text import cap_bytes
-from ..operators.requests import collect_request_context
+from ..operators.requests import collect_request_context, pseudonymize_session, with_client_ip
 from ..operators.routing import route_by_dsn, route_by_log_endpoint
-from ..operators.scrub import scrub_fields
+from ..operators.scrub import scrub_event, scrub_fatal, scrub_fields
 from ..plans import views
+from .events import PADS
 from .registry import EV, query
 
 TOKEN_SQL = """CASE {k} % 7
@@ -191,6 +193,59 @@ def request_context(spark, sf):
         F.size(c["server"]).cast("long").alias("members"))
 
 
+@query("client_ip", """
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN '198.51.100.' || (page_id % 256) WHEN 2 THEN 'garbage'
+  ELSE '2001:DB8:' || printf('%x', page_id % 16) || '::' || printf('%x', page_id) END AS client_ip FROM pages""")
+def first_hop(spark, sf):
+    return with_client_ip(views.req(spark, sf)).select("page_id", "client_ip")
+
+
+@query("pseudonymize_session", f"""
+SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN sha256(unhex('{PADS["outer"]}') || unhex(sha256(
+         unhex('{PADS["inner"]}') || encode('sess-' || CAST(page_id AS VARCHAR))))) END AS session_hash
+FROM pages""")
+def sessions(spark, sf):
+    return pseudonymize_session(views.req(spark, sf), "my-test-salt").select("page_id", "session_hash")
+
+
+@query("scrub_event", f"""
+WITH {EV}
+SELECT event_id, message || CASE WHEN k % 4 = 0 THEN ' key [REDACTED]' ELSE '' END AS message,
+       type AS kind, '[REDACTED]' AS api_token, '/evt?page=' || k || '&token=t' || seq AS url,
+       '[REDACTED]' AS auth_code, CAST(k AS VARCHAR) AS extra_k, '[REDACTED] seen' AS crumb,
+       '[REDACTED]' AS crumb_password FROM ev""")
+def whole_event(spark, sf):
+    """Message and breadcrumbs by token, context, tags and breadcrumb data by name."""
+    crumb = F.struct(
+        F.lit("c").alias("category"),
+        F.concat(F.lit("pk_"), F.col("seq").cast("string"), F.lit(" seen")).alias("message"),
+        F.lit("info").alias("level"),
+        F.create_map(F.lit("password"), F.col("seq").cast("string")).alias("data"),
+        F.col("ts").alias("timestamp"))
+    events = views.full_events(views.ev(spark, sf)).withColumn("breadcrumbs", F.array(crumb))
+    out = scrub_event(events, DEFAULT_FRAGMENTS)
+    at = lambda col, key: F.try_element_at(F.col(col), F.lit(key))
+    return out.select(
+        "event_id", "message", at("tags", "kind").alias("kind"), at("tags", "api_token").alias("api_token"),
+        "context.url", at("context.extra", "auth_code").alias("auth_code"),
+        at("context.extra", "k").alias("extra_k"), F.col("breadcrumbs")[0]["message"].alias("crumb"),
+        F.try_element_at(F.col("breadcrumbs")[0]["data"], F.lit("password")).alias("crumb_password"))
+
+
+@query("scrub_fatal", f"""
+WITH {EV}
+SELECT event_id, message || ' [REDACTED]' AS message, file || '?[REDACTED]' AS file, CAST(seq AS VARCHAR) AS api_token FROM ev""")
+def lean_event(spark, sf):
+    """Message and file only; the tags keep their secrets."""
+    ev = views.ev(spark, sf)
+    rows = ev.select(
+        "event_id", F.concat("message", F.lit(" Bearer x.y")).alias("message"),
+        F.concat("file", F.lit("?ghp_abc")).alias("file"),
+        F.create_map(F.lit("api_token"), F.col("seq").cast("string")).alias("tags"))
+    return scrub_fatal(rows).select(
+        "event_id", "message", "file", F.try_element_at("tags", F.lit("api_token")).alias("api_token"))
+
+
 DSN_SQL = """
 d AS (
   SELECT page_id, regexp_extract(url, '://([^/]*)', 1) AS host FROM pages),

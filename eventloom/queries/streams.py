@@ -15,9 +15,11 @@ from .registry import DL, EV, FP, query, throttle_sql
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream. The bracket makes the path a pattern, so it may be a file or a folder."""
+    """A table as a stream, a gigabyte per micro-batch. The bracket makes the path a pattern, so
+    it may be a file or a folder."""
     schema = views.table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", 1 << 30)
+    return reader.parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
 
 
 def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:

@@ -327,3 +327,17 @@ def test_interpolation_uses_raw_context(spark):
     df = spark.createDataFrame([("{token}", {"token": "t"})], "message string, context map<string,string>")
     assert interpolate_messages(df).head()["message"] == "t"
     assert interpolate_messages(df, ("token",)).head()["message"] == "[REDACTED]"
+
+
+def test_config():
+    cfg = CaptureConfig(dsn="https://h/p", api_key="k", sample_rate=3, max_buffered_events=0)
+    assert (cfg.sample_rate, cfg.max_buffered_events, cfg.literals) == (1.0, 1, ("https://h/p", "k"))
+    assert len(cfg.salt) == 32 and CaptureConfig(session_hash_salt="s").salt == "s"
+    with pytest.raises(ValueError):
+        CaptureConfig().salt
+
+
+def test_capture_with_fingerprinted_messages(spark):
+    df = events(spark, event(1, message="a"), event(2, message="b"), event(3, message="b"))
+    out = capture_errors(df, None, CaptureConfig(dsn="https://h/p", fingerprint_message=True))
+    assert [r["drop_reason"] for r in out.verdicts.orderBy("seq").collect()] == [None, None, "dedup"]
