@@ -10,9 +10,12 @@ holds less than a ``MAX_HOT_KEYS``-th of all rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 4_000_000
 MAX_HOT_KEYS = 10_000
@@ -63,7 +66,8 @@ def running(
     read, so that the carry-over branch scans nothing else.
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
-    keys = list(keys)
+    columns = df.columns
+    df, keys = _without_nulls(df, keys)
     needed = df if carry_columns is None else df.select(*dict.fromkeys([*keys, seq, *carry_columns]))
     sliced = with_slice(df, keys, seq, rows_per_slice)
     rows = _inside_slice(sliced, keys, seq, sums, lasts)
@@ -78,7 +82,21 @@ def running(
             own + F.coalesce(carry, F.lit(0))).cast("long")
     for name in lasts:
         out[name] = F.coalesce(F.col(f"__own_{name}"), F.col(f"__carry_{name}"))
-    return joined.select(*df.columns, *[c.alias(name) for name, c in out.items()])
+    return joined.select(*columns, *[c.alias(name) for name, c in out.items()])
+
+
+def _without_nulls(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Stand-ins for the keys that are never null, as joins would not match null keys: rows
+    without a key form a group like any other and may be large."""
+    added = {}
+    for i, key in enumerate(keys):
+        dtype = df.schema[key].dataType
+        plain = isinstance(dtype, (T.StringType, T.NumericType))
+        value = F.col(key) if plain else F.col(key).cast("string")
+        blank = F.lit(0).cast(dtype) if isinstance(dtype, T.NumericType) else F.lit("")
+        added[f"__key{i}"] = F.coalesce(value, blank)
+        added[f"__null{i}"] = F.col(key).isNull()
+    return df.withColumns(added), list(added)
 
 
 def _inside_slice(sliced, keys, seq, sums, lasts):
@@ -150,9 +168,12 @@ def spread_join(
     The matching right rows are repeated once per part, and only for those keys.
     """
     keys = list(keys)
-    hot = hot_keys(left.select(*keys), keys, rows_per_slice)
-    part = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col(_PARTS)), F.lit(0))
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
+    hot = hot_keys(left.select(*keys).dropna(), keys, rows_per_slice)
+    # Rows without a key match nothing, so any part will do; many parts spread them.
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    part = F.when(no_key, F.xxhash64(spread_by)).otherwise(
+        F.coalesce(F.pmod(F.xxhash64(spread_by), F.col(_PARTS)), F.lit(0)))
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
     many = left.join(F.broadcast(hot), keys, "left").withColumn("__part", part).drop(_PARTS)
     few = right.join(F.broadcast(hot), keys, "left").withColumn("__part", copies).drop(_PARTS)
     return many.join(few, [*keys, "__part"], how).drop("__part")

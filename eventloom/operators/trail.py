@@ -31,6 +31,8 @@ def attach_trail(
     if resets is not None:
         line = line.unionByName(resets.select(scope, seq, F.lit("reset").alias("__kind"), nothing))
 
+    line = line.where(F.col(scope).isNotNull())  # an event without a scope has no trail
+
     is_crumb = F.col("__kind") == "crumb"
     line = running(
         line, [scope], seq,

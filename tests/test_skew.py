@@ -39,14 +39,19 @@ def test_running(spark, rows_per_slice):
     assert {r["seq"]: (r["total"], r["since"], r["last"]) for r in out.collect()} == expected
 
 
-def test_running_with_null_key(spark):
-    df = spark.range(300).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("seq"))
-    assert [r["n"] for r in numbered(df, ["k"], "seq", "n", 10).orderBy("seq").collect()] == list(range(300))
+@pytest.mark.parametrize("dtype", ["string", "long", "date"])
+def test_running_with_null_key(spark, dtype):
+    blank = {"string": "", "long": 0, "date": dt.date(1970, 1, 1)}[dtype]
+    rows = [(None, i) for i in range(300)] + [(blank, 300 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, f"k {dtype}, seq long")
+    got = [r["n"] for r in numbered(df, ["k"], "seq", "n", 10).orderBy("seq").collect()]
+    assert got == [*range(300), *range(50)]
 
 
 def test_spread_join(spark):
     rng = random.Random(1)
-    left = spark.createDataFrame(list(skewed(rng, 2000)), "k string, seq long")
+    rows = [*skewed(rng, 2000), *[(None, -i) for i in range(400)]]
+    left = spark.createDataFrame(rows, "k string, seq long")
     right = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, w int")
     for how in ("left", "inner"):
         got = spread_join(left, right, ["k"], "seq", how, 100)
