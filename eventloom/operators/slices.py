@@ -38,8 +38,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int, *extra: Co
 
 def with_slice(df: DataFrame, keys: Sequence[str], seq: str, rows_per_slice: int) -> DataFrame:
     """Add the slice number: 0 for ordinary keys, equal widths of ``seq`` from 1 on for large ones."""
+    # The same narrow input in every branch lets Spark compute the list once.
     bounds = hot_keys(
-        df, keys, rows_per_slice, F.min(seq).alias("__low"), F.max(seq).alias("__high"))
+        df.select(*keys, seq), keys, rows_per_slice, F.min(seq).alias("__low"), F.max(seq).alias("__high"))
     width = F.greatest(F.lit(1), F.ceil((F.col("__high") - F.col("__low") + 1) / F.col(_PARTS)))
     number = F.floor((F.col(seq) - F.col("__low")) / width) + 1
     return (
