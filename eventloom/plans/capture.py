@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CaptureConfig, LogConfig
@@ -17,7 +17,8 @@ from ..operators.delivery import (
     classify_outcomes, failure_runs, is_success, suppress_events)
 from ..operators.events import from_fatals
 from ..operators.gates import (
-    REASON, before_send, buffer_cap, first_n, gate_enabled, mark, sample, with_verdict)
+    MAX_RANK_LIMIT, REASON, before_send, buffer_cap, first_n, gate_enabled, mark, sample,
+    with_verdict)
 from ..operators.logs import (
     build_log_batches, build_log_records, interpolate_messages, to_log_wire)
 from ..operators.payload import merge_context, to_error_payload
@@ -43,6 +44,24 @@ class Capture:
         return drop_report(self.verdicts, by)
 
 
+def _cap_and_dedupe(rows: DataFrame, n: int) -> DataFrame:
+    """``dedupe(buffer_cap(rows, n))`` with one join instead of two: after a small cap a flush is
+    short enough to number its copies where the cap has already brought it together."""
+    if n > MAX_RANK_LIMIT:
+        return dedupe(buffer_cap(rows, n))
+    live = rows.where(F.col(REASON).isNull()).select("flush_id", "seq", "fingerprint")
+    copies = Window.partitionBy("flush_id", "fingerprint")
+    kept = first_n(live, n).select(
+        "flush_id", "seq",
+        F.row_number().over(copies.orderBy("seq")).alias("__copy"),
+        F.count(F.lit(1)).over(copies).alias("__copies"))
+    judged = rows.join(kept, ["flush_id", "seq"], "left")
+    judged = mark(mark(judged, F.col("__copy").isNull(), "buffer"), F.col("__copy") > 1, "dedup")
+    first_of_many = F.col(REASON).isNull() & (F.col("__copies") > 1)
+    return judged.select(
+        *rows.columns, F.when(first_of_many, F.col("__copies")).alias("duplicate_count"))
+
+
 def capture_errors(
     events: DataFrame, scopes: DataFrame | None, cfg: CaptureConfig,
     responses: DataFrame | None = None, lean_rows: bool = False,
@@ -85,7 +104,7 @@ def capture_errors(
     endpoint = [] if responses is None else ["endpoint"]
     printed = with_fingerprint(base, cfg.fingerprint_message)
     verdicts = printed.select(*KEYS, *endpoint, "timestamp", "fingerprint", REASON)
-    verdicts = dedupe(buffer_cap(verdicts, cfg.max_buffered_events))
+    verdicts = _cap_and_dedupe(verdicts, cfg.max_buffered_events)
     verdicts = cut_lineage(verdicts, "verdicts")
     if responses is not None:
         verdicts = suppress_events(

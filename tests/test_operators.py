@@ -18,7 +18,7 @@ from eventloom.operators.reports import drop_report, merge_reports
 from eventloom.operators.requests import collect_request_context
 from eventloom.operators.scopes import apply_scope, layer_scopes
 from eventloom.operators.scrub import scrub_event, scrub_fatal, scrub_fields
-from eventloom.plans.capture import capture_errors, capture_logs
+from eventloom.plans.capture import _cap_and_dedupe, capture_errors, capture_logs
 from eventloom.schemas import EVENT, ROUTING
 from eventloom.session import scratch_path
 from eventloom.sources.jsonl import event_lines, read_events_jsonl, write_events_jsonl
@@ -69,6 +69,17 @@ def test_cap_counts_duplicates_first(spark):
     assert drop_report(out).head().asDict()["dropped_buffer"] == 5
 
 
+def test_cap_and_dedupe_in_one_step(spark):
+    rows = [event(i, flush_id=f"f{i % 3}", line=i * i % 7, event_id=i) for i in range(200)]
+    df = with_fingerprint(events(spark, *rows)).withColumn(
+        "drop_reason", F.when(F.col("seq") % 11 == 0, "sampled")).select(
+        "event_id", "flush_id", "seq", "fingerprint", "drop_reason")
+    one = _cap_and_dedupe(df, 25)
+    two = dedupe(buffer_cap(df, 25))
+    assert one.columns == two.columns
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
 def test_large_cap_and_last_n(spark):
     df = spark.range(5000).select(F.lit("f").alias("flush_id"), F.col("id").alias("seq"))
     assert buffer_cap(df, 1500, keep_dropped=False).count() == 1500
