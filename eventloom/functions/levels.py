@@ -52,7 +52,7 @@ def log_level(col: Column) -> Column:
 
 def errno_name(col: Column) -> Column:
     names = F.create_map(*[F.lit(x) for pair in ERRNO_NAMES.items() for x in pair])
-    return F.coalesce(F.try_element_at(names, col.cast("int")), F.lit("E_UNKNOWN"))
+    return F.coalesce(F.try_element_at(names, col.try_cast("int")), F.lit("E_UNKNOWN"))
 
 
 def errno_severity(col: Column) -> Column:

@@ -13,6 +13,7 @@ from ..operators.payload import to_error_payload
 
 Sink = Callable[[DataFrame], None]
 
+# The collector's paths.
 ERROR_PATH = "/api/v1/errors"
 BATCH_PATH = "/v1/logs/batch"
 
