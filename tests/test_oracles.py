@@ -1,8 +1,9 @@
-"""Every registered query against its SQL."""
+"""Every query of the package's own operators against its SQL."""
 
 import pytest
 
 import __spark_entry__ as entry
+from eventloom.queries import ORACLES, QUERIES
 from oracle import connect, difference
 
 
@@ -11,14 +12,19 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, con, name):
-    assert difference(entry.queries()[name](spark, sf_dir), con, entry.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1
+
+
+def test_registered_names(spark):
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
