@@ -83,3 +83,50 @@ def op7(table) -> DataFrame:
     from .mixing import pareto_mix
 
     return pareto_mix(table("documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_weak_supervision")
+def op6(table) -> DataFrame:
+    """Counts and verdict of each document."""
+    from .weak_rules import weak_quality
+
+    return weak_quality(table("documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+DECONTAMINATE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+  WHERE item_id IS NOT NULL AND text IS NOT NULL
+), bw AS (
+  SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT item, w, least(13, len(w)) AS m, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+        FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM d, (SELECT DISTINCT m FROM bw) WHERE len(w) >= m)
+), occ AS (SELECT r, item, i, m FROM dw JOIN bw USING (m, g)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM occ) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT r, item FROM occ) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
+"""
+
+
+@query("op10_wu_manber", DECONTAMINATE_SQL)
+def op10(table) -> DataFrame:
+    """Benchmark passages in each document."""
+    from .decontaminate import decontaminate
+
+    return decontaminate(table("documents").select("doc_id", "text"), table("benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
