@@ -1,9 +1,9 @@
 """Quality rules as weak supervision.
 
 Each rule looks at counts of a text and votes good (1), bad (-1) or abstains (0). A generative model
-says: a text is good with probability ``prior``; given that, rules vote on their own, and a rule has
-its own probabilities of voting good, bad or abstaining on good and on bad texts. Expectation
-maximisation estimates them from the votes alone. The posterior of "good" decides whether a text is
+says: a text is good with probability ``prior``; given that, rules that don't abstain vote on their
+own, each with its own accuracy on good and on bad texts. Expectation maximisation estimates them
+from the votes alone. The posterior of "good" decides whether a text is
 kept, instead of asking that every rule passes. A short list of hard limits (``base_failed``) remains.
 
 The model sees only how often each combination of votes occurs, at most 3 to the number of rules. So
@@ -25,8 +25,9 @@ from ..session import cut_lineage
 from .common import WordHash, annotate, chain
 
 COUNTS = ("n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, "
-          "n_upper long, n_alpha long, n_digits long, n_distinct long, n_short long, n_end_lines long")
+          "n_upper long, n_alpha long, n_digits long, n_distinct long, n_short long, n_bare long, n_end_lines long")
 GRAM = 5
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _covered(hashes: np.ndarray, width: int) -> int:
@@ -67,7 +68,7 @@ def _counts():
 
     def one(text: str | None) -> tuple:
         if not text:
-            return (0,) * 12
+            return (0,) * 13
         raw = text.encode()
         words = raw.split()
         h = hashes.of(words)
@@ -76,7 +77,8 @@ def _counts():
         return (len(words), int(seen[~CONTINUED & ~SPACE].sum()), int(seen[SYMBOL].sum()), len(lines),
                 len(lines) - len(set(lines)), _covered(h, GRAM), int(seen[UPPER].sum()),
                 int(seen[UPPER | LOWER | BEYOND].sum()), int(seen[DIGIT].sum()), len(np.unique(h)),
-                sum(1 for w in words if len(w) <= 3), sum(1 for line in lines if line.rstrip()[-1:] in b".!?\"'"))
+                sum(1 for w in words if len(w) <= 3),
+                sum(1 for w in words if len(w) <= 3 and not w.strip(PUNCTUATION)), sum(1 for line in lines if line.rstrip()[-1:] in b".!?\"'"))
 
     return lambda texts: list(map(list, zip(*map(one, texts))))
 
@@ -102,32 +104,35 @@ def rules() -> dict[str, Column]:
                          enough & (F.col("n_distinct") > 0.4 * F.least(words, F.lit(400)))),
         "short_words": _vote(enough & (F.col("n_short") < 0.08 * words),
                              enough & F.col("n_short").between(0.15 * words, 0.75 * words)),
+        "bare_symbols": _vote(F.col("n_bare") > 0.1 * words, F.col("n_bare") < 0.02 * words),
         "line_ends": _vote(enough & (F.col("n_end_lines") < 0.1 * lines), F.col("n_end_lines") > 0.5 * lines),
     }
 
 
-def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 60) -> tuple[float, np.ndarray]:
-    """Prior and p[class, rule, vote] (vote -1, 0, 1) by expectation maximisation.
+def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 60, strength: float = 0.02) -> tuple[float, np.ndarray]:
+    """Prior and p[class, rule] = P(rule votes good | class, it votes) by expectation maximisation.
 
-    Starts from rules that are right four times as often as wrong, which also fixes which class is good.
+    An abstention says nothing: what decides whether a rule applies, as the length of a text, isn't
+    quality. The starting point also serves as ``strength`` times the texts of pseudo-votes; it says
+    that a bad vote is rare on a good text, which fixes which class is the good one.
     """
-    n_rules = patterns.shape[1]
-    table = np.array([[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]])[:, None, :].repeat(n_rules, axis=1)
-    prior, seen = 0.8, np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
-    if not weights.sum():
+    start = np.array([[0.6], [0.98]]).repeat(patterns.shape[1], axis=1)
+    table, prior, total = start.copy(), 0.9, weights.sum()
+    if not total:
         return prior, table
+    up, voted = (patterns == 1).astype(float), (patterns != 0).astype(float)
     for _ in range(rounds):
         good = posterior(patterns, prior, table)
         for c, share in enumerate(((1 - good) * weights, good * weights)):
-            hits = np.tensordot(share, seen, axes=(0, 0)) + 1.0
-            table[c] = hits / hits.sum(axis=1, keepdims=True)
-        prior = float(np.clip((good * weights).sum() / weights.sum(), 0.01, 0.99))
+            pseudo = strength * total * (prior if c else 1 - prior) + 1
+            table[c] = (share @ up + pseudo * start[c]) / (share @ voted + pseudo)
+        prior = float(np.clip((good * weights).sum() / total, 0.01, 0.99))
     return prior, table
 
 
 def posterior(patterns: np.ndarray, prior: float, table: np.ndarray) -> np.ndarray:
-    rows = np.arange(patterns.shape[1])
-    log = [np.log(table[c][rows, patterns + 1]).sum(axis=1) for c in (0, 1)]
+    up, down = patterns == 1, patterns == -1
+    log = [up @ np.log(table[c]) + down @ np.log1p(-table[c]) for c in (0, 1)]
     return 1 / (1 + (1 - prior) / prior * np.exp(np.clip(log[0] - log[1], -500, 500)))
 
 
@@ -140,15 +145,15 @@ def weak_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     drop = [c for c in counted.columns if c.lower() in {*(f"vote_{n}" for n in names), "quality", "kept", "base_failed", "__code"}]
     voted = (counted.drop(*drop).withColumns({f"vote_{n}": v.cast("int") for n, v in votes.items()})
              .withColumn("__code", code.cast("int")))
-    voted = cut_lineage(voted, "rule-votes")
-    # At most 3 ** len(rules) rows.
-    seen = voted.groupBy("__code").count().collect()
+    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    voted = cut_lineage(voted.withColumn("base_failed", base), "rule-votes")
+    # At most 3 ** len(rules) rows. The model explains the texts that are left to it.
+    seen = voted.groupBy("__code").agg(F.count(F.when(~F.col("base_failed"), 1)).alias("count")).collect()
     codes = np.array([r["__code"] for r in seen], np.int64)
     patterns = (codes[:, None] // 3 ** np.arange(len(names)) % 3 - 1).astype(int).reshape(-1, len(names))
     prior, table = fit(patterns, np.array([r["count"] for r in seen], float))
     good = posterior(patterns, prior, table) if len(seen) else np.empty(0)
     lookup = voted.sparkSession.createDataFrame(
         [(int(c), float(q)) for c, q in zip(codes, good)], "__code int, quality double")
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (voted.join(F.broadcast(lookup), "__code").drop("__code").withColumn("base_failed", base)
-            .withColumn("kept", ~base & (F.col("quality") >= threshold)))
+    return (voted.join(F.broadcast(lookup), "__code").drop("__code")
+            .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)))
