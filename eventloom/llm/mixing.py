@@ -87,6 +87,8 @@ def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), budget:
     tilted = sized.withColumn("tilt", F.when(F.col("source_size") > 0, tilt).otherwise(1.0))
     mean = (tilted.groupBy("no_source", "source_key")
             .agg((F.sum(F.round(F.col("tilt") * 1e6).cast("long") * F.col("size"))).alias("tilted_words")))
+    # One row per source: written, so that its size is known when joins are planned.
+    mean = cut_lineage(mean, "mix-means")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / (F.col("tilted_words") / 1e6)).otherwise(0.0)
     expected = (tilted.join(mean, ["no_source", "source_key"])
                 .withColumn("expected", F.least(F.lit(float(cap)), F.col("tilt") * ratio))
@@ -110,6 +112,7 @@ def pareto_mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), budget:
              .select(*key, "bin", "ahead", "open",
                      F.when(F.col("ahead") + F.col("words") <= F.col("open"), "all")
                      .when(F.col("ahead") >= F.col("open"), "none").otherwise("edge").alias("state")))
+    edges = cut_lineage(edges, "mix-edges")
     # Documents with whole copies only are in no bin and skip the join.
     whole = (ranked.where("bin is null").withColumn("extra", F.lit(0).cast("long")))
     placed = ranked.where("bin is not null").join(edges, [*key, "bin"])
