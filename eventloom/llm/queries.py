@@ -130,3 +130,14 @@ def op10(table) -> DataFrame:
 
     return decontaminate(table("documents").select("doc_id", "text"), table("benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op8_license_sentences")
+def op8(table) -> DataFrame:
+    """Licence sentences and licences of each document."""
+    from .licenses import scan_licenses
+
+    scanned = scan_licenses(table("documents").select("doc_id", "text"))
+    return scanned.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+                          F.concat_ws(",", "sentence_ids").alias("sentence_ids"),
+                          F.concat_ws(",", "licenses").alias("licenses"))
