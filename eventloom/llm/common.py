@@ -8,10 +8,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 #: Text bytes a task works on at once; a longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
 #: A word as the regular expression of the column functions: anything but ASCII white space.
@@ -100,6 +103,14 @@ def chain(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def row_ids(df: DataFrame, name: str = "__row") -> DataFrame:
-    """Number the rows. The numbers are the same each time if ``df`` reads files without a shuffle,
-    which is what callers that join on them must give."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Add a text that names a row, the same each time the rows are computed.
+
+    It is made of the file and the position in it, whatever the splits and the number of cores. A
+    frame that doesn't come straight from Parquet files is written first.
+    """
+    try:
+        df.select("_metadata.row_index")
+    except AnalysisException:
+        df = cut_lineage(df, "rows")
+    key = F.concat_ws(":", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index").cast("string"))
+    return df.select("*", key.alias(name))

@@ -12,7 +12,7 @@ Words are runs of ASCII letters, digits and non-ASCII characters, after lower-ca
 
 The tables are sent to all executors, so their size is checked: a benchmark with more than
 ``block_words`` words is searched in blocks, one pass over the documents each, and the occurrences of
-a document are united. Documents are never shuffled in one block, and only by their row number and
+a document are united. Documents are never shuffled in one block, and only by their row key and
 occurrences in several.
 
 Defined results: a null or empty text has no words, no hits and is not contaminated; a null or empty
@@ -135,7 +135,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
     """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated.
 
     A document is contaminated if a word is hit and ``share`` times the hit words reach its words.
-    With several blocks ``docs`` must read files, as rows are matched by their number.
     """
     spark = docs.sparkSession
     blocks = item_blocks(benchmark, block_words)
@@ -165,7 +164,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
                                                    "items_sha256": digest, "contaminated": bad}])
 
     counted = annotate(numbered, "n_words long", lambda: lambda texts: [[len(tokens(t)) for t in texts]], keep=["__row"])
-    result = counted.join(united, "__row", "left").mapInArrow(finish, "__row long, " + RESULT)
+    result = counted.join(united, "__row", "left").mapInArrow(finish, "__row string, " + RESULT)
     names = {f.split()[0] for f in RESULT.split(", ")}
     return numbered.drop(*names).join(result, "__row").drop("__row")
 

@@ -95,7 +95,7 @@ def op6(table) -> DataFrame:
 
 
 DECONTAMINATE_SQL = r"""
-WITH d AS (
+WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -141,3 +141,51 @@ def op8(table) -> DataFrame:
     return scanned.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
                           F.concat_ws(",", "sentence_ids").alias("sentence_ids"),
                           F.concat_ws(",", "licenses").alias("licenses"))
+
+
+@query("op1_warc_transactions", """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+FROM g
+""")
+def op1(table) -> DataFrame:
+    """Each page's capture, from archives written and read back."""
+    from ..session import cut_lineage, scratch_path
+    from .warc import assemble, page_captures, read_archives, write_archives
+
+    pages = table("pages")
+    path = scratch_path(pages.sparkSession, "warc")
+    write_archives(pages, path)
+    records = cut_lineage(read_archives(pages.sparkSession, path), "warc-records")
+    return page_captures(assemble(records))
+
+
+@query("op5_superkmer_dedup", r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), x AS (
+  SELECT DISTINCT r, p FROM (
+    SELECT r, unnest(range(i, i + 35)) AS p FROM g
+    WHERE h IN (SELECT h FROM g GROUP BY h HAVING count(*) > 1))
+), k AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN x USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+""")
+def op5(table) -> DataFrame:
+    """What is left of each document without repeated windows."""
+    from .superkmer import remove_repeats
+
+    return remove_repeats(table("documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
