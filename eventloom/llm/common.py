@@ -43,15 +43,16 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
 
 
 def annotate(df: DataFrame, fields: str | T.StructType, build: Callable, text: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
+             keep_text: bool = False) -> DataFrame:
     """Add columns computed from ``text`` in Arrow batches, without a shuffle.
 
     ``build()`` runs once per task and returns a function from a list of texts to the lists of the
-    new columns. New columns replace input columns of the same name; ``keep`` limits the others.
+    new columns. New columns replace input columns of the same name; the others are carried along, the
+    text only on request.
     """
     fields = T.StructType.fromDDL(fields) if isinstance(fields, str) else fields
     names = {f.name.lower() for f in fields}
-    carried = [c for c in df.columns if c.lower() not in names and (keep is None or c in keep)]
+    carried = [c for c in df.columns if c.lower() not in names and (keep_text or c.lower() != text.lower())]
     source = df.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").cast("string").alias("__text"))
     schema = T.StructType([*source.schema.fields[:-1], *fields.fields])
 

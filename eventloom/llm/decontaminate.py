@@ -131,8 +131,8 @@ def item_blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, li
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20,
-                  block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated.
+                  block_words: int = BLOCK_WORDS, keep_text: bool = True) -> DataFrame:
+    """``docs``, on request without the text, with n_words, n_hit, n_items, items_sha256 and contaminated.
 
     A document is contaminated if a word is hit and ``share`` times the hit words reach its words.
     """
@@ -141,13 +141,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
     first = next(blocks)
     second = next(blocks, None)
     if second is None:
-        return annotate(docs, RESULT, _scan(spark, first, width, lambda w, s, i: verdict(len(w), s, i, share)))
+        return annotate(docs, RESULT, _scan(spark, first, width, lambda w, s, i: verdict(len(w), s, i, share)),
+                        keep_text=keep_text)
     numbered = row_ids(docs)
+    rows = numbered.select("__row", "text")
     parts = None
     fields = "n_words long, spans array<struct<start:int,stop:int>>, items array<string>"
     while first is not None:
         scan = _scan(spark, first, width, lambda w, s, i: (len(w), [dict(start=a, stop=b) for a, b in s], sorted(i)))
-        part = cut_lineage(annotate(numbered, fields, scan, keep=["__row"]).where("size(items) > 0"), "decontaminate")
+        part = cut_lineage(annotate(rows, fields, scan).where("size(items) > 0"), "decontaminate")
         parts = part if parts is None else parts.unionByName(part)
         first, second = second, next(blocks, None) if second is not None else None
     united = parts.groupBy("__row").agg(F.flatten(F.collect_list("spans")).alias("__spans"),
@@ -163,10 +165,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
                 yield pa.RecordBatch.from_pylist([{"__row": row["__row"], "n_words": n, "n_hit": hit, "n_items": items,
                                                    "items_sha256": digest, "contaminated": bad}])
 
-    counted = annotate(numbered, "n_words long", lambda: lambda texts: [[len(tokens(t)) for t in texts]], keep=["__row"])
+    counted = annotate(rows, "n_words long", lambda: lambda texts: [[len(tokens(t)) for t in texts]])
     result = counted.join(united, "__row", "left").mapInArrow(finish, "__row string, " + RESULT)
     names = {f.split()[0] for f in RESULT.split(", ")}
-    return numbered.drop(*names).join(result, "__row").drop("__row")
+    kept = numbered if keep_text else numbered.drop("text")
+    return kept.drop(*names).join(result, "__row").drop("__row")
 
 
 def _scan(spark, items, width, shape):

@@ -128,7 +128,7 @@ def op10(table) -> DataFrame:
     """Benchmark passages in each document."""
     from .decontaminate import decontaminate
 
-    return decontaminate(table("documents").select("doc_id", "text"), table("benchmark")).select(
+    return decontaminate(table("documents").select("doc_id", "text"), table("benchmark"), keep_text=False).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
@@ -189,3 +189,11 @@ def op5(table) -> DataFrame:
 
     return remove_repeats(table("documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_ngram_jaccard")
+def op3(table) -> DataFrame:
+    """Each document's component of documents that link."""
+    from .ngram_join import linked_groups
+
+    return linked_groups(table("documents")).select("doc_id", "n_shingles", "component_id")
