@@ -197,3 +197,12 @@ def op3(table) -> DataFrame:
     from .ngram_join import linked_groups
 
     return linked_groups(table("documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op2_quality_pu")
+def op2(table) -> DataFrame:
+    """Quality score of each document."""
+    from .quality_pu import pu_quality
+
+    return pu_quality(table("documents").select("doc_id", "text"), table("labels")).select(
+        "doc_id", "held_out", "score", "predicted")

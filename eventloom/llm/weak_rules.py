@@ -63,7 +63,8 @@ SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 UPPER, LOWER, DIGIT, BEYOND = _bytes((65, 90)), _bytes((97, 122)), _bytes((48, 57)), _bytes((0xC2, 0xF4))
 
 
-def _counts():
+def text_counts():
+    """A function from texts to the columns of ``COUNTS``."""
     hashes = WordHash()
 
     def one(text: str | None) -> tuple:
@@ -138,7 +139,7 @@ def posterior(patterns: np.ndarray, prior: float, table: np.ndarray) -> np.ndarr
 
 def weak_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without their text, with the counts, base_failed, the votes, quality and kept."""
-    counted = annotate(docs, COUNTS, _counts)
+    counted = annotate(docs, COUNTS, text_counts)
     votes = rules()
     names = list(votes)
     code = sum(((F.col(f"vote_{n}") + 1) * 3 ** i for i, n in enumerate(names)), F.lit(0))
