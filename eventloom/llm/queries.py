@@ -206,3 +206,12 @@ def op2(table) -> DataFrame:
 
     return pu_quality(table("documents").select("doc_id", "text"), table("labels")).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@query("op9_counterfactual_toxicity")
+def op9(table) -> DataFrame:
+    """Toxicity score of each document."""
+    from .toxicity import toxicity
+
+    return toxicity(table("documents").select("doc_id", "text"), table("labels")).select(
+        "doc_id", "held_out", "score", "predicted")
