@@ -33,6 +33,8 @@ from .decontaminate import TOKEN
 #: Labelled texts the model is fitted on, at most.
 SAMPLE = 50_000
 VOCABULARY = 4096
+#: Lengths in bytes of the beginnings of words that are features.
+BEGINNINGS = range(5, 11)
 # Names of groups of people, by kind and language.
 IDENTITY: tuple[tuple[str, ...], ...] = (
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "catholics", "protestants"),
@@ -61,13 +63,9 @@ def _swaps(groups) -> dict[bytes, list[bytes]]:
 
 
 def features(words, names=frozenset()) -> set[bytes]:
-    """Words and their first 4 and 5 bytes; a group's name has no beginnings, which others may share."""
+    """Words and their beginnings; a group's name has none, as others may share them."""
     out = set(words)
-    for w in list(out):
-        if len(w) > 4 and w not in names:
-            out.add(b"^" + w[:4])
-            if len(w) > 5:
-                out.add(b"^" + w[:5])
+    out.update([b"^" + w[:k] for w in out - names for k in BEGINNINGS if k < len(w)])
     return out
 
 
@@ -152,9 +150,14 @@ def _encode(sample: DataFrame, vocabulary, groups):
 
 
 def fit(label: np.ndarray, rows: list[list[int]], pairs: list[list[int]], size: int, strength: float,
-        rounds: int = 300, ridge: float = 2e-5, rate: float = 0.1) -> tuple[np.ndarray, float]:
-    """Weights and bias: mean logistic loss, ``strength`` times the mean squared change under swaps, and ridge."""
+        rounds: int = 300, ridge: float = 2e-4, rate: float = 0.1, toxic_weight: float = 3.0) -> tuple[np.ndarray, float]:
+    """Weights and bias: mean logistic loss, ``strength`` times the mean squared change under swaps, and ridge.
+
+    Toxic texts are rarer and count ``toxic_weight`` times.
+    """
     n = len(rows)
+    per = np.where(label == 1, toxic_weight, 1.0)
+    per = per / per.sum()
     col = np.fromiter(chain.from_iterable(rows), np.int64)
     row = np.repeat(np.arange(n), [len(r) for r in rows])
     swap = np.fromiter(chain.from_iterable(pairs), np.int64).reshape(-1, 2)
@@ -162,7 +165,7 @@ def fit(label: np.ndarray, rows: list[list[int]], pairs: list[list[int]], size:
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for k in range(1, rounds + 1):
         z = bias + np.bincount(row, w[col], minlength=n)
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) / n
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) * per
         grad = np.bincount(col, error[row], minlength=size) + 2 * ridge * w
         if len(swap):
             change = 2 * strength / len(swap) * (w[swap[:, 0]] - w[swap[:, 1]])
