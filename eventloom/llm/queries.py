@@ -215,3 +215,11 @@ def op9(table) -> DataFrame:
 
     return toxicity(table("documents").select("doc_id", "text"), table("labels")).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_hmm_lm")
+def op4(table) -> DataFrame:
+    """Probability of each document under the unigram model and the hidden Markov model."""
+    from .hmm_lm import score_texts
+
+    return score_texts(table("documents"))
