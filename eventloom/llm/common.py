@@ -115,3 +115,21 @@ def row_ids(df: DataFrame, name: str = "__row") -> DataFrame:
         df = cut_lineage(df, "rows")
     key = F.concat_ws(":", F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index").cast("string"))
     return df.select("*", key.alias(name))
+
+
+def most_frequent(counts: DataFrame, n: str, limit: int) -> DataFrame:
+    """Rows with the largest ``n``, at most ``limit``: all above a bound read off a histogram.
+
+    No task sorts or gathers candidates, and rows of one bin of the histogram stay together. ``counts``
+    should be a written table, as it is read twice.
+    """
+    bin_of = F.floor(F.log2(F.col(n).cast("double")) * 32).cast("int")
+    sizes = sorted(((r["bin"], r["count"]) for r in counts.where(F.col(n) > 0).groupBy(bin_of.alias("bin")).count().collect()),
+                   reverse=True)
+    lowest, total = None, 0
+    for place, size in sizes:
+        total += size
+        if total > limit:
+            break
+        lowest = place
+    return counts.where(F.lit(False)) if lowest is None else counts.where((F.col(n) > 0) & (bin_of >= lowest))

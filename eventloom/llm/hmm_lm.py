@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import crc_fold, slices
+from .common import crc_fold, most_frequent, slices
 
 HEAD = 1 << 18
 SYMBOLS = 1 << 14
@@ -96,9 +96,10 @@ class Vocabulary:
 
 
 def build_vocabulary(words: DataFrame, head: int, symbols: int) -> Vocabulary:
-    top = words.orderBy(F.desc("n"), "word").limit(head).toArrow()
-    kept = [bytes(w) for w in top.column("word").to_pylist()]
-    counts = top.column("n").to_numpy().astype(np.float64)
+    top = most_frequent(words, "n", head).toArrow()
+    found = sorted(zip(top.column("n").to_pylist(), map(bytes, top.column("word").to_pylist())), key=lambda x: (-x[0], x[1]))
+    kept = [word for _, word in found]
+    counts = np.array([n for n, _ in found], np.float64)
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     own = set(kept[:symbols])
 
@@ -302,8 +303,10 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
     encoded = cut_lineage(encode(texts, sent).withColumn("row", F.monotonically_increasing_id()), "encoded")
     if vocabulary.total:
         train = encoded.where("not held_out")
-        sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").select(F.substring("symbols", 1, 8 * 2 * SEGMENT).alias("s"))
-        model = seed_model([bytes(r["s"]) for r in sample.limit(SEED_TEXTS).collect()], vocabulary.unigram, states, SEED_ROUNDS)
+        # Chosen by narrow rows, so that tasks send few bytes for a choice.
+        chosen = train.select("row", F.xxhash64("row", "n_tokens").alias("h")).orderBy("h", "row").limit(SEED_TEXTS).select("row")
+        sample = train.join(F.broadcast(chosen), "row").orderBy("row").select(F.substring("symbols", 1, 8 * 2 * SEGMENT).alias("s"))
+        model = seed_model([bytes(r["s"]) for r in sample.collect()], vocabulary.unigram, states, SEED_ROUNDS)
         for _ in range(rounds):
             model, _ = train_round(train, model, vocabulary.unigram)
         sent_model = context.broadcast(model)
