@@ -29,7 +29,7 @@ class CaptureConfig:
     max_breadcrumbs: int = 50
     max_buffered_events: int = 100
     fragments: tuple[str, ...] = DEFAULT_FRAGMENTS
-    max_scan_bytes: int | None = 8192
+    max_scan_bytes: int | None = None
     fingerprint_message: bool = False
     session_hash_salt: str | None = None
     before_send: Callable[[DataFrame], DataFrame] | None = None
@@ -69,7 +69,7 @@ class LogConfig:
     batch_size: int = 1000
     fragments: tuple[str, ...] = DEFAULT_FRAGMENTS
     literals: tuple[str, ...] = field(default=())
-    max_scan_bytes: int | None = 8192
+    max_scan_bytes: int | None = None
     safe_interpolation: bool = False
 
     def __post_init__(self):

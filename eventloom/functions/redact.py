@@ -15,7 +15,8 @@ from .net import url_is_malformed
 from .text import bind
 
 MASK = "[REDACTED]"
-MAX_SCAN_BYTES = 8192
+# The bound on scanned texts that a caller may ask for, and how deep names are followed.
+SCAN_BOUND = 8192
 MAX_DEPTH = 16
 
 # Token patterns in the order they are applied. A look-behind after the literal
@@ -33,10 +34,10 @@ _MARKERS = ("sk_log_", "pk_", "AKIA", "ghp_", "PRIVATE KEY-----")
 
 
 def scrub_text(
-    col: Column, literals: Sequence[str] = (), max_scan_bytes: int | None = MAX_SCAN_BYTES
+    col: Column, literals: Sequence[str] = (), max_scan_bytes: int | None = None
 ) -> Column:
-    """Mask literals, then known token shapes. Texts over ``max_scan_bytes`` stay as they are;
-    None scans every text."""
+    """Mask literals, then known token shapes, in texts of any length. With ``max_scan_bytes``
+    longer texts stay as they are, unmasked."""
     kept = [v for v in literals if v]
     masked = col
     for literal in kept:
@@ -110,42 +111,65 @@ def scrub_value(
     return col
 
 
-def scrub_json(fragments: Sequence[str], depth: int = MAX_DEPTH):
-    """A vectorised function that masks fields by name in JSON text of unknown shape.
+class _Raw(str):
+    """A number or constant as it was written."""
 
-    Text that is no JSON object or list becomes an empty list, so nothing can slip through.
+
+class _Pairs(list):
+    """The members of a JSON object in their order, repeated names included."""
+
+
+def _write(node) -> str:
+    if isinstance(node, _Pairs):
+        return "{" + ",".join(f"{json.dumps(name)}:{_write(value)}" for name, value in node) + "}"
+    if isinstance(node, list):
+        return "[" + ",".join(map(_write, node)) + "]"
+    return str(node) if isinstance(node, _Raw) else json.dumps(node)
+
+
+def json_is_readable(col: Column) -> Column:
+    """Whether a text is a JSON object or list; null for null."""
+    return F.when(col.isNotNull(), col.rlike(r"(?s)^\s*[\[{].*[\]}]\s*$") & F.get_json_object(col, "$").isNotNull())
+
+
+def scrub_json(col: Column, fragments: Sequence[str], depth: int = MAX_DEPTH, unreadable: str | None = "[]") -> Column:
+    """Mask fields by name in JSON text of unknown shape.
+
+    Texts that hold no fragment stay byte for byte as they are and never leave the JVM. In the others
+    numbers, empty objects and repeated names are kept as written. Containers below ``depth`` levels
+    become empty lists. A text that is no JSON object or list becomes ``unreadable``, so nothing can
+    slip through; ``json_is_readable`` tells which ones.
     """
     kept = [f.lower() for f in fragments if f]
 
     def walk(node, left):
         if left <= 0:
             return []
-        if isinstance(node, dict):
-            out = {}
-            for name, value in node.items():
-                if any(f in name.lower() for f in kept):
-                    out[name] = MASK
-                else:
-                    out[name] = walk(value, left - 1) if isinstance(value, (dict, list)) else value
-            return out or []
-        return [walk(v, left - 1) if isinstance(v, (dict, list)) else v for v in node]
+        if isinstance(node, _Pairs):
+            return _Pairs((name, MASK if any(f in name.lower() for f in kept) else
+                           walk(value, left - 1) if isinstance(value, list) else value) for name, value in node)
+        return [walk(v, left - 1) if isinstance(v, list) else v for v in node]
 
     def one(text):
         if text is None:
             return None
         try:
-            node = json.loads(text)
+            node = json.loads(text, parse_float=_Raw, parse_int=_Raw, object_pairs_hook=_Pairs)
+            return _write(walk(node, depth)) if isinstance(node, list) else unreadable
         except (ValueError, RecursionError):
-            return "[]"
-        if not isinstance(node, (dict, list)):
-            return "[]"
-        return json.dumps(walk(node, depth), separators=(",", ":"))
+            return unreadable
 
     @F.pandas_udf(T.StringType())
-    def apply(texts: pd.Series) -> pd.Series:
+    def rewrite(texts: pd.Series) -> pd.Series:
         return texts.map(one)
 
-    return apply
+    named = is_sensitive(col, fragments) | F.contains(col, F.lit("\\"))
+    # Names outside ASCII fold in Python only.
+    folded = F.lit(not all(f.isascii() for f in kept))
+    deep = F.length(F.regexp_replace(col, r"[^\[{]", "")) > depth
+    touched = folded | named | deep | ~json_is_readable(col)
+    # Rows that stay are sent as null, which costs Python nothing.
+    return F.when(touched, rewrite(F.when(touched, col))).otherwise(col)
 
 
 def _decoded_name(pair: Column) -> Column:

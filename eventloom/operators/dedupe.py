@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import fingerprint
 from ..functions.text import merge_maps
-from .gates import REASON, mark, with_verdict
+from .gates import REASON, at_group, mark, tie_breaker, with_verdict
 
 
 def with_fingerprint(df: DataFrame, fingerprint_message: bool = False) -> DataFrame:
@@ -24,21 +24,19 @@ def dedupe(
     """Keep the first live row per (group, fingerprint); with repeats it gains a
     ``duplicate_count``, also put into ``tags`` where that column exists.
 
-    Counts are pre-aggregated before the shuffle, and the first rows are joined back on
-    (group, order), which no large group of copies can skew.
+    First is by ``order``, then event_id; rows that agree in both are one delivery and share their
+    fate. Counts are pre-aggregated before the shuffle; large groups of copies are spread where they
+    meet their first place. Rows without a group are a group.
     """
     df = df if "fingerprint" in df.columns else with_fingerprint(df)
     df = with_verdict(df)
-    live = df.where(F.col(REASON).isNull())
-    heads = (
-        live.groupBy(group, "fingerprint")
-        .agg(F.min(order).alias(order), F.count(F.lit(1)).alias("__copies"))
-        .select(group, order, "__copies")
-    )
-    if keep_dropped:
-        out = mark(df.join(heads, [group, order], "left"), F.col("__copies").isNull(), "dedup")
-    else:
-        out = live.join(heads, [group, order])
+    columns = [order, *tie_breaker(df, order)]
+    live = F.col(REASON).isNull()
+    heads = df.where(live).groupBy(group, "fingerprint").agg(
+        F.min(F.struct(*columns)).alias("__head"), F.count(F.lit(1)).alias("__copies"))
+    rows = df if keep_dropped else df.where(live)
+    joined = at_group(rows, heads, [group, "fingerprint"], order)
+    out = mark(joined, F.struct(*columns) > F.col("__head"), "dedup", keep_dropped).drop("__head")
     copies = F.when(F.col(REASON).isNull() & (F.col("__copies") > 1), F.col("__copies"))
     out = out.withColumn("duplicate_count", copies).drop("__copies")
     if "tags" in df.columns:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .gates import mark
-from .slices import ROWS_PER_SLICE, running
+from .slices import ROWS_PER_SLICE, running, without_nulls
 
 
 def is_success(status: Column) -> Column:
@@ -72,8 +72,11 @@ def suppress_events(
         *kept, F.col("status").cast("int"), F.col("retry_after").cast("int"),
         F.lit(False).alias("__event")))
     judged = suppress_after_429(line, endpoint, seq, ts, rows_per_slice=rows_per_slice)
-    hits = judged.where(F.col("__event") & F.col("drop_reason").isNotNull()).select(endpoint, seq)
-    out = events.join(hits.withColumn("__hit", F.lit(True)), [endpoint, seq], "left")
+    # Rows without an endpoint share one; events of equal seq and time share their fate.
+    hits = judged.where(F.col("__event") & F.col("drop_reason").isNotNull()).select(*kept).distinct()
+    side, keys = without_nulls(hits, kept)
+    rows, _ = without_nulls(events, kept)
+    out = rows.join(side.select(*keys, F.lit(True).alias("__hit")), keys, "left").select(*events.columns, "__hit")
     return mark(out, F.col("__hit"), "rate_limit").drop("__hit")
 
 

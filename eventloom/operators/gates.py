@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import DRAW_RANGE, fast_draw, portable_draw
 from ..functions.levels import FATAL_MASK
 from ..functions.text import in_order
-from .slices import numbered
+from .slices import spread_join, without_nulls
 
 REASON = "drop_reason"
 
@@ -73,7 +73,12 @@ def before_send(
     shown = rescrub(shown)
     if not keep_dropped:
         return shown
-    return shown.unionByName(df.where(F.col(REASON).isNotNull()))
+    # The hook may add columns and change types; rows it didn't see have nothing there.
+    types = dict(df.dtypes)
+    unseen = df.where(F.col(REASON).isNotNull()).select(*[
+        F.col(c) if types.get(c) == kind else F.lit(None).cast(shown.schema[c].dataType).alias(c)
+        for c, kind in shown.dtypes])
+    return shown.unionByName(unseen)
 
 
 def drop_suppressed(df: DataFrame, mask: Column | int, errno: str = "errno") -> DataFrame:
@@ -86,25 +91,44 @@ def fatal_only(df: DataFrame, errno: str = "errno") -> DataFrame:
     return df.where(F.col(errno).bitwiseAND(F.lit(FATAL_MASK)) != 0)
 
 
-# Spark trims groups before the shuffle for rank limits up to its default of 1000.
-MAX_RANK_LIMIT = 1000
+#: Parts a group is dealt to before its first rows are found.
+PARTS = 64
+
+
+def tie_breaker(df: DataFrame, order: str = "seq") -> list[str]:
+    """What orders rows of equal ``order``: the event_id where there is one."""
+    return [c for c in ("event_id",) if c in df.columns and c != order]
 
 
 def first_n(
-    df: DataFrame, n: int, group: str = "flush_id", order: str = "seq", descending: bool = False
+    df: DataFrame, n: int, group: str = "flush_id", order: str = "seq", descending: bool = False,
+    place: str | None = None,
 ) -> DataFrame:
-    """The first (or last) ``n`` rows of each group by ``order``, which is unique there.
+    """The first (or last) ``n`` rows of each group by ``order``, then event_id; rows without a group
+    are a group. ``place`` names a column for the position in the group, from 0.
 
-    Small limits also run before the shuffle, so no task receives more than ``n`` rows of a group
-    from any other; for larger ones the rows of large groups are numbered in slices.
+    A group is first dealt to parts, of which each keeps ``n`` rows, so that no task gets more than
+    ``PARTS`` times ``n`` rows of a group.
     """
-    if n <= MAX_RANK_LIMIT:
-        by = F.desc(order) if descending else F.asc(order)
-        rank = F.row_number().over(Window.partitionBy(group).orderBy(by))
-        return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
-    keys = df.select(group, order, (F.col(order) * (-1 if descending else 1)).alias("__order"))
-    kept = numbered(keys, [group], "__order", "__place").where(F.col("__place") < n)
-    return df.join(kept.select(group, order), [group, order], "left_semi")
+    columns = [order, *tie_breaker(df, order)]
+    by = [F.desc(c) if descending else F.asc(c) for c in columns]
+    part = F.pmod(F.xxhash64(*columns), F.lit(PARTS))
+    rank = F.row_number()
+    near = (df.withColumn("__part", part)
+            .withColumn("__rank", rank.over(Window.partitionBy(group, "__part").orderBy(*by)))
+            .where(F.col("__rank") <= n).drop("__part"))
+    out = near.withColumn("__rank", rank.over(Window.partitionBy(group).orderBy(*by))).where(F.col("__rank") <= n)
+    if place is not None:
+        out = out.withColumn(place, F.col("__rank") - 1)
+    return out.drop("__rank")
+
+
+def at_group(df: DataFrame, side: DataFrame, groups: list[str], spread_by: str) -> DataFrame:
+    """Left join of ``side`` (unique on ``groups``) where null groups match; large groups are spread."""
+    left, keys = without_nulls(df, groups)
+    right, _ = without_nulls(side, groups)
+    joined = spread_join(left, right.drop(*groups), keys, spread_by)
+    return joined.select(*df.columns, *[c for c in side.columns if c not in groups])
 
 
 def buffer_cap(
@@ -113,15 +137,16 @@ def buffer_cap(
 ) -> DataFrame:
     """A flush buffers its first ``n`` live rows; later ones are dropped ``buffer``.
 
-    ``order`` must be unique within a group. In verdict mode the kept (group, order) pairs are
-    joined back on both columns, so a large flush is spread over all tasks.
+    Rows are ordered by ``order``, then event_id; rows that agree in both are one delivery and share
+    their fate. Each group's last buffered place is found on narrow columns and met by its rows.
     """
-    if not keep_dropped:
-        return first_n(df, n, group, order)
     df = with_verdict(df)
-    kept = first_n(df.where(F.col(REASON).isNull()).select(group, order), n, group, order)
-    joined = df.join(kept.withColumn("__kept", F.lit(True)), [group, order], "left")
-    return mark(joined, F.col("__kept").isNull(), "buffer").select(*df.columns)
+    columns = [order, *tie_breaker(df, order)]
+    live = df.where(F.col(REASON).isNull()).select(group, *columns)
+    last = first_n(live, n, group, order).groupBy(group).agg(F.max(F.struct(*columns)).alias("__last"))
+    joined = at_group(df, last, [group], order)
+    out = mark(joined, F.struct(*columns) > F.col("__last"), "buffer", keep_dropped).select(*df.columns)
+    return out if keep_dropped else out.where(F.col(REASON).isNull())
 
 
 def last_n(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.levels import log_level
-from ..functions.redact import MAX_SCAN_BYTES, scrub_text
+from ..functions.redact import scrub_text
 from ..functions.text import (
     cap_bytes, empty_map, interpolate, is_scalar, placeholder_values, scalar_text, timestamp_text)
 from .scrub import scrub_fields
@@ -104,8 +104,11 @@ def to_log_wire(df: DataFrame, name: str = "wire", escape_unicode: bool = False)
         F.lit("info").alias("severity"), F.lit(FALLBACK_MESSAGE).alias("message"),
         none.alias("timestamp"), none.alias("app_name"), none.alias("environment"),
         F.lit(None).cast("map<string,string>").alias("context"))
-    readable = F.is_valid_utf8("message") & F.coalesce(F.forall(
-        F.map_values("__context"), lambda v: F.is_valid_utf8(v)), F.lit(True))
+    valid = lambda c: F.coalesce(F.is_valid_utf8(c), F.lit(True))
+    readable = F.coalesce(F.is_valid_utf8("message"), F.lit(True)) & F.coalesce(F.forall(
+        F.map_entries("__context"), lambda e: valid(e["key"]) & valid(e["value"])), F.lit(True))
+    for column in ("app_name", "environment"):
+        readable = readable & valid(F.col(column)) if column in df.columns else readable
     return df.withColumn("__context", text).withColumn(
         name, F.when(readable, wire).otherwise(fallback)).drop("__context")
 
@@ -113,7 +116,7 @@ def to_log_wire(df: DataFrame, name: str = "wire", escape_unicode: bool = False)
 def build_log_records(
     df: DataFrame, fragments: Sequence[str], literals: Sequence[str] = (),
     app_name: str | None = None, environment: str | None = None,
-    max_scan_bytes: int | None = MAX_SCAN_BYTES,
+    max_scan_bytes: int | None = None,
 ) -> DataFrame:
     """Scrub context and message, normalise the level and stamp application and environment."""
     return scrub_fields(df, ["context"], fragments).withColumns({
@@ -126,17 +129,21 @@ def build_log_records(
 
 def build_log_batches(
     df: DataFrame, size: int = BATCH_SIZE, wire: str = "wire", group: str = "flush_id",
-    order: str = "seq", rows_per_slice: int = ROWS_PER_SLICE,
+    order: str = "seq", rows_per_slice: int = ROWS_PER_SLICE, place: str | None = None,
 ) -> DataFrame:
     """One JSON body per batch of at most ``size`` records of a flush, in buffer order.
 
-    Records are numbered in slices, so a flush of any size is cut into batches by many tasks,
-    and no task ever gathers more than one batch of a group at a time.
+    ``place`` names a column with the record's position in its flush, from 0, where that is known.
+    Otherwise records are numbered in slices, so a flush of any size is cut into batches by many
+    tasks. No task gathers more than one batch of a group at a time.
     """
-    entries = df.select(group, order, F.to_json(wire).alias("__entry"))
-    placed = numbered(entries, [group], order, "__place", rows_per_slice)
+    entry = F.to_json(wire).alias("__entry")
+    if place is None:
+        placed = numbered(df.select(group, order, entry), [group], order, "__place", rows_per_slice)
+    else:
+        placed = df.select(group, order, entry, F.col(place).alias("__place"))
     batches = placed.groupBy(group, F.floor(F.col("__place") / size).alias("batch_no")).agg(
         F.count(F.lit(1)).alias("records"),
-        F.sort_array(F.collect_list(F.struct(order, "__entry"))).alias("__entries"))
+        F.sort_array(F.collect_list(F.struct("__place", "__entry"))).alias("__entries"))
     body = F.concat(F.lit('{"logs":['), F.array_join(F.col("__entries.__entry"), ","), F.lit("]}"))
     return batches.select(group, "batch_no", "records", body.alias("body"))

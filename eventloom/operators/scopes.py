@@ -79,13 +79,14 @@ def apply_scope(
 
 
 def layer_scopes(
-    scopes: DataFrame, max_depth: int = 3, rows_per_slice: int = ROWS_PER_SLICE
+    scopes: DataFrame, max_depth: int | None = None, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Resolve nested scopes: each starts as a copy of its parent and adds its own changes.
 
     Own tags and extra values win and an own non-empty user replaces the parent's. A row with
-    ``reset`` true starts empty. Parents are followed ``max_depth`` levels; a chain that is
-    longer fails the job rather than returning half-merged rows.
+    ``reset`` true starts empty. Parents are followed to the end, one level per pass. A scope that is
+    its own ancestor, or has more than ``max_depth`` ancestors where that is given, is an error at
+    once; rows that are merged halfway are never returned. A parent without a row is empty.
     """
     reset = F.coalesce(F.col("reset"), F.lit(False)) if "reset" in scopes.columns else F.lit(False)
     base = scopes.select(
@@ -94,20 +95,28 @@ def layer_scopes(
     parents = base.select(
         F.col("scope_id").alias("__up"), F.col("parent_scope_id").alias("__up_next"),
         *[F.col(n).alias(f"__up_{n}") for n in ("tags", "user", "extra")])
-    layered = base.withColumn("__up", F.col("parent_scope_id")).drop("parent_scope_id")
-    for level in range(max_depth):
-        if level:
-            layered = cut_lineage(layered, "scopes")
-        joined = spread_join(layered, parents, ["__up"], "scope_id", "left", rows_per_slice)
-        layered = joined.select(
+    names = ("scope_id", "tags", "user", "extra")
+    open_rows = cut_lineage(base.withColumn("__up", F.col("parent_scope_id")).drop("parent_scope_id"), "scopes")
+    done = open_rows.where("__up is null").select(*names)
+    open_rows, depth = open_rows.where("__up is not null"), 0
+    # A chain is followed only as long as it lasts; finished rows are not read again.
+    while left := open_rows.agg(F.count(F.lit(1)), F.count_if(F.col("__up") == F.col("scope_id"))).first():
+        if not left[0]:
+            return done
+        if left[1]:
+            raise ValueError("a scope is its own ancestor")
+        if max_depth is not None and depth >= max_depth:
+            raise ValueError(f"a scope has more than {max_depth} ancestors")
+        depth += 1
+        joined = spread_join(open_rows, parents, ["__up"], "scope_id", "left", rows_per_slice)
+        layered = cut_lineage(joined.select(
             "scope_id",
             merge_maps(F.col("__up_tags"), F.col("tags")).alias("tags"),
             F.when(_non_empty(F.col("user")), F.col("user"))
             .otherwise(F.coalesce("__up_user", empty_map())).alias("user"),
             merge_maps(F.col("__up_extra"), F.col("extra")).alias("extra"),
             F.col("__up_next").alias("__up"),
-        )
-    too_deep = F.raise_error(F.lit(f"a scope has more than {max_depth} ancestors"))
-    return layered.withColumn(
-        "tags", F.when(F.col("__up").isNotNull(), too_deep.cast("map<string,string>"))
-        .otherwise(F.col("tags"))).drop("__up")
+        ), "scopes")
+        done = done.unionByName(layered.where("__up is null").select(*names))
+        open_rows = layered.where("__up is not null")
+    return done

@@ -8,24 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.redact import MAX_SCAN_BYTES, scrub_json, scrub_text, scrub_value
+from ..functions.redact import MAX_DEPTH, json_is_readable, scrub_json, scrub_text, scrub_value
 
 
-def scrub_fields(df: DataFrame, columns: Sequence[str], fragments: Sequence[str]) -> DataFrame:
-    """Mask fields by name inside the given columns: typed ones natively, STRING ones as JSON."""
-    changed = {}
+def scrub_fields(
+    df: DataFrame, columns: Sequence[str], fragments: Sequence[str], depth: int = MAX_DEPTH,
+    unreadable: str | None = None,
+) -> DataFrame:
+    """Mask fields by name inside the given columns: typed ones natively, STRING ones as JSON.
+
+    JSON that cannot be read comes out as an empty list. ``unreadable`` names an array column that
+    then lists the columns in question, for a quarantine or a count.
+    """
+    changed, broken = {}, []
     for name in columns:
         dtype = df.schema[name].dataType
         if isinstance(dtype, T.StringType):
-            changed[name] = scrub_json(fragments)(F.col(name))
+            changed[name] = scrub_json(F.col(name), fragments, depth)
+            broken.append(F.when(~json_is_readable(F.col(name)), F.lit(name)))
         else:
-            changed[name] = scrub_value(F.col(name), dtype, fragments)
+            changed[name] = scrub_value(F.col(name), dtype, fragments, depth)
+    if unreadable is not None:
+        none = F.array().cast("array<string>")
+        changed[unreadable] = F.array_compact(F.array(*broken)) if broken else none
     return df.withColumns(changed)
 
 
 def scrub_event(
     df: DataFrame, fragments: Sequence[str], literals: Sequence[str] = (),
-    max_scan_bytes: int | None = MAX_SCAN_BYTES,
+    max_scan_bytes: int | None = None,
 ) -> DataFrame:
     """Message by token shape, context and tags by name, breadcrumbs both ways. Type, file,
     release, frames and breadcrumb categories stay as they are."""
@@ -51,7 +62,7 @@ def scrub_event(
 
 
 def scrub_fatal(
-    df: DataFrame, literals: Sequence[str] = (), max_scan_bytes: int | None = MAX_SCAN_BYTES
+    df: DataFrame, literals: Sequence[str] = (), max_scan_bytes: int | None = None
 ) -> DataFrame:
     """The lean variant for out-of-memory rows: message and file only."""
     return df.withColumns({

@@ -68,7 +68,7 @@ def running(
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
     columns = df.columns
-    df, keys = _without_nulls(df, keys)
+    df, keys = without_nulls(df, keys)
     needed = df if carry_columns is None else df.select(*dict.fromkeys([*keys, seq, *carry_columns]))
     sliced = with_slice(df, keys, seq, rows_per_slice)
     rows = _inside_slice(sliced, keys, seq, sums, lasts)
@@ -86,7 +86,7 @@ def running(
     return joined.select(*columns, *[c.alias(name) for name, c in out.items()])
 
 
-def _without_nulls(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def without_nulls(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Stand-ins for the keys that are never null, as joins would not match null keys: rows
     without a key form a group like any other and may be large."""
     added = {}

@@ -54,6 +54,7 @@ def attach_trail(
         line.where((F.col("__kind") == "event") & (F.col("__held") > 0))
         .select(scope, seq, "__count", F.least(F.col("__held"), F.lit(n)).alias("__take"),
                 F.floor((F.col("__count") - 1) / n).alias("__block"))
+        .dropDuplicates([scope, seq])  # an event delivered twice has one trail
     )
     found = spread_join(wanted, blocks, [scope, "__block"], seq, "inner", rows_per_slice)
     first = F.col("__count") - F.col("__take")

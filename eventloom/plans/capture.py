@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CaptureConfig, LogConfig
@@ -17,8 +17,7 @@ from ..operators.delivery import (
     classify_outcomes, failure_runs, is_success, suppress_events)
 from ..operators.events import from_fatals
 from ..operators.gates import (
-    MAX_RANK_LIMIT, REASON, before_send, buffer_cap, first_n, gate_enabled, mark, sample,
-    with_verdict)
+    REASON, before_send, buffer_cap, first_n, gate_enabled, mark, sample, with_verdict)
 from ..operators.logs import (
     build_log_batches, build_log_records, interpolate_messages, to_log_wire)
 from ..operators.payload import merge_context, to_error_payload
@@ -26,8 +25,9 @@ from ..operators.reports import drop_report
 from ..operators.requests import collect_request_context
 from ..operators.scopes import apply_scope
 from ..operators.scrub import scrub_event
-from ..operators.slices import ROWS_PER_SLICE
+from ..operators.slices import ROWS_PER_SLICE, without_nulls
 from ..operators.throttle import throttle
+from ..operators.trail import attach_trail
 from ..session import cut_lineage
 
 KEYS = ("event_id", "sender_id", "flush_id", "seq")
@@ -44,31 +44,18 @@ class Capture:
         return drop_report(self.verdicts, by)
 
 
-def _cap_and_dedupe(rows: DataFrame, n: int) -> DataFrame:
-    """``dedupe(buffer_cap(rows, n))`` with one join instead of two: after a small cap a flush is
-    short enough to number its copies where the cap has already brought it together."""
-    if n > MAX_RANK_LIMIT:
-        return dedupe(buffer_cap(rows, n))
-    live = rows.where(F.col(REASON).isNull()).select("flush_id", "seq", "fingerprint")
-    copies = Window.partitionBy("flush_id", "fingerprint")
-    kept = first_n(live, n).select(
-        "flush_id", "seq",
-        F.row_number().over(copies.orderBy("seq")).alias("__copy"),
-        F.count(F.lit(1)).over(copies).alias("__copies"))
-    judged = rows.join(kept, ["flush_id", "seq"], "left")
-    judged = mark(mark(judged, F.col("__copy").isNull(), "buffer"), F.col("__copy") > 1, "dedup")
-    first_of_many = F.col(REASON).isNull() & (F.col("__copies") > 1)
-    return judged.select(
-        *rows.columns, F.when(first_of_many, F.col("__copies")).alias("duplicate_count"))
-
-
 def capture_errors(
     events: DataFrame, scopes: DataFrame | None, cfg: CaptureConfig,
     responses: DataFrame | None = None, lean_rows: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int = ROWS_PER_SLICE, crumbs: DataFrame | None = None,
 ) -> Capture:
     """Gate, sample, scope, scrub, hook, buffer cap, dedupe, throttle and payload.
 
+    With ``crumbs`` (scope_id, seq, crumb, optionally reset) each event gets the last
+    ``max_breadcrumbs`` of its scope before it, behind its own and ahead of those of ``scopes``. Only
+    rows that are sent meet them, unless a hook needs them earlier. Events are known
+    by (event_id, flush_id, seq); null values match and rows that agree in all three are one delivery.
+
     Without a hook no verdict depends on scrubbed text, so verdicts are settled on a few narrow
     columns first and only the rows that are sent are joined to their scope and scrubbed.
 
@@ -82,6 +69,12 @@ def capture_errors(
 
     def enrich(df: DataFrame) -> DataFrame:
         full = df.where(~lean) if lean_rows else df
+        if crumbs is not None:
+            own = full.schema["breadcrumbs"].dataType
+            trailed = attach_trail(
+                full, crumbs, cfg.max_breadcrumbs, output="__trail", rows_per_slice=rows_per_slice)
+            full = trailed.withColumn("breadcrumbs", F.concat(
+                F.coalesce("breadcrumbs", F.array().cast(own)), F.col("__trail").cast(own))).drop("__trail")
         full = scrub(full if scopes is None else apply_scope(full, scopes, rows_per_slice))
         return full.unionByName(df.where(lean)) if lean_rows else full
 
@@ -104,7 +97,7 @@ def capture_errors(
     endpoint = [] if responses is None else ["endpoint"]
     printed = with_fingerprint(base, cfg.fingerprint_message)
     verdicts = printed.select(*KEYS, *endpoint, "timestamp", "fingerprint", REASON)
-    verdicts = _cap_and_dedupe(verdicts, cfg.max_buffered_events)
+    verdicts = dedupe(buffer_cap(verdicts, cfg.max_buffered_events))
     verdicts = cut_lineage(verdicts, "verdicts")
     if responses is not None:
         verdicts = suppress_events(
@@ -115,8 +108,11 @@ def capture_errors(
         rows_per_slice=rows_per_slice)
     verdicts = cut_lineage(verdicts, "verdicts")
 
-    sent = verdicts.where(F.col(REASON).isNull()).select("flush_id", "seq", "duplicate_count")
-    rows = base.drop(REASON).join(sent, ["flush_id", "seq"])
+    place = ["event_id", "flush_id", "seq"]
+    sent = verdicts.where(F.col(REASON).isNull()).select(*place, "duplicate_count").dropDuplicates(place)
+    side, keys = without_nulls(sent, place)
+    rows, _ = without_nulls(base.drop(REASON), place)
+    rows = rows.join(side.drop(*place), keys).drop(*keys)
     rows = rows if hooked else enrich(rows)
     tag = F.create_map(F.lit("duplicate_count"), F.col("duplicate_count").cast("string"))
     rows = rows.withColumn("tags", F.when(
@@ -135,14 +131,21 @@ def capture_logs(
     row per batch body.
     """
     enabled = log_endpoint(F.lit(cfg.endpoint).cast("string")).isNotNull() & F.lit(bool(cfg.token))
-    verdicts = buffer_cap(with_verdict(records.select("flush_id", "seq")), cfg.max_buffered_logs)
-    verdicts = mark(verdicts, ~enabled, "disabled")
-
-    kept = first_n(records, cfg.max_buffered_logs).where(enabled)
+    # One first-n over narrow rows serves the verdicts, the batches and the places in them.
+    buffered = cut_lineage(first_n(
+        records.select("flush_id", "seq"), cfg.max_buffered_logs, place="__place"), "buffered")
+    side, keys = without_nulls(buffered, ["flush_id", "seq"])
+    side = side.groupBy(*keys).agg(F.min("__place").alias("__place"))
+    rows, _ = without_nulls(records, ["flush_id", "seq"])
+    joined = rows.join(side, keys, "left").drop(*keys)
+    verdicts = mark(with_verdict(joined.select("flush_id", "seq", "__place")), F.col("__place").isNull(), "buffer")
+    verdicts = mark(verdicts, ~enabled, "disabled").drop("__place")
+
+    kept = joined.where(F.col("__place").isNotNull() & enabled)
     filled = interpolate_messages(kept, cfg.fragments if cfg.safe_interpolation else None)
     clean = build_log_records(
         filled, cfg.fragments, cfg.literals, cfg.app_name, cfg.environment, cfg.max_scan_bytes)
-    batches = build_log_batches(to_log_wire(clean), cfg.batch_size, rows_per_slice=rows_per_slice)
+    batches = build_log_batches(to_log_wire(clean), cfg.batch_size, place="__place")
     return Capture(verdicts, batches)
 
 

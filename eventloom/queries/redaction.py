@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT_FRAGMENTS
 from ..functions.net import anonymize_ip
-from ..functions.redact import scrub_query_string, scrub_text, scrub_url
+from ..functions.redact import SCAN_BOUND, scrub_query_string, scrub_text, scrub_url
 from ..functions.text import cap_bytes
 from ..operators.requests import collect_request_context, pseudonymize_session, with_client_ip
 from ..operators.routing import route_by_dsn, route_by_log_endpoint
@@ -38,8 +38,7 @@ def masked_sql(text: str) -> str:
 
 @query("scrub_text", f"""
 WITH {TOK}
-SELECT doc_id, CASE WHEN strlen(text) <= 8192 THEN {masked_sql("replace(text, 'doc-secret', '[REDACTED]')")}
-                    ELSE text END AS text FROM tok""")
+SELECT doc_id, {masked_sql("replace(text, 'doc-secret', '[REDACTED]')")} AS text FROM tok""")
 def scrub(spark, sf):
     return views.tok(spark, sf).select(
         "doc_id", scrub_text(F.col("text"), ["doc-secret"]).alias("text"))
@@ -47,9 +46,17 @@ def scrub(spark, sf):
 
 @query("scrub_text_full", f"WITH {TOK} SELECT doc_id, {masked_sql('text')} AS text FROM tok")
 def scrub_full(spark, sf):
-    """Without the size bound: long texts are scanned too."""
+    """Token shapes only, no literals."""
+    return views.tok(spark, sf).select("doc_id", scrub_text(F.col("text")).alias("text"))
+
+
+@query("scrub_text_bounded", f"""
+WITH {TOK}
+SELECT doc_id, CASE WHEN strlen(text) <= 8192 THEN {masked_sql('text')} ELSE text END AS text FROM tok""")
+def scrub_bounded(spark, sf):
+    """The bound on scanned texts, asked for by the caller: longer texts stay as they are."""
     return views.tok(spark, sf).select(
-        "doc_id", scrub_text(F.col("text"), max_scan_bytes=None).alias("text"))
+        "doc_id", scrub_text(F.col("text"), max_scan_bytes=SCAN_BOUND).alias("text"))
 
 
 @query("scrub_map", f"""

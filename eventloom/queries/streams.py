@@ -38,7 +38,7 @@ SELECT event_id, message || CASE WHEN k % 4 = 0 THEN ' key [REDACTED]' ELSE '' E
 FROM ev WHERE CAST(('0x' || substr(sha1(CAST(event_id AS VARCHAR) || ':s1'), 1, 8)) AS UBIGINT) % 1000000 < 500000""")
 def redact(spark, sf):
     events = views.full_events(views.shape_events(source(spark, sf, "events")))
-    cfg = CaptureConfig(sample_rate=0.5, sample_seed="s1")
+    cfg = CaptureConfig(dsn="https://ingest.example.com/proj1", sample_rate=0.5, sample_seed="s1")
     p = F.col("payload")
     return drain(stream_redact(events, cfg).select(
         "event_id", p["message"].alias("message"),
@@ -100,13 +100,17 @@ def alerts(spark, sf):
 
 
 @query("stream_log_batches", """
-SELECT (count(*) + 19) // 20 AS batches, count(*) AS records,
-       CASE WHEN count(*) % 20 = 0 THEN 20 ELSE count(*) % 20 END AS last_batch FROM conversations""")
+WITH n AS (
+  SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id * 1000 + turn) - 1 AS place, text FROM conversations)
+SELECT role, place // 20 AS batch_no, count(*) AS records,
+       sum(len('turn {turn} by {role}: {missing} ' || text)) AS chars
+FROM n GROUP BY role, place // 20""")
 def log_batches(spark, sf):
-    """The whole table arrives as one micro-batch and so as one flush."""
+    """Flushes of a micro-batch by the record's role; what the bodies hold is read back."""
     records = views.shape_logs(source(spark, sf, "conversations"))
     path = scratch_path(spark, "batches")
-    stream_log_batches(records, f"{path}/out", f"{path}/checkpoint", 20).awaitTermination()
-    return spark.read.parquet(f"{path}/out").agg(
-        F.count(F.lit(1)).alias("batches"), F.sum("records").alias("records"),
-        F.max_by("records", "batch_no").alias("last_batch"))
+    stream_log_batches(records.withColumn("role", F.col("context")["role"]), f"{path}/out", f"{path}/checkpoint", 20, by=("role",), parts=1).awaitTermination()
+    entries = F.from_json("body", "logs array<struct<message:string>>")["logs"]
+    return spark.read.parquet(f"{path}/out").select(
+        F.split("flush_id", "/")[1].alias("role"), "batch_no", "records",
+        F.aggregate(entries, F.lit(0).cast("long"), lambda n, e: n + F.length(e["message"])).alias("chars"))

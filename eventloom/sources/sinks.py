@@ -47,12 +47,15 @@ def null_sink(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def deliver(df: DataFrame, sink: Sink, checkpoint: str | None = None) -> StreamingQuery | None:
-    """Hand a frame to a sink: at once for a table, per micro-batch for a stream."""
+def deliver(
+    df: DataFrame, sink: Sink, checkpoint: str | None = None, trigger: dict | None = None
+) -> StreamingQuery | None:
+    """Hand a frame to a sink: at once for a table, per micro-batch for a stream. ``trigger`` takes
+    the arguments of Spark's trigger; by default what is available is processed once."""
     if not df.isStreaming:
         sink(df)
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
     return (df.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda batch, _: sink(batch)).trigger(availableNow=True).start())
+            .foreachBatch(lambda batch, _: sink(batch)).trigger(**(trigger or {"availableNow": True})).start())

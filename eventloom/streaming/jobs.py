@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import CaptureConfig
+from ..functions.net import dsn_parts
 from ..operators.dedupe import with_fingerprint
 from ..operators.gates import gate_enabled, sample
 from ..operators.logs import build_log_batches, to_log_wire
@@ -17,8 +18,10 @@ from ..operators.scrub import scrub_event
 
 
 def stream_redact(events: DataFrame, cfg: CaptureConfig) -> DataFrame:
-    """Gate, sample, scrub and shape events as they arrive (append mode, no state)."""
-    kept = sample(gate_enabled(events, cfg.enabled, keep_dropped=False), cfg.sample_rate,
+    """Gate, sample, scrub and shape events as they arrive (append mode, no state). Without a usable
+    DSN nothing passes, as in the batch job."""
+    dsn = dsn_parts(F.lit(cfg.dsn).cast("string"))
+    kept = sample(gate_enabled(events, cfg.enabled, dsn, keep_dropped=False), cfg.sample_rate,
                   seed=cfg.sample_seed, keep_dropped=False)
     clean = scrub_event(kept, cfg.fragments, cfg.literals, cfg.max_scan_bytes)
     return to_error_payload(clean)
@@ -48,17 +51,23 @@ def stream_first_only(
 
 
 def stream_log_batches(
-    records: DataFrame, path: str, checkpoint: str, size: int = 1000
+    records: DataFrame, path: str, checkpoint: str, size: int = 1000,
+    by: Sequence[str] = ("sender_id",), parts: int = 64, trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the batches of every micro-batch, which takes the role of a flush, to ``path``.
+    """Write the batches of every micro-batch to ``path``.
 
-    Each micro-batch writes its own folder and replaces it when run again after a failure.
+    The records of a micro-batch are flushed per sender (``by``, where these columns are there) and
+    per hash of their place, so that no sender and no micro-batch is numbered in one task. Each
+    micro-batch writes its own folder and replaces it when run again after a failure. ``trigger``
+    takes the arguments of Spark's trigger; by default what is available is processed once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        flushed = to_log_wire(batch.withColumn("flush_id", F.lit(batch_id).cast("long")))
-        build_log_batches(flushed, size).write.mode("overwrite").parquet(
+        senders = [F.col(c).cast("string") for c in by if c in batch.columns]
+        part = F.pmod(F.xxhash64("seq"), F.lit(parts)).cast("string")
+        flush = F.concat_ws("/", F.lit(str(batch_id)), *[F.coalesce(s, F.lit("")) for s in senders], part)
+        build_log_batches(to_log_wire(batch.withColumn("flush_id", flush)), size).write.mode("overwrite").parquet(
             f"{path}/micro_batch={batch_id}")
 
     return (records.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(write).trigger(availableNow=True).start())
+            .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())

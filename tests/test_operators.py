@@ -9,16 +9,16 @@ from pyspark.sql import functions as F
 from eventloom.config import CaptureConfig, LogConfig
 from eventloom.functions.redact import scrub_value
 from eventloom.operators.dedupe import dedupe, with_fingerprint
-from eventloom.operators.delivery import classify_outcomes, suppress_after_429
+from eventloom.operators.delivery import classify_outcomes, suppress_after_429, suppress_events
 from eventloom.operators.events import from_fatals, from_messages
-from eventloom.operators.gates import before_send, buffer_cap, last_n, sample
+from eventloom.operators.gates import before_send, buffer_cap, first_n, last_n, sample
 from eventloom.operators.logs import build_log_batches, interpolate_messages, stringify_context, to_log_wire
 from eventloom.operators.payload import event_to_row, stringify_tags, to_error_payload
 from eventloom.operators.reports import drop_report, merge_reports
 from eventloom.operators.requests import collect_request_context
 from eventloom.operators.scopes import apply_scope, layer_scopes
 from eventloom.operators.scrub import scrub_event, scrub_fatal, scrub_fields
-from eventloom.plans.capture import _cap_and_dedupe, capture_errors, capture_logs
+from eventloom.plans.capture import capture_errors, capture_logs
 from eventloom.schemas import EVENT, ROUTING
 from eventloom.session import scratch_path
 from eventloom.sources.jsonl import event_lines, read_events_jsonl, write_events_jsonl
@@ -69,15 +69,62 @@ def test_cap_counts_duplicates_first(spark):
     assert drop_report(out).head().asDict()["dropped_buffer"] == 5
 
 
-def test_cap_and_dedupe_in_one_step(spark):
-    rows = [event(i, flush_id=f"f{i % 3}", line=i * i % 7, event_id=i) for i in range(200)]
-    df = with_fingerprint(events(spark, *rows)).withColumn(
-        "drop_reason", F.when(F.col("seq") % 11 == 0, "sampled")).select(
+def _odd(spark):
+    """Rows without a flush, without a type, and with equal seq."""
+    rows = [event(i // 2, flush_id=None if i % 3 == 0 else f"f{i % 2}", line=i * i % 7, event_id=i) for i in range(200)]
+    return with_fingerprint(events(spark, *rows)).withColumn(
+        "drop_reason", F.when(F.col("event_id") % 11 == 0, "sampled")).select(
         "event_id", "flush_id", "seq", "fingerprint", "drop_reason")
-    one = _cap_and_dedupe(df, 25)
-    two = dedupe(buffer_cap(df, 25))
-    assert one.columns == two.columns
-    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+@pytest.mark.parametrize("n", [25, 1500])
+def test_null_groups_and_equal_seq(spark, n):
+    df = _odd(spark)
+    flushes, want = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r.seq, r.event_id)):
+        if r.drop_reason:
+            want[r.event_id] = r.drop_reason
+            continue
+        seen = flushes.setdefault(r.flush_id, [])
+        seen.append(r.fingerprint)
+        want[r.event_id] = "buffer" if len(seen) > n else "dedup" if r.fingerprint in seen[:-1] else None
+    out = dedupe(buffer_cap(df, n))
+    assert out.count() == 200
+    assert {r.event_id: r.drop_reason for r in out.collect()} == want
+    kept = dedupe(buffer_cap(df, n, keep_dropped=False), keep_dropped=False)
+    assert {r.event_id for r in kept.collect()} == {k for k, v in want.items() if v is None}
+    firsts = first_n(df, n).groupBy("flush_id").count().collect()
+    sizes = {r.flush_id: r["count"] for r in df.groupBy("flush_id").count().collect()}
+    assert {r.flush_id: r["count"] for r in firsts} == {k: min(n, v) for k, v in sizes.items()}
+
+
+def test_suppress_without_endpoint(spark):
+    rows = spark.createDataFrame([(None, 1, 100), ("e", 2, 100), (None, 3, 105), ("e", 4, 105)],
+                                 "endpoint string, seq long, s long")
+    rows = rows.withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    answers = spark.createDataFrame([(None, 2, 101, 429, 10)], "endpoint string, seq long, s long, status int, retry_after int")
+    answers = answers.withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    out = suppress_events(rows, answers)
+    assert {(r.endpoint, r.seq): r.drop_reason for r in out.collect()} == {
+        (None, 1): None, (None, 3): "rate_limit", ("e", 2): None, ("e", 4): None}
+
+
+def test_hook_that_adds_a_column(spark):
+    df = events(spark, event(1), event(2)).withColumn("drop_reason", F.when(F.col("seq") == 2, "sampled"))
+    out = before_send(df, lambda rows: rows.withColumns({"team": F.lit("a"), "line": F.col("line").cast("string")}),
+                      lambda d: d).orderBy("seq").collect()
+    assert [(r["team"], r["line"], r["drop_reason"]) for r in out] == [("a", out[0]["line"], None), (None, None, "sampled")]
+
+
+def test_json_is_kept_as_written(spark):
+    texts = ['{}', '{"a":1.10,"token":"x","a":1e400,"b":{}}', '{ "plain" : 1.0 }', "oops", "5", None, '{"\\u0074oken":"x"}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string")
+    out = scrub_fields(df, ["c"], ("token",), unreadable="broken").orderBy("i").collect()
+    assert [r["c"] for r in out] == ['{}', '{"a":1.10,"token":"[REDACTED]","a":1e400,"b":{}}', '{ "plain" : 1.0 }', "[]", "[]",
+                                     None, '{"token":"[REDACTED]"}']
+    assert [r["broken"] for r in out] == [[], [], [], ["c"], ["c"], [], []]
+    deep = spark.createDataFrame([('{"a":{"b":{"c":1}}}',)], "c string")
+    assert scrub_fields(deep, ["c"], ("x",), depth=2).first()[0] == '{"a":{"b":[]}}'
 
 
 def test_large_cap_and_last_n(spark):
@@ -156,7 +203,7 @@ def test_scrub_depth(spark):
     nested = '{"a":' * 18 + "1" + "}" * 18
     js = spark.createDataFrame([(nested,), ("{}",), ("oops",), (None,), ("[1,{\"Token\":2}]",)], "c string")
     got = [r[0] for r in scrub_fields(js, ["c"], ("token",)).collect()]
-    assert got == ['{"a":' * 16 + "[]" + "}" * 16, "[]", "[]", None, '[1,{"Token":"[REDACTED]"}]']
+    assert got == ['{"a":' * 16 + "[]" + "}" * 16, "{}", "[]", None, '[1,{"Token":"[REDACTED]"}]']
 
 
 def test_before_send(spark):
@@ -191,8 +238,20 @@ def test_layer_scopes(spark):
     out = {r["scope_id"]: r for r in layer_scopes(df, 2).collect()}
     assert out["c"]["tags"] == {"x": "1", "y": "2", "z": "3"} and out["c"]["user"] == {"id": "c"}
     assert out["b"]["user"] == {"id": "a"} and out["c"]["extra"] == {"e": "b"} and out["a"]["tags"] == rows[0][2]
-    with pytest.raises(Exception, match="ancestors"):
-        layer_scopes(df, 1).collect()
+    assert {r["scope_id"]: r["tags"] for r in layer_scopes(df).collect()} == {k: r["tags"] for k, r in out.items()}
+    with pytest.raises(ValueError, match="ancestors"):
+        layer_scopes(df, 1)
+    ring = df.withColumn("parent_scope_id", F.when(F.col("scope_id") == "a", "c").otherwise(F.col("parent_scope_id")))
+    with pytest.raises(ValueError, match="own ancestor"):
+        layer_scopes(ring)
+
+
+def test_layer_scopes_of_any_depth(spark):
+    rows = [(f"s{i}", f"s{i - 1}" if i else None, {str(i): "x"}, {}, {}) for i in range(9)]
+    df = spark.createDataFrame(rows, "scope_id string, parent_scope_id string, tags map<string,string>, "
+                               "user map<string,string>, extra map<string,string>")
+    out = {r["scope_id"]: r["tags"] for r in layer_scopes(df).collect()}
+    assert set(out["s8"]) == set("012345678") and len(out) == 9
 
 
 def test_request_context(spark):

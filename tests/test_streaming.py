@@ -71,6 +71,19 @@ def test_log_batches_per_micro_batch(spark):
         F.col("id").alias("seq"), F.lit("info").alias("level"), F.lit("m").alias("message"),
         F.lit(T0).alias("timestamp"), F.lit(None).cast("map<string,string>").alias("context"))
     path = scratch_path(spark, "logs")
-    stream_log_batches(feed(spark, df, 2), f"{path}/out", f"{path}/checkpoint", 20).awaitTermination()
+    stream_log_batches(feed(spark, df, 2), f"{path}/out", f"{path}/checkpoint", 20, parts=1).awaitTermination()
     out = spark.read.parquet(f"{path}/out").orderBy("flush_id", "batch_no").collect()
     assert [r["records"] for r in out] == [20, 20, 10, 20, 20, 10]
+
+
+def test_log_batches_by_sender_and_part(spark):
+    df = spark.range(300).select(
+        F.col("id").alias("seq"), (F.col("id") % 2).cast("string").alias("sender_id"), F.lit("info").alias("level"),
+        F.lit("m").alias("message"), F.lit(T0).alias("timestamp"),
+        F.lit(None).cast("map<string,string>").alias("context"))
+    path = scratch_path(spark, "logs")
+    stream_log_batches(feed(spark, df, 2), f"{path}/out", f"{path}/checkpoint", 20, parts=4,
+                       trigger={"availableNow": True}).awaitTermination()
+    out = spark.read.parquet(f"{path}/out").collect()
+    assert sum(r["records"] for r in out) == 300 and max(r["records"] for r in out) <= 20
+    assert len({r["flush_id"] for r in out}) == 2 * 2 * 4
