@@ -9,7 +9,7 @@ from .text import strip_blanks
 
 # The five event severities and the eight log levels.
 SEVERITIES = ("debug", "info", "warning", "error", "fatal")
-LOG_LEVELS = ("debug", "info", "notice", "warning", "error", "critical", "alert", "emergency")
+LOG_LEVELS = ("emergency", "alert", "critical", "error", "warning", "notice", "info", "debug")
 
 # Error code -> name.
 ERRNO_NAMES = {

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -110,10 +109,6 @@ def merge_maps(base: Column, over: Column) -> Column:
     return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(over, k)), over)
 
 
-def merge_all(maps: list[Column]) -> Column:
-    return reduce(merge_maps, maps)
-
-
 def interpolate(message: Column, values: Column) -> Column:
     """Replace ``{key}`` by ``values[key]`` in one pass; unknown keys and null values stay."""
     tokens = F.regexp_extract_all(message, F.lit(r"\{[^{}]*\}|[^{]+|\{"), F.lit(0))

@@ -20,10 +20,6 @@ def route_by_dsn(df: DataFrame, dsn: str = "dsn") -> DataFrame:
     }).drop("__dsn")
 
 
-def rejected_dsns(df: DataFrame, dsn: str = "dsn") -> DataFrame:
-    return df.where(dsn_parts(F.col(dsn)).isNull())
-
-
 def route_by_log_endpoint(df: DataFrame, endpoint: str = "endpoint", token: str = "token") -> DataFrame:
     """Add ``log_base`` and, where a token is set too, ``batch_url``."""
     base: Column = log_endpoint(F.col(endpoint))

@@ -1,7 +1,8 @@
 """Running totals and lookups that stay balanced when one key holds a large share of the rows.
 
 A key with more than ``rows_per_slice`` rows is cut along ``seq`` into slices of about that many
-rows. Windows run inside a slice; what earlier slices carry over is one small row per slice.
+rows, at quantiles of ``seq``, so gaps and outliers make no slice larger. There are at most ``CUTS``
+slices per key; results don't depend on them. Windows run inside a slice; what earlier slices carry over is one small row per slice.
 Keys below the threshold form a single slice, so they cost one plain window. The list of large
 keys never exceeds ``MAX_HOT_KEYS`` rows, which bounds what is broadcast; a key beyond that list
 holds less than a ``MAX_HOT_KEYS``-th of all rows.
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 4_000_000
 MAX_HOT_KEYS = 10_000
+CUTS = 256
 
 SLICE = "__slice"
 _PARTS = "__parts"
@@ -37,16 +39,20 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int, *extra: Co
 
 
 def with_slice(df: DataFrame, keys: Sequence[str], seq: str, rows_per_slice: int) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, equal widths of ``seq`` from 1 on for large ones."""
-    # The same narrow input in every branch lets Spark compute the list once.
-    bounds = hot_keys(
-        df.select(*keys, seq), keys, rows_per_slice, F.min(seq).alias("__low"), F.max(seq).alias("__high"))
-    width = F.greatest(F.lit(1), F.ceil((F.col("__high") - F.col("__low") + 1) / F.col(_PARTS)))
-    number = F.floor((F.col(seq) - F.col("__low")) / width) + 1
+    """Add the slice number: 0 for ordinary keys, from 1 on for large ones, along ``seq``."""
+    # The same narrow input in every branch lets Spark compute the lists once.
+    narrow = df.select(*keys, seq)
+    hot = hot_keys(narrow, keys, rows_per_slice)
+    quantiles = F.percentile_approx(seq, [i / CUTS for i in range(1, CUTS)], 50 * CUTS)
+    step = F.greatest(F.lit(1), F.floor(F.lit(CUTS) / F.first(_PARTS)))
+    bounds = narrow.join(F.broadcast(hot), list(keys)).groupBy(*keys).agg(
+        quantiles.alias("__all"), step.alias("__step")).select(
+        *keys, F.filter("__all", lambda x, i: (i + 1) % F.col("__step") == 0).alias("__cuts"))
+    number = F.size(F.filter("__cuts", lambda c: c < F.col(seq))) + 1
     return (
         df.join(F.broadcast(bounds), list(keys), "left")
-        .withColumn(SLICE, F.coalesce(number, F.lit(0)))
-        .drop("__low", "__high", _PARTS)
+        .withColumn(SLICE, F.when(F.col("__cuts").isNotNull(), number).otherwise(0).cast("long"))
+        .drop("__cuts")
     )
 
 

@@ -35,7 +35,11 @@ class Bucket:
 
     @classmethod
     def of(cls, rate_per_second: str | int | Fraction, burst: int) -> Bucket:
-        rate = Fraction(rate_per_second) / 1_000_000
+        """The rate is taken as the nearest fraction with a denominator up to a million per second;
+        a burst that doesn't fit 64-bit levels is refused while the plan is built."""
+        rate = Fraction(rate_per_second).limit_denominator(1_000_000) / 1_000_000
+        if burst < 1 or rate < 0 or (burst + 1) * rate.denominator >= 1 << 62 or rate.numerator >= 1 << 62:
+            raise ValueError(f"rate {rate_per_second} and burst {burst} don't fit 64-bit levels")
         return cls(rate.numerator, rate.denominator, burst * rate.denominator)
 
     def refill(self, level: int, elapsed: int) -> int:
@@ -213,7 +217,8 @@ def throttle(
     decided = _sorted(line, ["key", SLICE], ["kind", "seq"]).mapInPandas(
         _replay(bucket), "key string, seq long, allowed boolean")
 
-    verdicts = decided.select(F.col("key").alias("__key"), F.col("seq").alias(seq), "allowed")
+    # Rows that agree in key and seq share their fate: allowed if one of them was.
+    verdicts = decided.groupBy(F.col("key").alias("__key"), F.col("seq").alias(seq)).agg(F.max("allowed").alias("allowed"))
     keyed = df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("")))
     out = keyed.join(verdicts, ["__key", seq], "left")
     return mark(out, ~F.col("allowed"), "rate_limit", keep_dropped).select(*df.columns)

@@ -26,17 +26,38 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Per application: its own folder where none is configured, and what it wrote.
+_own_folder: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor must be able to reach.
 
-    Only a local master may fall back to a temporary folder.
+    Only a local master, whose tasks share the driver's disk, may leave it unset.
     """
+    app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="eventloom-")
-    return f"{base.rstrip('/')}/eventloom-{label}-{uuid.uuid4().hex}"
+        if app not in _own_folder:
+            _own_folder[app] = tempfile.mkdtemp(prefix="eventloom-")
+        base = _own_folder[app]
+    path = f"{base.rstrip('/')}/eventloom-{label}-{uuid.uuid4().hex}"
+    _written.setdefault(app, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application wrote to its scratch folders, once results that read it are
+    written themselves; returns the number of folders."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:

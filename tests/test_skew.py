@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.delivery import dropped_since_last_send, failure_runs, is_success, suppress_after_429
 from eventloom.operators.logs import build_log_batches
-from eventloom.operators.slices import numbered, running, spread_join
+from eventloom.operators.slices import SLICE, numbered, running, spread_join, with_slice
 from eventloom.operators.throttle import Bucket, apply_pieces, level_pieces, replay, throttle
 from eventloom.operators.trail import attach_trail
 
@@ -48,6 +48,30 @@ def test_running_with_null_key(spark, dtype):
     assert got == [*range(300), *range(50)]
 
 
+def test_slices_hold_equal_counts(spark):
+    """One outlier, a gap and a dense stretch don't make a slice larger."""
+    seqs = [*range(0, 6000, 3), *range(10**6, 10**6 + 8000), 10**15]
+    df = spark.createDataFrame([("hot", s) for s in seqs] + [("cold", s) for s in range(50)], "k string, seq long")
+    sizes = {(r["k"], r[SLICE]): (r["n"], r["a"], r["b"]) for r in with_slice(df, ["k"], "seq", 100).groupBy("k", SLICE).agg(
+        F.count("*").alias("n"), F.min("seq").alias("a"), F.max("seq").alias("b")).collect()}
+    assert sizes.pop(("cold", 0))[0] == 50
+    assert sum(n for n, _, _ in sizes.values()) == len(seqs) and max(n for n, _, _ in sizes.values()) <= 200
+    ordered = [sizes[k] for k in sorted(sizes)]
+    assert all(x[2] < y[1] for x, y in zip(ordered, ordered[1:]))
+
+
+def test_bucket_that_does_not_fit():
+    assert Bucket.of("0.333333333333333", 20) == Bucket.of("1/3", 20)
+    with pytest.raises(ValueError, match="64-bit"):
+        Bucket.of("1/999999", 10**8)
+
+
+def test_throttle_with_repeated_rows(spark):
+    rows = [("s", i // 2, T0) for i in range(40)]
+    out = throttle(spark.createDataFrame(rows, "sender_id string, seq long, ts timestamp"), rate="1/11", burst=5)
+    assert out.count() == 40
+
+
 def test_spread_join(spark):
     rng = random.Random(1)
     rows = [*skewed(rng, 2000), *[(None, -i) for i in range(400)]]
