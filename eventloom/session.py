@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows with whole texts: a batch of the default 10,000 would weigh tens of megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
