@@ -73,7 +73,7 @@ def annotate(df: DataFrame, fields: str | T.StructType, build: Callable, text: s
 class WordHash(dict):
     """Word to 64-bit hash; remembers a bounded number of words."""
 
-    LIMIT = 200_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
