@@ -35,7 +35,8 @@ from .weak_rules import text_counts
 ROUNDS = 10
 BINS = 2000
 STEPS = (1.0, 0.5, 0.2, 0.05)
-RIDGE = 1e-4
+#: Ridge: a constant, and a part that fades as trusted positives get more.
+RIDGE, RIDGE_ROWS = 1e-4, 3.0
 
 
 def features(counts: list[list[int]]) -> np.ndarray:
@@ -95,6 +96,7 @@ def _design(x, mean, scale):
 def fit(table: DataFrame, prior: float, mean, scale, counts, start: np.ndarray, rounds: int) -> np.ndarray:
     """Weights of least non-negative risk. ``counts``: rows of U and P."""
     n_u, n_p = counts
+    strength = RIDGE + RIDGE_ROWS / n_p
     d = len(mean) + 1
     per = 3 + 2 * d + d * d  # losses on P, on -P and on -U; gradients on -U and on -P; curvature
 
@@ -117,12 +119,12 @@ def fit(table: DataFrame, prior: float, mean, scale, counts, start: np.ndarray,
     for _ in range(rounds):
         for w, t in zip(candidates, terms(candidates)):
             negative = t[2] / n_u - prior * t[1] / n_p
-            risk = prior * t[0] / n_p + max(0.0, negative) + RIDGE * w[:-1] @ w[:-1]
+            risk = prior * t[0] / n_p + max(0.0, negative) + strength * w[:-1] @ w[:-1]
             if best is None or risk < best[0]:
                 best = (risk, w, negative, t)
         _, w, negative, t = best
         grad_u, grad_p = t[3:3 + d] / n_u, t[3 + d:3 + 2 * d] / n_p
-        ridge = np.append(np.full(d - 1, 2 * RIDGE), 1e-9)
+        ridge = np.append(np.full(d - 1, 2 * strength), 1e-9)
         curve = t[3 + 2 * d:].reshape(d, d) / n_u + np.diag(ridge)
         if negative < 0:  # go back: raise the risk on negatives
             step = np.linalg.solve(curve, grad_u - prior * grad_p)
