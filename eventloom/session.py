@@ -51,17 +51,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete what this application wrote to its scratch folders, once results that read it are
     written themselves; returns the number of folders."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of frames from ``cut_lineage`` that nothing will read again."""
+    for df in frames:
+        path = getattr(df, "_scratch_folder", None)
+        if path is not None:
+            written = _written.get(df.sparkSession.sparkContext.applicationId, [])
+            if path in written:
+                written.remove(path)
+                _delete(df.sparkSession, path)
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` once as parquet in the scratch folder and continue from the written table.
 
@@ -70,4 +84,6 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._scratch_folder = path
+    return written
