@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .common import WordHash, chain, mix, row_ids, slices
 
 RUN_WINDOWS = 512
@@ -209,6 +209,9 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8, filter_bits:
               .select(F.col("row").alias("__row"), F.transform("spans", lambda s: F.struct(
                   (s["start"] + F.col("start")).alias("start"), (s["stop"] + F.col("start")).alias("stop"))).alias("s"))
               .groupBy("__row").agg(F.flatten(F.collect_list("s")).alias("__spans")))
+    # Few numbers per document; the packed strings are done with.
+    by_row = cut_lineage(by_row, "repeated-spans")
+    release(moved, strings)
     names = {f.split()[0] for f in RESULT.split(", ")}
     marked_docs = base.drop(*names).join(by_row, "__row", "left").drop("__row")
     return _cut(marked_docs)
