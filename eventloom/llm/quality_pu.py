@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .common import annotate, crc_fold
 from .weak_rules import text_counts
 
@@ -158,20 +158,22 @@ def pu_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds
 
     Labels of rows in the held-out fold are never read, nor are their texts trained on.
     """
-    names = ("features", "held_out", "score", "predicted", "positive")
-    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names])
-    scored = cut_lineage(annotate(plain, "features array<float>", _build, keep_text=keep_text)
-                         .withColumn("held_out", F.coalesce(crc_fold("doc_id", folds) == held_fold, F.lit(False))), "features")
+    names = ("held_out", "score", "predicted")
+    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in names]).withColumn(
+        "held_out", F.coalesce(crc_fold("doc_id", folds) == held_fold, F.lit(False)))
     seen = (labels.where(crc_fold("doc_id", folds) != held_fold).groupBy("doc_id")
             .agg((F.min("quality") == 1).alias("positive")))
+    # Only statistics are written; texts are read a second time to be scored.
+    described = annotate(plain.where(~F.col("held_out")).select("doc_id", "text"), "features array<float>", _build)
     # Trusted positives, and texts without any label; known negatives take no part.
-    table = (scored.where(~F.col("held_out")).select("doc_id", "features").join(seen.withColumn("known", F.lit(True)), "doc_id", "left")
+    table = (described.join(seen.withColumn("known", F.lit(True)), "doc_id", "left")
              .where("known is null or positive").select("features", F.coalesce("positive", F.lit(False)).alias("positive")))
     table = cut_lineage(table, "pu-table")
     n = table.groupBy("positive").count().collect()
     counts = tuple(next((r["count"] for r in n if r["positive"] is side), 0) for side in (False, True))
     if not all(counts):
-        return scored.drop("features").withColumns({"score": F.lit(0.5), "predicted": F.lit(int(threshold <= 0.5))})
+        none = plain if keep_text else plain.drop("text")
+        return none.withColumns({"score": F.lit(0.5), "predicted": F.lit(int(threshold <= 0.5))})
     d = len(features([[0]] * 13)[0])
     moments = _sums(table, lambda x, positive: np.concatenate([x[~positive].sum(axis=0), (x[~positive] ** 2).sum(axis=0)]), 2 * d)
     mean = moments[:d] / counts[0]
@@ -179,16 +181,15 @@ def pu_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds
     first = fit(table, 0.5, mean, scale, counts, np.zeros(d + 1), rounds // 2)
     prior = estimate_prior(table, first, mean, scale, counts)
     weights = fit(table, prior, mean, scale, counts, first, rounds)
-    carried = [c for c in scored.columns if c != "features"]
+    release(table)
 
-    def score(batches):
-        for batch in batches:
-            x = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            value = _sigmoid(_design(x.astype(np.float64), mean, scale) @ weights)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in carried), pa.array(value), pa.array((value >= threshold).astype(np.int32))],
-                [*carried, "score", "predicted"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema if f.name != "features"),
-                        "score double", "predicted int"])
-    return scored.select(*[F.col(f"`{c}`") for c in carried], "features").mapInArrow(score, schema)
+    def build():
+        count = text_counts()
+
+        def work(texts):
+            value = _sigmoid(_design(features(count(texts)).astype(np.float64), mean, scale) @ weights)
+            return [value, (value >= threshold).astype(np.int32)]
+
+        return work
+
+    return annotate(plain, "score double, predicted int", build, keep_text=keep_text)
