@@ -5,10 +5,11 @@ Markov chain of ``states`` latent states emits symbols: the ``symbols`` most fre
 their own, any other word has the symbol of its class (a hash of its last bytes), times the word's
 smoothed share of its class. So every text has a proper probability, unknown words included.
 
-Baum-Welch: tasks run scaled forward and backward recursions over all training texts, in pieces of
-``SEGMENT`` tokens, and send expected counts of emissions, transitions and starts; Spark adds them up
-and the driver normalises, ``rounds`` times. Only the starting point comes from a bounded sample. The
-score of a text is the exact scaled forward recursion over the whole text.
+Baum-Welch: tasks run scaled forward and backward recursions over all training texts, each in whole,
+and send expected counts of emissions, transitions and starts; Spark adds them up and the driver
+normalises, until a round gains less than ``GAIN`` a token, at most ``rounds`` times. The first model is
+the unigram model tilted at random; no sample of texts shapes it. The score of a text is the exact scaled
+forward recursion over the whole text.
 
 What is sent to tasks is bounded: counts of the ``HEAD`` most frequent words, and the model. Words
 beyond them meet their counts in a join, once per text and word.
@@ -35,12 +36,10 @@ HEAD = 1 << 18
 SYMBOLS = 1 << 14
 CLASSES = 256
 STATES = 8
-ROUNDS = 4
-SEGMENT = 128
-#: Segments worked on at once.
-BATCH = 1024
-#: Texts and rounds of the starting point.
-SEED_TEXTS, SEED_ROUNDS = 1500, 25
+#: Training ends when a round gains less log likelihood a token, or after so many rounds.
+GAIN, ROUNDS = 1e-3, 50
+#: Texts worked on at once, the steps whose forward values are kept, and about how many tokens these hold.
+BATCH, BLOCK, HELD = 1024, 4096, 1 << 20
 #: The end of a text; words hold no line end.
 END = b"\n"
 
@@ -154,56 +153,90 @@ def encode(docs: DataFrame, vocabulary) -> DataFrame:
 
 
 class Model:
-    """start[0] begins a text, start[1] a later piece; move[from, to]; emit[symbol, state]."""
+    """start[0] begins a text, start[1] a piece that is not its beginning; move[from, to]; emit[symbol, state]."""
 
     def __init__(self, start, move, emit):
         self.start, self.move, self.emit = start, move, emit
 
 
-def expected_counts(model: Model, segments: list[tuple[np.ndarray, bool]]):
-    """Starts, moves, emissions and log likelihood, by scaled forward and backward recursion."""
-    k = model.move.shape[0]
-    starts, moves, emitted, loglik = np.zeros((2, k)), np.zeros((k, k)), np.zeros(model.emit.shape), 0.0
-    segments = sorted(segments, key=lambda s: -len(s[0]))
-    for at in range(0, len(segments), BATCH):
-        part = segments[at:at + BATCH]
+def _groups(texts: list[tuple[np.ndarray, bool]]):
+    """Texts of like length, as many as are worked on at once."""
+    part, held = [], 0
+    for text in sorted(texts, key=lambda s: -len(s[0])):
+        part.append(text)
+        held += min(len(text[0]), BLOCK)
+        if len(part) == BATCH or held >= HELD:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
+def expected_counts(model: Model, texts: list[tuple[np.ndarray, bool]]):
+    """Starts, moves, emissions and log likelihood, by scaled forward and backward recursion.
+
+    Texts run side by side, the longest first. Forward values are kept for ``BLOCK`` steps; longer texts
+    keep those between blocks, and compute a block again on the way back.
+    """
+    k, size = model.move.shape[0], len(model.emit)
+    starts, moves, emitted, loglik = np.zeros((2, k)), np.zeros((k, k)), np.zeros((k, size)), 0.0
+    emit, back = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+    for part in _groups(texts):
         length = np.array([len(s) for s, _ in part])
-        steps, rows = length[0], len(part)
-        symbol = np.zeros((steps, rows), np.int64)
-        for i, (s, _) in enumerate(part):
-            symbol[:len(s), i] = s
         later = np.array([int(not first) for _, first in part])
-        active = [int(n) for n in (length[None, :] > np.arange(steps)[:, None]).sum(axis=1)]
-        seen = model.emit[symbol]
-        alpha, scale = np.zeros((steps, rows, k)), np.ones((steps, rows))
-        for t in range(steps):
-            n = active[t]
-            a = (model.start[later] if t == 0 else alpha[t - 1, :n] @ model.move) * seen[t, :n]
-            scale[t, :n] = a.sum(axis=1)
-            alpha[t, :n] = a / scale[t, :n, None]
-        loglik += np.log(scale).sum()
-        beta = np.ones((rows, k))
-        for t in range(steps - 1, -1, -1):
-            n = active[t]
-            if t + 1 < steps:
-                m = active[t + 1]
-                ahead = seen[t + 1, :m] * beta[:m] / scale[t + 1, :m, None]
-                moves += alpha[t, :m].T @ ahead
-                beta[:m] = ahead @ model.move.T
-            alpha[t, :n] *= beta[:n]  # now the posterior of states
-        moves_at = later == 1
-        starts[0] += alpha[0, ~moves_at].sum(axis=0)
-        starts[1] += alpha[0, moves_at].sum(axis=0)
-        real = np.arange(rows)[None, :] < np.array(active)[:, None]
-        flat, weight = symbol[real], alpha[real]
-        for s in range(k):
-            emitted[:, s] += np.bincount(flat, weight[:, s], minlength=len(emitted))
-    return starts, moves * model.move, emitted, loglik
+
+        def block(begin):
+            """Texts active at each step, where each step begins, and the symbols step by step."""
+            active = np.searchsorted(-length, -np.arange(begin, min(begin + BLOCK, length[0])), side="left")
+            place = np.cumsum(active) - active
+            symbol = np.empty(active.sum(), np.int64)
+            for i in range(active[0]):
+                s = part[i][0][begin:begin + BLOCK]
+                symbol[place[:len(s)] + i] = s
+            return active.tolist(), place.tolist(), symbol
+
+        def run_forward(active, place, symbol, last):
+            alpha, scale = np.empty((k, len(symbol))), np.empty(len(symbol))
+            for n, at in zip(active, place):
+                a = emit.take(symbol[at:at + n], axis=1)
+                a *= model.start[later].T if last is None else back @ last[:, :n]
+                total = np.add.reduce(a, axis=0, out=scale[at:at + n])
+                last = np.divide(a, total, out=alpha[:, at:at + n])
+            return alpha, scale, last.copy()
+
+        begins, entry = range(0, length[0], BLOCK), [None]
+        for begin in begins:
+            steps = block(begin)
+            alpha, scale, last = run_forward(*steps, entry[-1])
+            entry.append(last)
+            loglik += np.log(scale).sum()
+        beta, ahead = np.ones((k, len(part))), None
+        for number in reversed(range(len(begins))):
+            if number + 1 < len(begins):
+                steps = block(begins[number])
+                alpha, scale, _ = run_forward(*steps, entry[number])
+            active, place, symbol = steps
+            for n, at in zip(reversed(active), reversed(place)):
+                here = alpha[:, at:at + n]
+                if ahead is not None:
+                    m = ahead.shape[1]
+                    moves += here[:, :m] @ ahead.T
+                    beta[:, :m] = model.move @ ahead
+                ahead = emit.take(symbol[at:at + n], axis=1)
+                ahead *= beta[:, :n]
+                ahead /= scale[at:at + n]
+                here *= beta[:, :n]  # now the posterior of states
+            for s in range(k):
+                emitted[s] += np.bincount(symbol, alpha[s], minlength=size)
+        begun = alpha[:, :len(part)]
+        starts[0] += begun[:, later == 0].sum(axis=1)
+        starts[1] += begun[:, later == 1].sum(axis=1)
+    return starts, moves * model.move, emitted.T, loglik
 
 
 def segments_of(symbols: bytes) -> list[tuple[np.ndarray, bool]]:
-    s = np.frombuffer(symbols, np.uint16)
-    return [(s[i:i + SEGMENT], i == 0) for i in range(0, len(s), SEGMENT)]
+    """A text in one piece."""
+    return [(np.frombuffer(symbols, np.uint16), True)]
 
 
 def normalise(starts, moves, emitted, unigram, smooth: float = 200.0) -> Model:
@@ -215,17 +248,12 @@ def normalise(starts, moves, emitted, unigram, smooth: float = 200.0) -> Model:
     return Model(start, move, emit / emit.sum(axis=0, keepdims=True)) if k else None
 
 
-def seed_model(sample: list[bytes], unigram: np.ndarray, states: int, rounds: int, seed: int = 7) -> Model:
-    """A starting point: Baum-Welch from a random model over a bounded sample."""
+def start_model(unigram: np.ndarray, states: int, seed: int = 7) -> Model:
+    """A starting point that no text shapes: the unigram model, tilted at random in each state."""
     rng = np.random.default_rng(seed)
     emit = unigram[:, None] * np.exp(rng.normal(0, 0.7, (len(unigram), states)))
-    model = Model(np.full((2, states), 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states),
-                  emit / emit.sum(axis=0))
-    segments = [s for symbols in sample for s in segments_of(symbols)]
-    for _ in range(rounds if segments else 0):
-        starts, moves, emitted, _ = expected_counts(model, segments)
-        model = normalise(starts, moves, emitted, unigram, smooth=50.0)
-    return model
+    return Model(np.full((2, states), 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states),
+                 emit / emit.sum(axis=0))
 
 
 def train_round(train: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Model, float]:
@@ -246,7 +274,7 @@ def train_round(train: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Mo
             for symbols in batch.column("symbols").to_pylist():
                 held += segments_of(symbols)
                 tokens += len(symbols) // 2
-                if tokens > BATCH * SEGMENT:
+                if tokens + 64 * len(held) > 4 * HELD:
                     total = work(total)
                     held, tokens = [], 0
         if held:
@@ -303,12 +331,12 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
     encoded = cut_lineage(encode(texts, sent).withColumn("row", F.monotonically_increasing_id()), "encoded")
     if vocabulary.total:
         train = encoded.where("not held_out")
-        # Chosen by narrow rows, so that tasks send few bytes for a choice.
-        chosen = train.select("row", F.xxhash64("row", "n_tokens").alias("h")).orderBy("h", "row").limit(SEED_TEXTS).select("row")
-        sample = train.join(F.broadcast(chosen), "row").orderBy("row").select(F.substring("symbols", 1, 8 * 2 * SEGMENT).alias("s"))
-        model = seed_model([bytes(r["s"]) for r in sample.collect()], vocabulary.unigram, states, SEED_ROUNDS)
+        model, before = start_model(vocabulary.unigram, states), -np.inf
         for _ in range(rounds):
-            model, _ = train_round(train, model, vocabulary.unigram)
+            model, loglik = train_round(train, model, vocabulary.unigram)
+            if loglik - before < GAIN * vocabulary.total:
+                break
+            before = loglik
         sent_model = context.broadcast(model)
     else:
         sent_model = None

@@ -127,3 +127,42 @@ def test_defined_cases(spark):
     only_held = [(i, "some words") for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
     alone = check(spark, only_held)
     assert all(r.train_tokens == r.n_known == 0 and r.score == r.base_score for r in alone)
+
+
+def test_blocks_change_nothing_and_no_transition_is_lost(monkeypatch):
+    rng = np.random.default_rng(8)
+    model = random_model(rng, 3, 5)
+    texts = [rng.integers(0, 5, n).astype(np.uint16) for n in (300, 7, 1, 129, 129, 33, 16)]
+    whole = [s for t in texts for s in segments_of(t.tobytes())]
+    want = expected_counts(model, whole)
+    assert want[1].sum() == pytest.approx(615 - len(texts))
+    monkeypatch.setattr(hmm_lm, "BLOCK", 16)
+    monkeypatch.setattr(hmm_lm, "HELD", 40)
+    got = expected_counts(model, whole)
+    for a, b in zip(got, want):
+        assert np.allclose(a, b)
+    assert want[3] / math.log(10) == pytest.approx(forward(model, [t.tobytes() for t in texts]).sum())
+
+
+def test_training_takes_all_of_every_text(spark):
+    """Two languages that stand only behind token 1,024: scores are those of plain rounds over whole texts."""
+    rng = random.Random(9)
+    rows = [(i, "same " * 1100 + " ".join(f"{'ab'[i % 2]}{w}" for w in words(rng, 200, 60))) for i in range(40)]
+    got = {r.doc_id: r for r in score_texts(docs(spark, rows), states=3).collect()}
+    train = [t for i, t in rows if not got[i].held_out]
+    count = Counter(w for t in train for w in tokens(t))
+    number = {w: k for k, w in enumerate(sorted(count, key=lambda w: (-count[w], w)))}
+    share = np.array([count[w] + 0.5 for w in number] + [0.5] * hmm_lm.CLASSES)
+    share /= share.sum()
+    texts = {i: np.array([number[w] for w in tokens(t) if w in number], np.uint16) for i, t in rows}
+    training = [(texts[i], True) for i in texts if not got[i].held_out]
+    model, before = hmm_lm.start_model(share, 3), -np.inf
+    for _ in range(hmm_lm.ROUNDS):
+        *sums, loglik = expected_counts(model, training)
+        model = hmm_lm.normalise(*sums, share)
+        if loglik - before < hmm_lm.GAIN * sum(count.values()):
+            break
+        before = loglik
+    for i, t in rows:
+        if all(w in number for w in tokens(t)):
+            assert got[i].score == pytest.approx(forward(model, [texts[i].tobytes()])[0], rel=1e-6)
