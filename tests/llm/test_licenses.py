@@ -63,3 +63,43 @@ def test_own_rules(spark):
     out = scan_licenses(docs(spark, [(1, "Be kind. Share alike. Be kind.")]), {"k": ("Be kind.",), "s": ("Share alike.",)},
                         {"both": (("k", "s"),), "kind": (("k",),)}).first()
     assert out.sentence_ids == ["k", "s", "k"] and out.licenses == ["both", "kind"]
+
+
+def full(*ids):
+    return "\n".join(SENTENCES[k][0] for k in ids)
+
+
+def named(text):
+    scanner = Scanner(SENTENCES, RULES)
+    return scanner.licenses(*scanner.scan(text))
+
+
+def test_a_holder_by_name_does_not_make_it_another_licence(spark):
+    text = BSD3.replace("the copyright holder", "Example Corp. Ltd.").replace("its contributors", "other contributors")
+    text = text.replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE REGENTS")
+    marked = text.replace("Redistributions of", "(1) Redistributions of").replace("Redistributions in", "2. Redistributions in")
+    rows = [(1, text), (2, wrap(text, 50, " * ")), (3, marked)]
+    assert {r.doc_id: r.licenses for r in scan_licenses(docs(spark, rows)).collect()} == dict.fromkeys((1, 2, 3), ["BSD-3-Clause"])
+
+
+def test_unknown_clause_inside_gives_no_licence():
+    parts = [SENTENCES[k][0] for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is")]
+    assert named("\n".join([*parts[:3], "Nobody may use this on a Sunday.", parts[3]])) == []
+    assert named("\n".join([parts[0], "", "1.", parts[1], "2.", parts[2], "Copyright (c) 2011 Some One", parts[3]])) == ["BSD-2-Clause"]
+    # The name is bounded, so a clause isn't taken for one.
+    assert named(BSD3.replace("the copyright holder", "a " * 17)) == []
+
+
+def test_more_licences():
+    for ids, want in [(("lgpl21-free", "gpl-no-warranty"), "LGPL-2.1-or-later"), (("lgpl3-free",), "LGPL-3.0-or-later"),
+                      (("agpl3-free", "gpl-no-warranty"), "AGPL-3.0-or-later"), (("mpl2-notice", "mpl2-copy"), "MPL-2.0"),
+                      (("gpl2-only", "gpl-no-warranty"), "GPL-2.0-only"), (("unlicense-notice",), "Unlicense")]:
+        text = "Prose.\n" + full(*ids) + "\nMore prose."
+        assert named(text) == [want] and named(wrap(full(*ids), 50, "# ")) == [want], ids
+    isc = full("isc-grant", "isc-as-is").replace("{}", "THE AUTHOR")
+    assert named(isc) == named(wrap(isc)) == ["ISC"]
+    assert named(full("bsd-grant", "bsd-source", "bsd-binary", "bsd-advertise", "bsd-endorse", "bsd-as-is")
+                 .replace("{}", "the University")) == ["BSD-4-Clause"]
+    for names in RULES:
+        if f"SPDX-License-Identifier: {names}" in sum(SENTENCES.values(), ()):
+            assert named(f"// SPDX-License-Identifier: {names}\n") == [names]
