@@ -33,7 +33,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that link, over any number of links, the one with the smallest doc_id stays."""
+    """Of documents that link, over any number of links, the one with the smallest doc_id stays.
+
+    The rule of a link is op3's, 3-word shingles and 90 percent: the stage drops just the documents that
+    op3 names as copies. ``keep_one(docs, percent=80, width=5)`` is the looser rule of five words.
+    """
     return keep_one(docs)
 
 
