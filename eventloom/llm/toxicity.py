@@ -6,10 +6,11 @@ group of the same kind, and the squared change of the model's score is added to
 merely name a group get equal weights, and neutral mentions are not taken for toxicity because some
 groups occur more often in toxic texts.
 
-The model is fitted on at most ``sample`` labelled texts, those with the smallest hash of their id.
-From them tasks count in how many toxic and other texts each feature occurs; the ``vocabulary`` most
+The model is fitted on the texts of at most ``sample`` labelled ids, those with the smallest hash. From
+them tasks count in how many toxic and other texts each feature occurs; the ``vocabulary`` most
 telling ones are kept, besides the names of groups. The encoded sample, a few numbers per text, is
-fitted on the driver. All texts are scored whole, where they are, with the model sent to the tasks.
+fitted on the driver; rows that are encoded alike, as repeated rows are, meet in one with their number as
+weight, so only different texts of an id add to it. All texts are scored whole, where they are, with the model sent to the tasks.
 
 Defined results: a null or empty text is scored by the bias alone; without labelled texts of both
 kinds all scores are the share of toxic ones, or 0; a null doc_id has no label and is not held out;
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import annotate, crc_fold, slices
 from .decontaminate import TOKEN
 
-#: Labelled texts the model is fitted on, at most.
+#: Labelled ids whose texts the model is fitted on, at most.
 SAMPLE = 50_000
 VOCABULARY = 4096
 #: Lengths in bytes of the beginnings of words that are features.
@@ -125,7 +126,7 @@ def _vocabulary(sample: DataFrame, size: int, groups) -> tuple[dict[bytes, int],
 
 
 def _encode(sample: DataFrame, vocabulary, groups):
-    """Feature numbers of each text, its label, and (lost, gained) numbers of each swap."""
+    """Labels, feature numbers, (lost, gained) numbers of each swap, and how many texts are encoded so."""
     sent = sample.sparkSession.sparkContext.broadcast(vocabulary)
     swaps = _swaps(groups)
     names = frozenset(swaps)
@@ -148,30 +149,36 @@ def _encode(sample: DataFrame, vocabulary, groups):
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)],
                                                  ["toxic", "features", "pairs"])
 
-    table = sample.mapInArrow(run, "toxic int, features array<int>, pairs array<int>").toArrow()
-    return table.column("toxic").to_numpy(), table.column("features").to_pylist(), table.column("pairs").to_pylist()
+    kind = "toxic int, features array<int>, pairs array<int>"
+    table = sample.mapInArrow(run, kind).groupBy("toxic", "features", "pairs").agg(F.count("*").alias("times")).toArrow()
+    return (table.column("toxic").to_numpy(), table.column("features").to_pylist(), table.column("pairs").to_pylist(),
+            table.column("times").to_numpy())
 
 
 def fit(label: np.ndarray, rows: list[list[int]], pairs: list[list[int]], size: int, strength: float,
-        rounds: int = 300, ridge: float = 2e-4, rate: float = 0.1, toxic_weight: float = 3.0) -> tuple[np.ndarray, float]:
+        rounds: int = 300, ridge: float = 2e-4, rate: float = 0.1, toxic_weight: float = 3.0,
+        times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias: mean logistic loss, ``strength`` times the mean squared change under swaps, and ridge.
 
-    Toxic texts are rarer and count ``toxic_weight`` times.
+    Toxic texts are rarer and count ``toxic_weight`` times. Row i stands for ``times[i]`` equal ones.
     """
     n = len(rows)
-    per = np.where(label == 1, toxic_weight, 1.0)
+    times = np.ones(n) if times is None else times
+    per = np.where(label == 1, toxic_weight, 1.0) * times
     per = per / per.sum()
     col = np.fromiter(chain.from_iterable(rows), np.int64)
     row = np.repeat(np.arange(n), [len(r) for r in rows])
     swap = np.fromiter(chain.from_iterable(pairs), np.int64).reshape(-1, 2)
-    w, bias = np.zeros(size), float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
+    often = np.repeat(times, [len(p) // 2 for p in pairs])
+    n_toxic = (label * times).sum()
+    w, bias = np.zeros(size), float(np.log((n_toxic + 1) / (times.sum() - n_toxic + 1)))
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for k in range(1, rounds + 1):
         z = bias + np.bincount(row, w[col], minlength=n)
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) * per
         grad = np.bincount(col, error[row], minlength=size) + 2 * ridge * w
         if len(swap):
-            change = 2 * strength / len(swap) * (w[swap[:, 0]] - w[swap[:, 1]])
+            change = 2 * strength / often.sum() * often * (w[swap[:, 0]] - w[swap[:, 1]])
             grad += np.bincount(swap[:, 0], change, minlength=size) - np.bincount(swap[:, 1], change, minlength=size)
         g = np.append(grad, error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -187,7 +194,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, strengt
     chosen = _labelled(docs, labels, sample, folds, held_fold)
     number, n_toxic, n_other = _vocabulary(chosen, vocabulary, groups)
     if n_toxic and n_other:
-        weights, bias = fit(*_encode(chosen, number, groups), len(number), strength)
+        label, rows, pairs, times = _encode(chosen, number, groups)
+        weights, bias = fit(label, rows, pairs, len(number), strength, times=times)
         weight = {f: float(weights[i]) for f, i in number.items() if weights[i]}
     else:
         weight, bias = {}, 40.0 if n_toxic else -800.0

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -90,3 +91,27 @@ def test_features():
     assert features([b"a", b"insultus"], frozenset()) == {b"a", b"insultus", b"^insul", b"^insult", b"^insultu"}
     assert features([b"insultus"], frozenset([b"insultus"])) == {b"insultus"}
     assert _swaps(GROUPS)[b"red"] == [b"blue", b"green"]
+
+
+def test_repeated_rows_are_gathered_once(spark, data, monkeypatch):
+    """An id that repeats over a third of the rows costs the driver one row, and weighs what its rows weigh."""
+    from eventloom.llm import toxicity as module
+
+    rows, marks = data
+    train = next(i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 0)
+    rows = rows + [(train, rows[train][1])] * 300
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda label, *a, **kw: seen.append(len(label)) or fit(label, *a, **kw))
+    merged = scores(spark, rows, marks)
+    assert seen[0] <= len(marks)
+    real = module._encode
+
+    def apart(*args):
+        label, features_of, pairs, times = real(*args)
+        again = np.repeat(np.arange(len(label)), times)
+        return label[again], [features_of[i] for i in again], [pairs[i] for i in again], np.ones(len(again))
+
+    monkeypatch.setattr(module, "_encode", apart)
+    single = scores(spark, rows, marks)
+    assert seen[1] > 300 + 0.5 * len(marks)
+    assert all(merged[i].score == pytest.approx(single[i].score, rel=1e-6) for i in merged)
