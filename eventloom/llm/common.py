@@ -133,3 +133,30 @@ def most_frequent(counts: DataFrame, n: str, limit: int) -> DataFrame:
             break
         lowest = place
     return counts.where(F.lit(False)) if lowest is None else counts.where((F.col(n) > 0) & (bin_of >= lowest))
+
+
+#: Bytes of one piece of Spark's bitmap functions.
+BITMAP_PIECE = 4096
+
+
+def bit_set(places: DataFrame, bits: int) -> bytes:
+    """The distinct values of column ``bit``, all below 2 ** ``bits``, as a bit set of fixed size."""
+    bit = F.col("bit") + 1  # Spark counts bits and pieces from 1
+    pieces = places.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = bytearray(((1 << bits) + 7) // 8)
+    for row in pieces.toLocalIterator():
+        start = (row["part"] - 1) * BITMAP_PIECE
+        piece = bytes(row["bits"])[: len(out) - start]
+        out[start:start + len(piece)] = piece
+    return bytes(out)
+
+
+def bit_place(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Place of 64-bit hashes in such a set."""
+    return (mix(hashes) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def in_bit_set(hashes: np.ndarray, members: np.ndarray, bits: int) -> np.ndarray:
+    place = bit_place(hashes, bits)
+    return (members[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)

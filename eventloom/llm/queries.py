@@ -257,8 +257,8 @@ SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s
        s.score AS negative_score
 FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score
   AND 100 * s.score <= 95 * positive_score
-QUALIFY row_number() OVER w <= 3
 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 3
 """)
 def op11(table) -> DataFrame:
     """Hard negatives of every fiftieth vector; every seventh has a label of noise."""
@@ -267,3 +267,41 @@ def op11(table) -> DataFrame:
     vectors = table("embeddings").withColumn(
         "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return hard_negatives(vectors, F.col("id") % 50 == 0)
+
+
+@query("op13_era_collocations", r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents)
+), f AS MATERIALIZED (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS n
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM p, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+  GROUP BY ALL
+), t AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND n >= 30),
+s AS (
+  SELECT c.lang, c.phrase, c.a, k, x.n AS l, y.n AS r, (2000000::HUGEINT * c.a) // (x.n::HUGEINT + y.n) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+), u AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, m - j + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS j FROM c)))
+  GROUP BY lang, phrase
+)
+SELECT s.lang, row_number() OVER w AS rank, s.phrase, a, l, r, t.n, CAST(score AS BIGINT) AS score
+FROM s LEFT JOIN u ON s.lang = u.lang AND s.phrase = u.phrase JOIN t ON t.lang = s.lang
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+WINDOW w AS (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase)
+QUALIFY row_number() OVER w <= 2000
+""")
+def op13(table) -> DataFrame:
+    """Collocations of each language."""
+    from .collocations import collocations
+
+    return collocations(table("documents").select("lang", "text"))

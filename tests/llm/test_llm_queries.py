@@ -16,6 +16,7 @@ COLUMNS = {
     "op9": "doc_id held_out score predicted",
     "op10": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op11": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13": "lang rank phrase a l r n score",
     "op12": "doc_id keep_id group_size kept text_sha256",
 }
 
