@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import fingerprint
 from ..functions.text import merge_maps
-from .gates import REASON, at_group, mark, tie_breaker, with_verdict
+from .gates import REASON, at_group, mark, with_verdict
+from .ordered import tie_breaker
 
 
 def with_fingerprint(df: DataFrame, fingerprint_message: bool = False) -> DataFrame:
@@ -35,7 +36,7 @@ def dedupe(
     heads = df.where(live).groupBy(group, "fingerprint").agg(
         F.min(F.struct(*columns)).alias("__head"), F.count(F.lit(1)).alias("__copies"))
     rows = df if keep_dropped else df.where(live)
-    joined = at_group(rows, heads, [group, "fingerprint"], order)
+    joined = at_group(rows, heads, [group, "fingerprint"])
     out = mark(joined, F.struct(*columns) > F.col("__head"), "dedup", keep_dropped).drop("__head")
     copies = F.when(F.col(REASON).isNull() & (F.col("__copies") > 1), F.col("__copies"))
     out = out.withColumn("duplicate_count", copies).drop("__copies")
@@ -51,11 +52,12 @@ def issue_rollup(
     df: DataFrame, project: str = "project_id", order: str = "seq", ts: str = "timestamp",
     sample: str = "event_id",
 ) -> DataFrame:
-    """Issues of a project: rows per fingerprint, first and last time seen, id of the first row."""
+    """Issues of a project: rows per fingerprint, first and last time seen, id of the first row
+    (by ``order``, then id)."""
     df = df if "fingerprint" in df.columns else with_fingerprint(df)
     return df.groupBy(project, "fingerprint").agg(
         F.count(F.lit(1)).alias("events"),
         F.min(ts).alias("first_seen"),
         F.max(ts).alias("last_seen"),
-        F.min_by(sample, order).alias("first_event_id"),
+        F.min_by(sample, F.struct(*dict.fromkeys([order, sample]))).alias("first_event_id"),
     )

@@ -51,8 +51,7 @@ def suppress_after_429(
     wait = F.when(F.col(retry_after) > 0, F.col(retry_after)).otherwise(F.lit(1))
     until = F.when(F.col(status) == 429, second + wait)
     out = running(
-        df, [endpoint], seq, lasts={"suppressed_until": until}, rows_per_slice=rows_per_slice,
-        carry_columns=[ts, status, retry_after])
+        df, [endpoint], seq, lasts={"suppressed_until": until}, rows_per_slice=rows_per_slice)
     return mark(out, second < F.col("suppressed_until"), "rate_limit", keep_dropped)
 
 
@@ -83,12 +82,11 @@ def suppress_events(
 def dropped_since_last_send(
     df: DataFrame, dropped: Column, sent: Column, attempted: Column, sender: str = "sender_id",
     seq: str = "seq", rows_per_slice: int = ROWS_PER_SLICE,
-    carry_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``reported_dropped``: drops since the sender's last success, told on each attempt and
     left null when there were none."""
     out = running(df, [sender], seq, {"__since": (dropped.cast("int"), sent)},
-                  rows_per_slice=rows_per_slice, carry_columns=carry_columns)
+                  rows_per_slice=rows_per_slice)
     told = F.when(attempted & (F.col("__since") > 0), F.col("__since"))
     return out.withColumn("reported_dropped", told).drop("__since")
 
@@ -104,7 +102,7 @@ def failure_runs(
     out = running(
         df, [endpoint], seq,
         {"__run": (bad.cast("int"), good), "island": (good.cast("int"), None)},
-        rows_per_slice=rows_per_slice, carry_columns=[status])
+        rows_per_slice=rows_per_slice)
     run = F.when(good, F.lit(0)).otherwise(F.col("__run") + bad.cast("int")).cast("long")
     return out.withColumn("failure_run", run).withColumn(
         "tripped", F.col("failure_run") >= threshold).drop("__run")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.hashing import DRAW_RANGE, fast_draw, portable_draw
 from ..functions.levels import FATAL_MASK
 from ..functions.text import in_order
-from .slices import spread_join, without_nulls
+from .ordered import tie_breaker
+from .slices import without_nulls
 
 REASON = "drop_reason"
 
@@ -95,11 +96,6 @@ def fatal_only(df: DataFrame, errno: str = "errno") -> DataFrame:
 PARTS = 64
 
 
-def tie_breaker(df: DataFrame, order: str = "seq") -> list[str]:
-    """What orders rows of equal ``order``: the event_id where there is one."""
-    return [c for c in ("event_id",) if c in df.columns and c != order]
-
-
 def first_n(
     df: DataFrame, n: int, group: str = "flush_id", order: str = "seq", descending: bool = False,
     place: str | None = None,
@@ -123,11 +119,12 @@ def first_n(
     return out.drop("__rank")
 
 
-def at_group(df: DataFrame, side: DataFrame, groups: list[str], spread_by: str) -> DataFrame:
-    """Left join of ``side`` (unique on ``groups``) where null groups match; large groups are spread."""
+def at_group(df: DataFrame, side: DataFrame, groups: list[str]) -> DataFrame:
+    """Left join of ``side`` (unique on ``groups``) where null groups match; Spark's adaptive skew join
+    splits the rows of large groups."""
     left, keys = without_nulls(df, groups)
     right, _ = without_nulls(side, groups)
-    joined = spread_join(left, right.drop(*groups), keys, spread_by)
+    joined = left.join(right.drop(*groups), keys, "left")
     return joined.select(*df.columns, *[c for c in side.columns if c not in groups])
 
 
@@ -144,7 +141,7 @@ def buffer_cap(
     columns = [order, *tie_breaker(df, order)]
     live = df.where(F.col(REASON).isNull()).select(group, *columns)
     last = first_n(live, n, group, order).groupBy(group).agg(F.max(F.struct(*columns)).alias("__last"))
-    joined = at_group(df, last, [group], order)
+    joined = at_group(df, last, [group])
     out = mark(joined, F.struct(*columns) > F.col("__last"), "buffer", keep_dropped).select(*df.columns)
     return out if keep_dropped else out.where(F.col(REASON).isNull())
 

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from ..functions.text import empty_map, merge_maps
 from ..session import cut_lineage
-from .slices import ROWS_PER_SLICE, spread_join
 
 
 def _non_empty(col: Column) -> Column:
@@ -37,9 +36,7 @@ def _json_context(context: Column, user: Column, extra: Column) -> Column:
         F.map_filter(members, lambda k, _: ~F.map_contains_key(new, k)), new))
 
 
-def apply_scope(
-    events: DataFrame, scopes: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def apply_scope(events: DataFrame, scopes: DataFrame) -> DataFrame:
     """Merge each event's scope into it: scope tags and extra values win, a non-empty user
     replaces the event's, and scope breadcrumbs follow the event's own.
 
@@ -49,7 +46,7 @@ def apply_scope(
     has_crumbs = "breadcrumbs" in scopes.columns and "breadcrumbs" in events.columns
     names = ["tags", "user", "extra"] + (["breadcrumbs"] if has_crumbs else [])
     side = scopes.select("scope_id", *[F.col(n).alias(f"__scope_{n}") for n in names])
-    joined = spread_join(events, side, ["scope_id"], "seq", "left", rows_per_slice)
+    joined = events.join(side, "scope_id", "left")
 
     user, extra = F.col("__scope_user"), F.col("__scope_extra")
     changed = {"tags": merge_maps(F.col("tags"), F.col("__scope_tags"))}
@@ -78,9 +75,7 @@ def apply_scope(
     return joined.withColumns(changed).select(*events.columns)
 
 
-def layer_scopes(
-    scopes: DataFrame, max_depth: int | None = None, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def layer_scopes(scopes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Resolve nested scopes: each starts as a copy of its parent and adds its own changes.
 
     Own tags and extra values win and an own non-empty user replaces the parent's. A row with
@@ -108,7 +103,7 @@ def layer_scopes(
         if max_depth is not None and depth >= max_depth:
             raise ValueError(f"a scope has more than {max_depth} ancestors")
         depth += 1
-        joined = spread_join(open_rows, parents, ["__up"], "scope_id", "left", rows_per_slice)
+        joined = open_rows.join(parents, "__up", "left")
         layered = cut_lineage(joined.select(
             "scope_id",
             merge_maps(F.col("__up_tags"), F.col("tags")).alias("tags"),

@@ -1,59 +1,21 @@
 """Running totals and lookups that stay balanced when one key holds a large share of the rows.
 
-A key with more than ``rows_per_slice`` rows is cut along ``seq`` into slices of about that many
-rows, at quantiles of ``seq``, so gaps and outliers make no slice larger. There are at most ``CUTS``
-slices per key; results don't depend on them. Windows run inside a slice; what earlier slices carry over is one small row per slice.
-Keys below the threshold form a single slice, so they cost one plain window. The list of large
-keys never exceeds ``MAX_HOT_KEYS`` rows, which bounds what is broadcast; a key beyond that list
-holds less than a ``MAX_HOT_KEYS``-th of all rows.
+Rows are counted by key first. Where no key has more than ``rows_per_slice`` rows, one window per key does;
+otherwise the rows are scanned in ranges (``ordered``), which cuts large keys into partitions. Results
+don't depend on the way taken.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_SLICE = 4_000_000
-MAX_HOT_KEYS = 10_000
-CUTS = 256
-
-SLICE = "__slice"
-_PARTS = "__parts"
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_slice: int, *extra: Column) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows and the number of parts each should have."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *extra)
-    return (
-        counted.where(F.col("__rows") > rows_per_slice)
-        .orderBy(F.desc("__rows"), *keys)  # ties broken, so every evaluation picks the same keys
-        .limit(MAX_HOT_KEYS)
-        .withColumn(_PARTS, F.ceil(F.col("__rows") / rows_per_slice))
-        .drop("__rows")
-    )
+from .ordered import END, PART, carried, fold_running, range_count, scan_ranges, tie_breaker
 
-
-def with_slice(df: DataFrame, keys: Sequence[str], seq: str, rows_per_slice: int) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, from 1 on for large ones, along ``seq``."""
-    # The same narrow input in every branch lets Spark compute the lists once.
-    narrow = df.select(*keys, seq)
-    hot = hot_keys(narrow, keys, rows_per_slice)
-    quantiles = F.percentile_approx(seq, [i / CUTS for i in range(1, CUTS)], 50 * CUTS)
-    step = F.greatest(F.lit(1), F.floor(F.lit(CUTS) / F.first(_PARTS)))
-    bounds = narrow.join(F.broadcast(hot), list(keys)).groupBy(*keys).agg(
-        quantiles.alias("__all"), step.alias("__step")).select(
-        *keys, F.filter("__all", lambda x, i: (i + 1) % F.col("__step") == 0).alias("__cuts"))
-    number = F.size(F.filter("__cuts", lambda c: c < F.col(seq))) + 1
-    return (
-        df.join(F.broadcast(bounds), list(keys), "left")
-        .withColumn(SLICE, F.when(F.col("__cuts").isNotNull(), number).otherwise(0).cast("long"))
-        .drop("__cuts")
-    )
+ROWS_PER_SLICE = 4_000_000
 
 
 def running(
@@ -63,32 +25,44 @@ def running(
     sums: Mapping[str, tuple[Column, Column | None]] | None = None,
     lasts: Mapping[str, Column] | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    carry_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add values accumulated over the earlier rows of each key, in ``seq`` order.
+    """Add values accumulated over the earlier rows of each key, in order of ``seq``, then event_id.
 
     ``sums`` maps a name to (amount, reset): the amounts, none negative, of the rows before this
     one and after the last row where ``reset`` held. ``lasts`` maps a name to an expression: its
-    last non-null value before this row. ``carry_columns`` names the columns these expressions
-    read, so that the carry-over branch scans nothing else.
+    last non-null value before this row. Counting the keys runs a job while the plan is built.
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
     columns = df.columns
     df, keys = without_nulls(df, keys)
-    needed = df if carry_columns is None else df.select(*dict.fromkeys([*keys, seq, *carry_columns]))
-    sliced = with_slice(df, keys, seq, rows_per_slice)
-    rows = _inside_slice(sliced, keys, seq, sums, lasts)
-    narrow = with_slice(needed, keys, seq, rows_per_slice).where(F.col(SLICE) > 0)
-    carried = _carry(_inside_slice(narrow, keys, seq, sums, lasts), keys, seq, sums, lasts)
-
-    joined = rows.join(carried, [*keys, SLICE], "left")
+    order = [seq, *tie_breaker(df, seq)]
+    size = df.groupBy(*keys).count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+    inputs = {}
+    for name, (amount, reset) in sums.items():
+        inputs[f"__amount_{name}"] = F.coalesce(amount.cast("long"), F.lit(0).cast("long"))
+        inputs[f"__reset_{name}"] = F.coalesce(reset, F.lit(False)) if reset is not None else F.lit(False)
+    for name, value in lasts.items():
+        inputs[f"__value_{name}"] = value
+    df = df.withColumns(inputs)
+    if (size["most"] or 0) <= rows_per_slice:
+        joined = _windows(df, keys, order, sums, lasts)
+        carry = {name: F.lit(None) for name in [*sums, *lasts]}
+    else:
+        added = [T.StructField(f"__{part}_{n}", T.LongType()) for n in sums for part in ("before", "base")]
+        added += [T.StructField(f"__own_{n}", df.schema[f"__value_{n}"].dataType) for n in lasts]
+        scanned = scan_ranges(df, [*keys, *order], fold_running(keys, list(sums), list(lasts)), added,
+                              range_count(df, size["rows"], rows_per_slice), "ranges")
+        ends = carried(scanned.where(END), keys, list(sums), list(lasts))
+        # At most two rows a partition.
+        joined = scanned.where(~F.col(END)).join(F.broadcast(ends), [*keys, PART], "left")
+        carry = {name: F.col(f"__carry_{name}") for name in [*sums, *lasts]}
     out = {}
     for name in sums:
-        own, base, carry = (F.col(f"__{part}_{name}") for part in ("before", "base", "carry"))
+        own, base = F.col(f"__before_{name}"), F.col(f"__base_{name}")
         out[name] = F.when(base.isNotNull(), own - base).otherwise(
-            own + F.coalesce(carry, F.lit(0))).cast("long")
+            own + F.coalesce(carry[name], F.lit(0))).cast("long")
     for name in lasts:
-        out[name] = F.coalesce(F.col(f"__own_{name}"), F.col(f"__carry_{name}"))
+        out[name] = F.coalesce(F.col(f"__own_{name}"), carry[name])
     return joined.select(*columns, *[c.alias(name) for name, c in out.items()])
 
 
@@ -106,81 +80,23 @@ def without_nulls(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[s
     return df.withColumns(added), list(added)
 
 
-def _inside_slice(sliced, keys, seq, sums, lasts):
-    window = Window.partitionBy(*keys, SLICE).orderBy(seq)
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+def _windows(df, keys, order, sums, lasts):
+    """The same columns as a scan of ranges gives, by one window per key."""
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     first, second = {}, {}
-    for name, (amount, reset) in sums.items():
-        total = F.sum(amount.cast("long")).over(earlier)
-        first[f"__before_{name}"] = F.coalesce(total, F.lit(0))
-        first[f"__amount_{name}"] = F.coalesce(amount.cast("long"), F.lit(0))
-        if reset is None:
-            second[f"__mark_{name}"] = F.lit(None).cast("long")
-            second[f"__base_{name}"] = F.lit(None).cast("long")
-        else:
-            # Amounts are never negative, so the total at the latest reset is the largest one.
-            mark = F.when(reset, F.col(f"__before_{name}") + F.col(f"__amount_{name}"))
-            second[f"__mark_{name}"] = mark
-            second[f"__base_{name}"] = F.max(mark).over(earlier)
-    for name, value in lasts.items():
-        first[f"__value_{name}"] = value
-        first[f"__own_{name}"] = F.last(value, ignorenulls=True).over(earlier)
-    return sliced.withColumns(first).withColumns(second) if second else sliced.withColumns(first)
-
-
-def _carry(rows, keys, seq, sums, lasts):
-    """One row per slice of a large key: what all earlier slices of the key leave behind."""
-    totals = []
-    for name in sums:
-        totals += [F.sum(f"__amount_{name}").alias(f"__total_{name}"),
-                   F.max(f"__mark_{name}").alias(f"__mark_{name}")]
-    for name in lasts:
-        value = F.col(f"__value_{name}")
-        totals.append(
-            F.max_by(value, F.when(value.isNotNull(), F.col(seq))).alias(f"__last_{name}"))
-    ends = rows.groupBy(*keys, SLICE).agg(*totals)
-
-    window = Window.partitionBy(*keys).orderBy(SLICE)
-    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-    first, second = {}, {}
-    for name in sums:
-        first[f"__sofar_{name}"] = F.coalesce(F.sum(f"__total_{name}").over(earlier), F.lit(0))
-        floor = F.max(F.col(f"__sofar_{name}") + F.col(f"__mark_{name}")).over(earlier)
-        second[f"__carry_{name}"] = F.col(f"__sofar_{name}") - F.coalesce(floor, F.lit(0))
+    for name, (_, reset) in sums.items():
+        first[f"__before_{name}"] = F.coalesce(F.sum(f"__amount_{name}").over(earlier), F.lit(0))
+        mark = F.when(F.col(f"__reset_{name}"), F.col(f"__before_{name}") + F.col(f"__amount_{name}"))
+        # Amounts are never negative, so the total at the latest reset is the largest one.
+        second[f"__base_{name}"] = F.lit(None).cast("long") if reset is None else F.max(mark).over(earlier)
     for name in lasts:
-        first[f"__carry_{name}"] = F.last(f"__last_{name}", ignorenulls=True).over(earlier)
-    ends = ends.withColumns(first)
-    ends = ends.withColumns(second) if second else ends
-    return ends.select(*keys, SLICE, *[f"__carry_{n}" for n in [*sums, *lasts]])
+        first[f"__own_{name}"] = F.last(f"__value_{name}", ignorenulls=True).over(earlier)
+    df = df.withColumns(first)
+    return df.withColumns(second) if second else df
 
 
 def numbered(
     df: DataFrame, keys: Sequence[str], seq: str, name: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add the zero-based position of each row within its key."""
-    return running(df, keys, seq, {name: (F.lit(1), None)},
-                   rows_per_slice=rows_per_slice, carry_columns=[])
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_by: str,
-    how: str = "left",
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Join ``left`` to ``right`` (unique on ``keys``), splitting the left rows of large keys.
-
-    The matching right rows are repeated once per part, and only for those keys.
-    """
-    keys = list(keys)
-    hot = hot_keys(left.select(*keys).dropna(), keys, rows_per_slice)
-    # Rows without a key match nothing, so any part will do; many parts spread them.
-    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    part = F.when(no_key, F.xxhash64(spread_by)).otherwise(
-        F.coalesce(F.pmod(F.xxhash64(spread_by), F.col(_PARTS)), F.lit(0)))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
-    many = left.join(F.broadcast(hot), keys, "left").withColumn("__part", part).drop(_PARTS)
-    few = right.join(F.broadcast(hot), keys, "left").withColumn("__part", copies).drop(_PARTS)
-    return many.join(few, [*keys, "__part"], how).drop("__part")
+    return running(df, keys, seq, {name: (F.lit(1), None)}, rows_per_slice=rows_per_slice)

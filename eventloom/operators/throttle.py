@@ -3,11 +3,15 @@
 A bucket starts full, refills with time up to its burst and pays one token per allowed row. All
 arithmetic is on integers: with a rate of ``p/q`` tokens per microsecond one token is ``q`` units.
 
-Rows of a large key are cut into slices. What a slice does to the bucket is a piecewise linear
-function of the level it starts with; equal neighbours merge as rows are added, which keeps it at
-some tens of pieces however many rows the slice has. The functions of all slices are computed in
-parallel, one small row per slice is chained along the key, and the slices are then replayed from
-their true levels.
+Two rows of a key that lie so far apart that an empty bucket fills up in between cut the key into
+stretches that don't know of each other: each starts from a full bucket, and one of no more rows than the
+burst is allowed as a whole. Only longer stretches are followed row by row.
+
+Rows are scanned in ranges (``ordered``), so a large key covers several partitions. A partition doesn't know
+the level its first key comes in with. What rows do to the bucket is a piecewise linear function of that
+level; equal neighbours merge as rows are added, which keeps it at some tens of pieces, and it ends as soon
+as it is constant, at the latest where a stretch ends. Rows up to there are the partition's head. One small
+row a partition is chained, and the heads, each within one partition, are replayed from their true levels.
 """
 
 from __future__ import annotations
@@ -17,12 +21,14 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .gates import REASON, mark, with_verdict
-from .slices import ROWS_PER_SLICE, SLICE, with_slice
+from .ordered import END, PART, differs, new_keys, range_count, scan_ranges, tie_breaker
+from .slices import ROWS_PER_SLICE
 
 
 @dataclass(frozen=True)
@@ -109,85 +115,170 @@ def apply_pieces(pieces, level: int) -> int:
     return slope * level + offset
 
 
-def _runs(frame: pd.DataFrame):
-    """Bounds of consecutive rows of one key and slice in a sorted frame."""
-    if len(frame) == 0:
-        return
-    keys, slices = frame["key"].to_numpy(), frame[SLICE].to_numpy()
-    changed = np.flatnonzero((keys[1:] != keys[:-1]) | (slices[1:] != slices[:-1])) + 1
-    bounds = [0, *changed.tolist(), len(frame)]
-    for start, stop in zip(bounds, bounds[1:]):
-        yield (keys[start], slices[start]), start, stop
-
-
-def _slice_pieces(bucket: Bucket):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, pieces, last, first = None, None, None, None
-
-        def row():
-            return pd.DataFrame({
-                "key": [current[0]], SLICE: [current[1]], "first": [first], "last": [last],
-                "starts": [[p[0] for p in pieces]], "slopes": [[p[1] for p in pieces]],
-                "offsets": [[p[2] for p in pieces]]})
-
-        for frame in frames:
-            us = frame["us"].tolist()
-            for name, start, stop in _runs(frame):
-                if name != current:
-                    if current is not None:
-                        yield row()
-                    current, pieces, last, first = name, None, None, us[start]
-                pieces, last = level_pieces(bucket, us[start:stop], pieces, last)
-        if current is not None:
-            yield row()
+class _Line:
+    """The bucket of the open key: its level, or the head's function of the level it came in with."""
 
-    return run
+    def __init__(self, bucket: Bucket):
+        self.bucket, self.level, self.pieces, self.last = bucket, None, None, None
+
+    def full(self) -> None:
+        self.level, self.pieces, self.last = self.bucket.full, None, None
+
+    def unknown(self) -> None:
+        self.level, self.pieces, self.last = None, [(0, 1, 0)], None
+
+    def take(self, times: list[int]) -> tuple[int, list[bool]]:
+        """How many rows belong to the head, and the decisions of the others."""
+        head = 0
+        while self.level is None and head < len(times):
+            self.pieces, self.last = level_pieces(self.bucket, times[head:head + 1], self.pieces, self.last)
+            head += 1
+            if len(self.pieces) == 1 and self.pieces[0][1] == 0:
+                self.level, self.pieces = self.pieces[0][2], None
+        allowed, level, self.last = replay(self.bucket, self.level, self.last, times[head:]) if self.level is not None else (
+            [], None, self.last)
+        self.level = level
+        return head, allowed
+
+    def function(self) -> list[tuple[int, int, int]]:
+        return self.pieces if self.level is None else [(0, 0, self.level)]
+
+
+#: Elapsed time no two rows can have.
+_NEVER = (1 << 63) - 1
+_ADDED = [
+    T.StructField("__allowed", T.BooleanType()), T.StructField("__head", T.BooleanType()),
+    *[T.StructField(n, T.StringType()) for n in ("__first_key", "__last_key")],
+    *[T.StructField(n, T.LongType()) for n in ("__first_us", "__last_us")],
+    *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("__starts", "__slopes", "__offsets")]]
+_ENDS = [f.name for f in _ADDED[2:]]
+_END_TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3]
+
+
+def _decide(bucket: Bucket, line: _Line, new: np.ndarray, us: np.ndarray, last_us: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Decisions of sorted rows that go on from ``line``, and which of them are of the head.
+
+    ``new`` marks rows with a key unlike the one above. Rows without a decision are of the head.
+    """
+    size = len(us)
+    fill = min(-(-bucket.full // bucket.gain), _NEVER) if bucket.gain else _NEVER
+    burst = bucket.full // bucket.token
+    cut = new.copy()
+    # Compared in two halves, as a difference of two times can pass 64 bits.
+    above = np.append(us[0] if last_us is None else last_us, us[:-1])
+    cut |= (us > above) & (us.astype(np.uint64) - above.astype(np.uint64) >= np.uint64(fill))
+    allowed, head = np.ones(size, bool), np.zeros(size, bool)
+    starts = np.flatnonzero(cut)
+    edges = [0, *starts[starts > 0].tolist(), size]
+    lengths = np.diff(edges)
+    # Short stretches in the middle are allowed already; the first goes on from before, the last goes on.
+    followed = np.flatnonzero((lengths > burst) | (np.arange(len(lengths)) == len(lengths) - 1) | (np.arange(len(lengths)) == 0))
+    for n in followed.tolist():
+        a, b = edges[n], edges[n + 1]
+        if cut[a]:
+            line.full()
+        unknown, decided = line.take(us[a:b].tolist())
+        head[a:a + unknown] = True
+        allowed[a + unknown:b] = decided
+    return allowed, head
+
+
+def _fold(bucket: Bucket, tie: list[str], seq: str):
+    def fold(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = _Line(bucket)
+        line.unknown()
+        first_key = first_us = key = before = fate = None
+        schema, waiting = None, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            schema = batch.schema
+            size = batch.num_rows
+            allowed, head = np.ones(size, bool), np.zeros(size, bool)
+            place = [batch.column(c) for c in ("__key", seq, *tie)]
+            live = batch.column("__live").to_numpy(zero_copy_only=False)
+            rows = np.flatnonzero(live)
+            if len(rows):
+                at = [c.take(pa.array(rows)) for c in place]
+                us = batch.column("__us").take(pa.array(rows)).to_numpy()
+                # Rows of one place are one delivery: the first is decided.
+                single = new_keys(at, before)
+                own = np.flatnonzero(single)
+                if len(own):
+                    keys = at[0].take(pa.array(own))
+                    new = differs(keys)
+                    new[0] = key is not None and keys[0].as_py() != key
+                    if waiting:
+                        first_key, first_us, waiting = keys[0].as_py(), int(us[own[0]]), False
+                    decided, unknown = _decide(bucket, line, new, us[own], line.last)
+                    key = keys[len(keys) - 1].as_py()
+                else:
+                    decided, unknown = np.empty(0, bool), np.empty(0, bool)
+                source = np.cumsum(single) - 1  # -1: a copy of the last row before this batch
+                known = source >= 0
+                result, is_head = np.full(len(rows), fate[0] if fate else False), np.full(len(rows), fate[1] if fate else False)
+                result[known], is_head[known] = decided[source[known]], unknown[source[known]]
+                allowed[rows], head[rows] = result, is_head
+                before, fate = tuple(c[len(rows) - 1].as_py() for c in at), (bool(result[-1]), bool(is_head[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(allowed, mask=head), pa.array(head), *[pa.nulls(size, t) for t in _END_TYPES],
+                 pa.array(np.full(size, part, np.int32)), pa.array(np.zeros(size, bool))],
+                names=[*schema.names, "__allowed", "__head", *_ENDS, PART, END])
+        if not waiting:
+            starts, slopes, offsets = zip(*line.function())
+            state = [first_key, key, first_us, line.last, list(starts), list(slopes), list(offsets)]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.nulls(1, f.type) for f in schema], pa.nulls(1, pa.bool_()), pa.array([False]),
+                 *[pa.array([v], t) for v, t in zip(state, _END_TYPES)], pa.array([part], pa.int32()), pa.array([True])],
+                names=[*schema.names, "__allowed", "__head", *_ENDS, PART, END])
+
+    return fold
 
 
 def _chain(bucket: Bucket):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The level each partition's first key comes in with; one row a partition, in partition order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, level, last = None, None, None
-        for frame in frames:
-            entries = []
-            for r in frame.to_dict("records"):
-                if r["key"] != key:
-                    key, level = r["key"], bucket.full
-                else:
-                    level = bucket.refill(level, r["first"] - last)
-                entries.append(level)
-                pieces = list(zip(r["starts"], r["slopes"], r["offsets"]))
-                level, last = apply_pieces(pieces, level), r["last"]
-            yield pd.DataFrame({"key": frame["key"], SLICE: frame[SLICE], "entry": entries})
+        for batch in batches:
+            parts, entries = [], []
+            for r in batch.to_pylist():
+                same = key is not None and r["__first_key"] == key
+                entry = bucket.refill(level, r["__first_us"] - last) if same else bucket.full
+                pieces = list(zip(r["__starts"], r["__slopes"], r["__offsets"]))
+                key, level, last = r["__last_key"], apply_pieces(pieces, entry), r["__last_us"]
+                parts.append(r[PART])
+                entries.append(entry)
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(entries, pa.int64())], names=[PART, "__entry"])
 
     return run
 
 
-def _replay(bucket: Bucket):
-    """Rows sorted by key, slice, kind, seq: a slice of a large key opens with its entry level
-    (kind 0, the level in ``us``); every other run starts from a full bucket."""
+def _replay_heads(bucket: Bucket, tie: list[str], seq: str):
+    """Decide the heads, sorted by partition and place, from the level they come in with."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, level, last = None, bucket.full, None
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, level, last, before, fate = None, None, None, None, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = [batch.column(c) for c in (PART, "__key", seq, *tie)]
+            single = new_keys(place, before)
             decided = []
-            us, kinds = frame["us"].tolist(), frame["kind"].tolist()
-            for name, start, stop in _runs(frame):
-                if name != current:
-                    current, level, last = name, bucket.full, None
-                    if kinds[start] == 0:
-                        level, start = us[start], start + 1
-                allowed, level, last = replay(bucket, level, last, us[start:stop])
-                decided += allowed
-            rows = frame[frame["kind"] == 1]
-            yield pd.DataFrame({"key": rows["key"], "seq": rows["seq"], "allowed": decided})
+            for number, us, entry, own in zip(place[0].to_pylist(), batch.column("__us").to_pylist(),
+                                              batch.column("__entry").to_pylist(), single.tolist()):
+                if number != part:
+                    part, level, last = number, entry, None
+                if own:
+                    (fate,), level, last = replay(bucket, level, last, [us])
+                decided.append(fate)
+            before = tuple(c[batch.num_rows - 1].as_py() for c in place)
+            at = batch.schema.get_field_index("__allowed")
+            yield batch.set_column(at, "__allowed", pa.array(decided, pa.bool_()))
 
     return run
 
 
-def _sorted(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order)
-
-
 def throttle(
     df: DataFrame, key: str = "sender_id", rate: str | int | Fraction = "10", burst: int = 20,
     seq: str = "seq", ts: str = "ts", keep_dropped: bool = True,
@@ -195,30 +286,26 @@ def throttle(
 ) -> DataFrame:
     """Drop rows ``rate_limit`` that find the bucket of their key empty.
 
-    Rows are decided in ``seq`` order, which is unique per key; a clock that runs backwards gains
-    nothing. Only rows not dropped earlier take part. Null keys share one bucket.
+    Rows of a key are decided in order of ``seq``, then event_id; rows that agree in both are one delivery,
+    pay once and share their fate. A clock that runs backwards gains nothing. Only rows not dropped earlier
+    take part, and none without a time, which stays. Null keys share one bucket.
     """
     bucket = Bucket.of(rate, burst)
     df = with_verdict(df)
-    rows = df.where(F.col(REASON).isNull()).select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
-        F.col(seq).cast("long").alias("seq"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"))
-    sliced = with_slice(rows, ["key"], "seq", rows_per_slice)
-
-    pieces = _sorted(sliced.where(F.col(SLICE) > 0), ["key", SLICE], ["seq"]).mapInPandas(
-        _slice_pieces(bucket),
-        f"key string, {SLICE} long, first long, last long, "
-        "starts array<long>, slopes array<long>, offsets array<long>")
-    entries = pieces.repartition("key").sortWithinPartitions("key", SLICE).mapInPandas(
-        _chain(bucket), f"key string, {SLICE} long, entry long")
-    line = sliced.select("key", SLICE, F.lit(1).alias("kind"), "seq", "us").unionByName(
-        entries.select("key", SLICE, F.lit(0).alias("kind"), F.lit(0).cast("long").alias("seq"),
-                       F.col("entry").alias("us")))
-    decided = _sorted(line, ["key", SLICE], ["kind", "seq"]).mapInPandas(
-        _replay(bucket), "key string, seq long, allowed boolean")
-
-    # Rows that agree in key and seq share their fate: allowed if one of them was.
-    verdicts = decided.groupBy(F.col("key").alias("__key"), F.col("seq").alias(seq)).agg(F.max("allowed").alias("allowed"))
-    keyed = df.withColumn("__key", F.coalesce(F.col(key).cast("string"), F.lit("")))
-    out = keyed.join(verdicts, ["__key", seq], "left")
-    return mark(out, ~F.col("allowed"), "rate_limit", keep_dropped).select(*df.columns)
+    tie = tie_breaker(df, seq)
+    order = ["__key", seq, *tie]
+    rows = df.withColumns({
+        "__key": F.coalesce(F.col(key).cast("string"), F.lit("")),
+        "__us": F.unix_micros(F.col(ts).cast("timestamp")),
+        "__live": F.col(REASON).isNull() & F.col(ts).isNotNull()})
+    # Sampling the ranges reads the input; so does the count, of no column.
+    scanned = scan_ranges(rows, order, _fold(bucket, tie, seq), _ADDED, range_count(df, df.count(), rows_per_slice), "throttle")
+    ends = scanned.where(END).select(PART, *_ENDS)
+    # As many rows as there are partitions.
+    entries = ends.repartition(1).sortWithinPartitions(PART).mapInArrow(_chain(bucket), f"{PART} int, __entry long")
+    body = scanned.where(~F.col(END))
+    kept = [*df.columns, "__allowed"]
+    heads = (body.where("__head").join(F.broadcast(entries), PART).repartition(PART).sortWithinPartitions(PART, *order))
+    heads = heads.mapInArrow(_replay_heads(bucket, tie, seq), heads.schema)
+    decided = body.where("not __head").select(*kept).unionByName(heads.select(*kept))
+    return mark(decided, ~F.col("__allowed"), "rate_limit", keep_dropped).select(*df.columns)

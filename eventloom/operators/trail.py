@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import in_order
 from ..session import cut_lineage
-from .slices import ROWS_PER_SLICE, running, spread_join
+from .slices import ROWS_PER_SLICE, running
 
 
 def attach_trail(
@@ -38,7 +38,7 @@ def attach_trail(
         line, [scope], seq,
         {"__count": (is_crumb.cast("int"), None),
          "__held": (is_crumb.cast("int"), F.col("__kind") == "reset")},
-        rows_per_slice=rows_per_slice, carry_columns=["__kind"])
+        rows_per_slice=rows_per_slice)
     # Read three times below: written once instead of numbered three times.
     line = cut_lineage(line, "trail")
 
@@ -56,7 +56,7 @@ def attach_trail(
                 F.floor((F.col("__count") - 1) / n).alias("__block"))
         .dropDuplicates([scope, seq])  # an event delivered twice has one trail
     )
-    found = spread_join(wanted, blocks, [scope, "__block"], seq, "inner", rows_per_slice)
+    found = wanted.join(blocks, [scope, "__block"])
     first = F.col("__count") - F.col("__take")
     held = F.filter("__items", lambda x: (x["i"] >= first) & (x["i"] < F.col("__count")))
     trail = in_order(held, crumb_type, "i", "c")

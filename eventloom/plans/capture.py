@@ -75,7 +75,7 @@ def capture_errors(
                 full, crumbs, cfg.max_breadcrumbs, output="__trail", rows_per_slice=rows_per_slice)
             full = trailed.withColumn("breadcrumbs", F.concat(
                 F.coalesce("breadcrumbs", F.array().cast(own)), F.col("__trail").cast(own))).drop("__trail")
-        full = scrub(full if scopes is None else apply_scope(full, scopes, rows_per_slice))
+        full = scrub(full if scopes is None else apply_scope(full, scopes))
         return full.unionByName(df.where(lean)) if lean_rows else full
 
     dsn = dsn_parts(F.lit(cfg.dsn).cast("string"))

@@ -43,6 +43,15 @@ def throttled(spark, sf):
     return throttle(ev, rate="1/3600", burst=3).select("event_id", "drop_reason")
 
 
+@query("throttle_ties", f"""
+WITH RECURSIVE {EV}, {throttle_sql("ev", "sender_id", "ts", 1, 3_600_000_000, 3)}
+SELECT seq AS event_id, CASE WHEN NOT allowed THEN 'rate_limit' END AS drop_reason FROM walk""")
+def throttled_ties(spark, sf):
+    """A hundred events in a row share one place; the event_id orders them."""
+    ev = views.ev(spark, sf).select("event_id", F.floor(F.col("seq") / 100).alias("seq"), "sender_id", "ts")
+    return throttle(ev, rate="1/3600", burst=3).select("event_id", "drop_reason")
+
+
 @query("dropped_since", f"""
 WITH {DL},
 s AS (SELECT *, status IN (202, 409) AS good, count(*) FILTER (WHERE status IN (202, 409))
@@ -53,7 +62,7 @@ SELECT event_id, nullif(n, 0) AS reported_dropped FROM d""")
 def dropped(spark, sf):
     good = is_success(F.col("status"))
     out = dropped_since_last_send(
-        views.attempts(spark, sf), ~good, good, F.lit(True), sender="endpoint", carry_columns=["status"])
+        views.attempts(spark, sf), ~good, good, F.lit(True), sender="endpoint")
     return out.select("event_id", "reported_dropped")
 
 

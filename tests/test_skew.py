@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.delivery import dropped_since_last_send, failure_runs, is_success, suppress_after_429
 from eventloom.operators.logs import build_log_batches
-from eventloom.operators.slices import SLICE, numbered, running, spread_join, with_slice
+from eventloom.operators.ordered import END, PART, fold_running, scan_ranges
+from eventloom.operators.slices import numbered, running
 from eventloom.operators.throttle import Bucket, apply_pieces, level_pieces, replay, throttle
 from eventloom.operators.trail import attach_trail
 
@@ -48,16 +49,37 @@ def test_running_with_null_key(spark, dtype):
     assert got == [*range(300), *range(50)]
 
 
-def test_slices_hold_equal_counts(spark):
-    """One outlier, a gap and a dense stretch don't make a slice larger."""
+def test_ranges_cut_one_key(spark):
+    """All rows in one key, with an outlier, a gap and a dense stretch: no partition gets much more than the others."""
     seqs = [*range(0, 6000, 3), *range(10**6, 10**6 + 8000), 10**15]
-    df = spark.createDataFrame([("hot", s) for s in seqs] + [("cold", s) for s in range(50)], "k string, seq long")
-    sizes = {(r["k"], r[SLICE]): (r["n"], r["a"], r["b"]) for r in with_slice(df, ["k"], "seq", 100).groupBy("k", SLICE).agg(
-        F.count("*").alias("n"), F.min("seq").alias("a"), F.max("seq").alias("b")).collect()}
-    assert sizes.pop(("cold", 0))[0] == 50
-    assert sum(n for n, _, _ in sizes.values()) == len(seqs) and max(n for n, _, _ in sizes.values()) <= 200
-    ordered = [sizes[k] for k in sorted(sizes)]
-    assert all(x[2] < y[1] for x, y in zip(ordered, ordered[1:]))
+    df = spark.createDataFrame([("hot", s) for s in seqs], "k string, seq long")
+    scanned = scan_ranges(df, ["k", "seq"], fold_running(["k"], [], []), [], 100, "t")
+    sizes = [r["n"] for r in scanned.where(~F.col(END)).groupBy(PART).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == len(seqs) and len(sizes) > 90 and max(sizes) < 300
+    assert scanned.where(END).count() == len(sizes)
+    got = numbered(df, ["k"], "seq", "n", 100).orderBy("seq").collect()
+    assert [r["n"] for r in got] == list(range(len(seqs)))
+
+
+@pytest.mark.parametrize("rows_per_slice", [1, 13, 10**6])
+def test_running_breaks_ties_by_event(spark, rows_per_slice):
+    """Every row in one key and at one seq, values of many types along."""
+    df = spark.range(300).select(
+        F.lit("k").alias("k"), F.lit(1).cast("long").alias("seq"), F.col("id").alias("event_id"),
+        F.create_map(F.lit("a"), F.col("id")).alias("m"), F.timestamp_seconds("id").alias("t"),
+        F.when(F.col("id") % 50 == 49, F.timestamp_seconds("id")).alias("v")).repartition(4)
+    out = running(df, ["k"], "seq", {"n": (F.lit(1), F.col("event_id") % 100 == 10)}, {"last": F.col("v")}, rows_per_slice)
+    got = {r["event_id"]: (r["n"], r["last"] and r["last"].minute * 60 + r["last"].second, r["m"]["a"]) for r in out.collect()}
+    for i in range(300):
+        resets = [j for j in range(i) if j % 100 == 10]
+        lasts = [j for j in range(i) if j % 50 == 49]
+        assert got[i] == (i - resets[-1] - 1 if resets else i, lasts[-1] if lasts else None, i)
+
+
+def test_running_of_nothing(spark):
+    empty = spark.createDataFrame([], "k string, seq long")
+    for n in (0, 10):
+        assert numbered(empty, ["k"], "seq", "n", n).collect() == []
 
 
 def test_bucket_that_does_not_fit():
@@ -72,16 +94,43 @@ def test_throttle_with_repeated_rows(spark):
     assert out.count() == 40
 
 
-def test_spread_join(spark):
-    rng = random.Random(1)
-    rows = [*skewed(rng, 2000), *[(None, -i) for i in range(400)]]
-    left = spark.createDataFrame(rows, "k string, seq long")
-    right = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, w int")
-    for how in ("left", "inner"):
-        got = spread_join(left, right, ["k"], "seq", how, 100)
-        want = left.join(right, "k", how)
-        assert sorted(map(repr, got.select("k", "seq", "w").collect())) == sorted(
-            map(repr, want.select("k", "seq", "w").collect()))
+@pytest.mark.parametrize("rows_per_slice", [3, 10**6])
+def test_throttle_ties(spark, rows_per_slice):
+    """Rows of one seq are decided by event_id; rows that agree in both pay once."""
+    rows = [("s", 7, i, T0) for i in range(30)] + [("s", 7, 2, T0)] * 4 + [("s", 7, 20, T0)]
+    df = spark.createDataFrame(rows, "sender_id string, seq long, event_id long, ts timestamp").repartition(5)
+    out = throttle(df, rate=0, burst=5, rows_per_slice=rows_per_slice).where("drop_reason is null").collect()
+    assert sorted(r["event_id"] for r in out) == [0, 1, 2, 2, 2, 2, 2, 3, 4]
+
+
+def test_throttle_leaves_other_rows_alone(spark):
+    rows = [(i, None if i % 5 == 0 else T0, "buffer" if i % 3 == 0 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "seq long, ts timestamp, drop_reason string").withColumn("sender_id", F.lit(None).cast("string"))
+    got = {r["seq"]: r["drop_reason"] for r in throttle(df, rate=0, burst=4, rows_per_slice=7).collect()}
+    live = [i for i in range(60) if i % 5 and i % 3]
+    assert got == {i: "buffer" if i % 3 == 0 else "rate_limit" if i in live[4:] else None for i in range(60)}
+    assert throttle(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("rate,burst,gap", [(1, 3, 3_000_000), ("1/7", 1, 7_000_000), (0, 2, 10**12), ("1000000", 2, 2)])
+def test_throttle_by_stretches(spark, rate, burst, gap):
+    """Gaps just below and just at what fills a bucket, in one key and in many."""
+    rng = random.Random(gap)
+    for keys in (1, 40):
+        rows, now = [], 0
+        for i in range(1200):
+            now += rng.choice([0, 0, gap // 5, gap - 1, gap, -3])
+            rows.append((f"k{rng.randrange(keys)}", i, i % 2, T0 + dt.timedelta(microseconds=now)))
+        df = spark.createDataFrame(rows, "sender_id string, seq long, event_id long, ts timestamp").repartition(3)
+        bucket, state, expected = Bucket.of(rate, burst), {}, {}
+        for k, s, _, ts in rows:
+            us = (ts - T0) // dt.timedelta(microseconds=1)
+            level, last = state.get(k, (bucket.full, None))
+            (allowed,), level, last = replay(bucket, level, last, [us])
+            state[k], expected[s] = (level, last), None if allowed else "rate_limit"
+        for rows_per_slice in (30, 10**6):
+            out = throttle(df, rate=rate, burst=burst, rows_per_slice=rows_per_slice)
+            assert {r["seq"]: r["drop_reason"] for r in out.collect()} == expected
 
 
 @pytest.mark.parametrize("rate,burst,step", [("1/50", 3, 40), ("1", 20, 1), ("1/3", 1, 2), ("7/11", 5, 1)])
@@ -165,8 +214,7 @@ def test_delivery_windows_in_slices(spark):
     for build in (
         lambda n: failure_runs(df, 3, rows_per_slice=n),
         lambda n: suppress_after_429(df, rows_per_slice=n),
-        lambda n: dropped_since_last_send(df, ~good, good, F.lit(True), "endpoint", rows_per_slice=n,
-                                          carry_columns=["status"]),
+        lambda n: dropped_since_last_send(df, ~good, good, F.lit(True), "endpoint", rows_per_slice=n),
     ):
         a, b = both(build)
         assert a == b and len(a) == 1500
