@@ -52,8 +52,9 @@ class Bucket:
         return min(self.full, level + max(0, elapsed) * self.gain)
 
 
-def replay(bucket: Bucket, level: int, last: int | None, times: list[int]):
-    """Decide rows in order from a level; returns decisions and the level and time afterwards."""
+def replay(bucket: Bucket, level: int, last: int | None, times: list[int], levels: list[int] | None = None):
+    """Decide rows in order from a level; returns decisions and the level and time afterwards.
+    ``levels`` collects the level after each row."""
     allowed = []
     gain, token, full = bucket.gain, bucket.token, bucket.full
     for now in times:
@@ -65,6 +66,8 @@ def replay(bucket: Bucket, level: int, last: int | None, times: list[int]):
             allowed.append(True)
         else:
             allowed.append(False)
+        if levels is not None:
+            levels.append(level)
     return allowed, level, last
 
 
@@ -122,22 +125,24 @@ class _Line:
         self.bucket, self.level, self.pieces, self.last = bucket, None, None, None
 
     def full(self) -> None:
-        self.level, self.pieces, self.last = self.bucket.full, None, None
+        self.at(self.bucket.full, None)
+
+    def at(self, level: int, last: int | None) -> None:
+        self.level, self.pieces, self.last = level, None, last
 
     def unknown(self) -> None:
         self.level, self.pieces, self.last = None, [(0, 1, 0)], None
 
-    def take(self, times: list[int]) -> tuple[int, list[bool]]:
+    def take(self, times: list[int], levels: list[int] | None = None) -> tuple[int, list[bool]]:
         """How many rows belong to the head, and the decisions of the others."""
-        head = 0
+        head, allowed = 0, []
         while self.level is None and head < len(times):
             self.pieces, self.last = level_pieces(self.bucket, times[head:head + 1], self.pieces, self.last)
             head += 1
             if len(self.pieces) == 1 and self.pieces[0][1] == 0:
                 self.level, self.pieces = self.pieces[0][2], None
-        allowed, level, self.last = replay(self.bucket, self.level, self.last, times[head:]) if self.level is not None else (
-            [], None, self.last)
-        self.level = level
+        if self.level is not None:
+            allowed, self.level, self.last = replay(self.bucket, self.level, self.last, times[head:], levels)
         return head, allowed
 
     def function(self) -> list[tuple[int, int, int]]:
@@ -147,18 +152,20 @@ class _Line:
 #: Elapsed time no two rows can have.
 _NEVER = (1 << 63) - 1
 _ADDED = [
-    T.StructField("__allowed", T.BooleanType()), T.StructField("__head", T.BooleanType()),
+    T.StructField("__allowed", T.BooleanType()), T.StructField("__head", T.BooleanType()), T.StructField("__after", T.LongType()),
     *[T.StructField(n, T.StringType()) for n in ("__first_key", "__last_key")],
     *[T.StructField(n, T.LongType()) for n in ("__first_us", "__last_us")],
     *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("__starts", "__slopes", "__offsets")]]
-_ENDS = [f.name for f in _ADDED[2:]]
+_ENDS = [f.name for f in _ADDED[3:]]
 _END_TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3]
 
 
-def _decide(bucket: Bucket, line: _Line, new: np.ndarray, us: np.ndarray, last_us: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Decisions of sorted rows that go on from ``line``, and which of them are of the head.
+def _decide(bucket: Bucket, line: _Line, new: np.ndarray, us: np.ndarray, last_us: int | None, given: np.ndarray,
+            every: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Decisions of sorted rows that go on from ``line``, which of them are of the head, and levels after them.
 
-    ``new`` marks rows with a key unlike the one above. Rows without a decision are of the head.
+    ``new`` marks rows with a key unlike the one above. ``given`` is the level that a row of a written state
+    sets, -1 for all others. Levels are right for rows that were followed: all of them if ``every``.
     """
     size = len(us)
     fill = min(-(-bucket.full // bucket.gain), _NEVER) if bucket.gain else _NEVER
@@ -167,35 +174,44 @@ def _decide(bucket: Bucket, line: _Line, new: np.ndarray, us: np.ndarray, last_u
     # Compared in two halves, as a difference of two times can pass 64 bits.
     above = np.append(us[0] if last_us is None else last_us, us[:-1])
     cut |= (us > above) & (us.astype(np.uint64) - above.astype(np.uint64) >= np.uint64(fill))
-    allowed, head = np.ones(size, bool), np.zeros(size, bool)
+    cut |= given >= 0
+    allowed, head, after = np.ones(size, bool), np.zeros(size, bool), np.zeros(size, np.int64)
     starts = np.flatnonzero(cut)
     edges = [0, *starts[starts > 0].tolist(), size]
     lengths = np.diff(edges)
     # Short stretches in the middle are allowed already; the first goes on from before, the last goes on.
-    followed = np.flatnonzero((lengths > burst) | (np.arange(len(lengths)) == len(lengths) - 1) | (np.arange(len(lengths)) == 0))
-    for n in followed.tolist():
+    follow = (lengths > burst) | (given[edges[:-1]] >= 0) | every
+    follow[[0, -1]] = True
+    for n in np.flatnonzero(follow).tolist():
         a, b = edges[n], edges[n + 1]
-        if cut[a]:
+        if given[a] >= 0:
+            line.at(int(given[a]), int(us[a]))
+            after[a] = given[a]
+            a += 1
+        elif cut[a]:
             line.full()
-        unknown, decided = line.take(us[a:b].tolist())
+        levels: list[int] = []
+        unknown, decided = line.take(us[a:b].tolist(), levels)
         head[a:a + unknown] = True
         allowed[a + unknown:b] = decided
-    return allowed, head
+        after[a + unknown:b] = levels
+    return allowed, head, after
 
 
-def _fold(bucket: Bucket, tie: list[str], seq: str):
+def _fold(bucket: Bucket, place_columns: list[str], every: bool):
     def fold(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         line = _Line(bucket)
         line.unknown()
-        first_key = first_us = key = before = fate = None
+        first_key = first_us = key = before = None
+        fate = (False, False, 0)
         schema, waiting = None, True
         for batch in batches:
             if not batch.num_rows:
                 continue
             schema = batch.schema
             size = batch.num_rows
-            allowed, head = np.ones(size, bool), np.zeros(size, bool)
-            place = [batch.column(c) for c in ("__key", seq, *tie)]
+            allowed, head, after = np.ones(size, bool), np.zeros(size, bool), np.zeros(size, np.int64)
+            place = [batch.column(c) for c in place_columns]
             live = batch.column("__live").to_numpy(zero_copy_only=False)
             rows = np.flatnonzero(live)
             if len(rows):
@@ -210,27 +226,28 @@ def _fold(bucket: Bucket, tie: list[str], seq: str):
                     new[0] = key is not None and keys[0].as_py() != key
                     if waiting:
                         first_key, first_us, waiting = keys[0].as_py(), int(us[own[0]]), False
-                    decided, unknown = _decide(bucket, line, new, us[own], line.last)
+                    given = batch.column("__level").take(pa.array(rows[own])).fill_null(-1).to_numpy()
+                    found = _decide(bucket, line, new, us[own], line.last, given, every)
                     key = keys[len(keys) - 1].as_py()
                 else:
-                    decided, unknown = np.empty(0, bool), np.empty(0, bool)
+                    found = np.empty(0, bool), np.empty(0, bool), np.empty(0, np.int64)
                 source = np.cumsum(single) - 1  # -1: a copy of the last row before this batch
-                known = source >= 0
-                result, is_head = np.full(len(rows), fate[0] if fate else False), np.full(len(rows), fate[1] if fate else False)
-                result[known], is_head[known] = decided[source[known]], unknown[source[known]]
-                allowed[rows], head[rows] = result, is_head
-                before, fate = tuple(c[len(rows) - 1].as_py() for c in at), (bool(result[-1]), bool(is_head[-1]))
+                for whole, values, old in zip((allowed, head, after), found, fate):
+                    whole[rows] = np.append(values, old)[source]
+                before = tuple(c[len(rows) - 1].as_py() for c in at)
+                fate = allowed[rows[-1]], head[rows[-1]], after[rows[-1]]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(allowed, mask=head), pa.array(head), *[pa.nulls(size, t) for t in _END_TYPES],
+                [*batch.columns, pa.array(allowed, mask=head), pa.array(head), pa.array(after),
+                 *[pa.nulls(size, t) for t in _END_TYPES],
                  pa.array(np.full(size, part, np.int32)), pa.array(np.zeros(size, bool))],
-                names=[*schema.names, "__allowed", "__head", *_ENDS, PART, END])
+                names=[*schema.names, "__allowed", "__head", "__after", *_ENDS, PART, END])
         if not waiting:
             starts, slopes, offsets = zip(*line.function())
             state = [first_key, key, first_us, line.last, list(starts), list(slopes), list(offsets)]
             yield pa.RecordBatch.from_arrays(
-                [*[pa.nulls(1, f.type) for f in schema], pa.nulls(1, pa.bool_()), pa.array([False]),
+                [*[pa.nulls(1, f.type) for f in schema], pa.nulls(1, pa.bool_()), pa.array([False]), pa.nulls(1, pa.int64()),
                  *[pa.array([v], t) for v, t in zip(state, _END_TYPES)], pa.array([part], pa.int32()), pa.array([True])],
-                names=[*schema.names, "__allowed", "__head", *_ENDS, PART, END])
+                names=[*schema.names, "__allowed", "__head", "__after", *_ENDS, PART, END])
 
     return fold
 
@@ -254,17 +271,17 @@ def _chain(bucket: Bucket):
     return run
 
 
-def _replay_heads(bucket: Bucket, tie: list[str], seq: str):
+def _replay_heads(bucket: Bucket, place_columns: list[str]):
     """Decide the heads, sorted by partition and place, from the level they come in with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, level, last, before, fate = None, None, None, None, False
+        part, level, last, before, fate = None, 0, None, None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            place = [batch.column(c) for c in (PART, "__key", seq, *tie)]
+            place = [batch.column(c) for c in (PART, *place_columns)]
             single = new_keys(place, before)
-            decided = []
+            decided, after = [], []
             for number, us, entry, own in zip(place[0].to_pylist(), batch.column("__us").to_pylist(),
                                               batch.column("__entry").to_pylist(), single.tolist()):
                 if number != part:
@@ -272,9 +289,11 @@ def _replay_heads(bucket: Bucket, tie: list[str], seq: str):
                 if own:
                     (fate,), level, last = replay(bucket, level, last, [us])
                 decided.append(fate)
+                after.append(level)
             before = tuple(c[batch.num_rows - 1].as_py() for c in place)
-            at = batch.schema.get_field_index("__allowed")
-            yield batch.set_column(at, "__allowed", pa.array(decided, pa.bool_()))
+            for name, values in (("__allowed", pa.array(decided, pa.bool_())), ("__after", pa.array(after, pa.int64()))):
+                batch = batch.set_column(batch.schema.get_field_index(name), name, values)
+            yield batch
 
     return run
 
@@ -290,22 +309,53 @@ def throttle(
     pay once and share their fate. A clock that runs backwards gains nothing. Only rows not dropped earlier
     take part, and none without a time, which stays. Null keys share one bucket.
     """
-    bucket = Bucket.of(rate, burst)
     df = with_verdict(df)
-    tie = tie_breaker(df, seq)
-    order = ["__key", seq, *tie]
+    decided, _ = _throttle(df, Bucket.of(rate, burst), key, seq, ts, rows_per_slice)
+    return mark(decided, ~F.col("__allowed"), "rate_limit", keep_dropped).select(*df.columns)
+
+
+#: What is left of a key's bucket: the level after its last row, and that row's time in microseconds.
+BUCKETS = "key string, level long, last long"
+
+
+def throttle_from(
+    df: DataFrame, state: DataFrame | None, key: str = "sender_id", rate: str | int | Fraction = "10", burst: int = 20,
+    seq: str = "seq", ts: str = "ts", rows_per_slice: int = ROWS_PER_SLICE,
+) -> tuple[DataFrame, DataFrame]:
+    """``throttle`` that goes on from buckets left before (``BUCKETS``, one row a key) and returns those left now.
+
+    The rows have ``drop_reason``; keys without rows keep their bucket.
+    """
+    df = with_verdict(df)
+    decided, scanned = _throttle(df, Bucket.of(rate, burst), key, seq, ts, rows_per_slice, state, True)
+    order = F.struct("__kind", seq, *tie_breaker(df, seq))
+    left = F.max_by(F.struct(F.col("__after").alias("level"), F.col("__us").alias("last")), order)
+    buckets = scanned.where("__live").groupBy(F.col("__key").alias("key")).agg(left.alias("left")).select("key", "left.*")
+    return mark(decided, ~F.col("__allowed"), "rate_limit").select(*df.columns), buckets
+
+
+def _throttle(df, bucket, key, seq, ts, rows_per_slice, state=None, every=False) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``__allowed``, and all scanned rows, those of the state included, with ``__after``."""
+    place = ["__key", "__kind", seq, *tie_breaker(df, seq)]
     rows = df.withColumns({
         "__key": F.coalesce(F.col(key).cast("string"), F.lit("")),
+        "__kind": F.lit(1),
         "__us": F.unix_micros(F.col(ts).cast("timestamp")),
-        "__live": F.col(REASON).isNull() & F.col(ts).isNotNull()})
+        "__live": F.col(REASON).isNull() & F.col(ts).isNotNull(),
+        "__level": F.lit(None).cast("long")})
+    if state is not None:
+        # A key's state is a row ahead of all others.
+        rows = rows.unionByName(state.select(
+            F.col("key").alias("__key"), F.lit(0).alias("__kind"), F.col("last").alias("__us"), F.lit(True).alias("__live"),
+            F.col("level").alias("__level")), allowMissingColumns=True)
     # Sampling the ranges reads the input; so does the count, of no column.
-    scanned = scan_ranges(rows, order, _fold(bucket, tie, seq), _ADDED, range_count(df, df.count(), rows_per_slice), "throttle")
+    scanned = scan_ranges(rows, place, _fold(bucket, place, every), _ADDED, range_count(df, rows.count(), rows_per_slice), "throttle")
     ends = scanned.where(END).select(PART, *_ENDS)
     # As many rows as there are partitions.
     entries = ends.repartition(1).sortWithinPartitions(PART).mapInArrow(_chain(bucket), f"{PART} int, __entry long")
     body = scanned.where(~F.col(END))
-    kept = [*df.columns, "__allowed"]
-    heads = (body.where("__head").join(F.broadcast(entries), PART).repartition(PART).sortWithinPartitions(PART, *order))
-    heads = heads.mapInArrow(_replay_heads(bucket, tie, seq), heads.schema)
-    decided = body.where("not __head").select(*kept).unionByName(heads.select(*kept))
-    return mark(decided, ~F.col("__allowed"), "rate_limit", keep_dropped).select(*df.columns)
+    kept = [*rows.columns, "__allowed", "__after"]
+    heads = (body.where("__head").join(F.broadcast(entries), PART).repartition(PART).sortWithinPartitions(PART, *place))
+    heads = heads.mapInArrow(_replay_heads(bucket, place), heads.schema)
+    whole = body.where("not __head").select(*kept).unionByName(heads.select(*kept))
+    return whole.where("__kind = 1"), whole

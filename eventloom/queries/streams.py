@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from ..config import CaptureConfig
 from ..plans import views
 from ..session import scratch_path
-from ..streaming.jobs import (
-    stream_dedupe, stream_first_only, stream_log_batches, stream_redact)
-from ..streaming.stateful import failure_alerts, stream_throttle
+from ..streaming.jobs import stream_dedupe, stream_first_only, stream_redact
+from ..streaming.stateful import failure_alerts, flush_log_batches, stream_log_batches, stream_throttle
 from .registry import DL, EV, FP, query, throttle_sql
 
 
@@ -83,7 +82,9 @@ WITH RECURSIVE {EV}, {throttle_sql("ev", "sender_id", "ts", 1, 3_600_000_000, 3)
 SELECT seq AS event_id, allowed FROM walk""")
 def throttle(spark, sf):
     events = views.shape_events(source(spark, sf, "events"))
-    return drain(stream_throttle(events, rate="1/3600", burst=3, columns=["event_id"]), "throttle")
+    path = scratch_path(spark, "throttle")
+    stream_throttle(events, path, f"{path}/checkpoint", rate="1/3600", burst=3, columns=["event_id"]).awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("event_id", "allowed")
 
 
 @query("failure_alerts", f"""
@@ -96,21 +97,41 @@ r AS (SELECT *, count(*) FILTER (WHERE NOT good) OVER (PARTITION BY endpoint, is
 SELECT endpoint, seq, n AS failures FROM r WHERE NOT good AND n = 2""")
 def alerts(spark, sf):
     events = views.shape_events(source(spark, sf, "events"))
-    return drain(failure_alerts(views.shape_attempts(events), 2), "alerts")
+    path = scratch_path(spark, "alerts")
+    failure_alerts(views.shape_attempts(events), path, f"{path}/checkpoint", 2).awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("endpoint", "seq", "failures")
 
 
-@query("stream_log_batches", """
+def _bodies_sql(size: int) -> str:
+    return f"""
 WITH n AS (
-  SELECT role, row_number() OVER (PARTITION BY role ORDER BY conv_id * 1000 + turn) - 1 AS place, text FROM conversations)
-SELECT role, place // 20 AS batch_no, count(*) AS records,
-       sum(len('turn {turn} by {role}: {missing} ' || text)) AS chars
-FROM n GROUP BY role, place // 20""")
-def log_batches(spark, sf):
-    """Flushes of a micro-batch by the record's role; what the bodies hold is read back."""
-    records = views.shape_logs(source(spark, sf, "conversations"))
+  SELECT role, conv_id * 1000 + turn AS seq, 'turn {{turn}} by {{role}}: {{missing}} ' || text AS message,
+         row_number() OVER (PARTITION BY role ORDER BY conv_id * 1000 + turn) - 1 AS place,
+         count(*) OVER (PARTITION BY role) AS total FROM conversations)
+SELECT role, place < total // {size} * {size} AS full_batch, count(*) AS records,
+       md5(string_agg(message, chr(10) ORDER BY seq)) AS messages
+FROM n GROUP BY role, place // {size}, place < total // {size} * {size}"""
+
+
+def _bodies(spark, sf, size: int) -> DataFrame:
+    """Batches by the record's role, sent as they fill up and flushed at the end; the bodies are read back."""
+    records = views.shape_logs(source(spark, sf, "conversations")).withColumn("role", F.col("context")["role"])
     path = scratch_path(spark, "batches")
-    stream_log_batches(records.withColumn("role", F.col("context")["role"]), f"{path}/out", f"{path}/checkpoint", 20, by=("role",), parts=1).awaitTermination()
-    entries = F.from_json("body", "logs array<struct<message:string>>")["logs"]
-    return spark.read.parquet(f"{path}/out").select(
-        F.split("flush_id", "/")[1].alias("role"), "batch_no", "records",
-        F.aggregate(entries, F.lit(0).cast("long"), lambda n, e: n + F.length(e["message"])).alias("chars"))
+    stream_log_batches(records, path, f"{path}/checkpoint", size, ("role",)).awaitTermination()
+    sent = spark.read.parquet(f"{path}/out").drop("micro_batch").withColumn("full_batch", F.lit(True))
+    rest = flush_log_batches(spark, path, records.schema, size, ("role",)).withColumn("full_batch", F.lit(False))
+    messages = F.from_json("body", "logs array<struct<message:string>>")["logs"]["message"]
+    return sent.unionByName(rest).select(
+        F.substring_index("flush_id", "=", -1).alias("role"), "full_batch", "records",
+        F.md5(F.array_join(messages, "\n")).alias("messages"))
+
+
+@query("stream_log_batches", _bodies_sql(20))
+def log_batches(spark, sf):
+    return _bodies(spark, sf, 20)
+
+
+@query("stream_log_batches_default", _bodies_sql(1000))
+def log_batches_default(spark, sf):
+    """The default size: most senders of a small table only have a remainder to flush."""
+    return _bodies(spark, sf, 1000)

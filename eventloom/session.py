@@ -51,7 +51,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -61,7 +61,7 @@ def clear_scratch(spark: SparkSession) -> int:
     written themselves; returns the number of folders."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        _delete(spark, path)
+        delete_folder(spark, path)
     return len(paths)
 
 
@@ -73,7 +73,7 @@ def release(*frames: DataFrame) -> None:
             written = _written.get(df.sparkSession.sparkContext.applicationId, [])
             if path in written:
                 written.remove(path)
-                _delete(df.sparkSession, path)
+                delete_folder(df.sparkSession, path)
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:

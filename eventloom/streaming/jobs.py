@@ -6,13 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from ..config import CaptureConfig
 from ..functions.net import dsn_parts
 from ..operators.dedupe import with_fingerprint
 from ..operators.gates import gate_enabled, sample
-from ..operators.logs import build_log_batches, to_log_wire
 from ..operators.payload import to_error_payload
 from ..operators.scrub import scrub_event
 
@@ -48,26 +46,3 @@ def stream_first_only(
     """Pass on the first row per fingerprint within the watermark delay."""
     events = events if "fingerprint" in events.columns else with_fingerprint(events)
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([*by, "fingerprint"])
-
-
-def stream_log_batches(
-    records: DataFrame, path: str, checkpoint: str, size: int = 1000,
-    by: Sequence[str] = ("sender_id",), parts: int = 64, trigger: dict | None = None,
-) -> StreamingQuery:
-    """Write the batches of every micro-batch to ``path``.
-
-    The records of a micro-batch are flushed per sender (``by``, where these columns are there) and
-    per hash of their place, so that no sender and no micro-batch is numbered in one task. Each
-    micro-batch writes its own folder and replaces it when run again after a failure. ``trigger``
-    takes the arguments of Spark's trigger; by default what is available is processed once.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        senders = [F.col(c).cast("string") for c in by if c in batch.columns]
-        part = F.pmod(F.xxhash64("seq"), F.lit(parts)).cast("string")
-        flush = F.concat_ws("/", F.lit(str(batch_id)), *[F.coalesce(s, F.lit("")) for s in senders], part)
-        build_log_batches(to_log_wire(batch.withColumn("flush_id", flush)), size).write.mode("overwrite").parquet(
-            f"{path}/micro_batch={batch_id}")
-
-    return (records.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
