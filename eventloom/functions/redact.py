@@ -34,20 +34,26 @@ _MARKERS = ("sk_log_", "pk_", "AKIA", "ghp_", "PRIVATE KEY-----")
 
 
 def scrub_text(
-    col: Column, literals: Sequence[str] = (), max_scan_bytes: int | None = None
+    col: Column, literals: Sequence[str] | Column = (), max_scan_bytes: int | None = None
 ) -> Column:
     """Mask literals, then known token shapes, in texts of any length. With ``max_scan_bytes``
-    longer texts stay as they are, unmasked."""
-    kept = [v for v in literals if v]
+    longer texts stay as they are, unmasked. ``literals`` may be an array column, masked in its order."""
+    own = literals if isinstance(literals, Column) else None
+    kept = [] if own is not None else [v for v in literals if v]
     masked = col
     for literal in kept:
         masked = F.replace(masked, F.lit(literal), F.lit(MASK))
+    if own is not None:
+        own = F.filter(F.coalesce(own, F.array().cast("array<string>")), lambda v: v.isNotNull() & (v != ""))
+        masked = F.aggregate(own, masked, lambda text, v: F.replace(text, v, F.lit(MASK)))
     for pattern in TOKEN_PATTERNS:
         masked = F.regexp_replace(masked, pattern, F.lit("\\[REDACTED\\]"))
     # A byte search rules out most texts before six regular expressions run on them.
     suspicious = col.rlike("(?i)bearer")
     for marker in [*_MARKERS, *kept]:
         suspicious = F.contains(col, F.lit(marker)) | suspicious
+    if own is not None:
+        suspicious = F.exists(own, lambda v: F.contains(col, v)) | suspicious
     if max_scan_bytes is not None:
         suspicious = (F.octet_length(col) <= max_scan_bytes) & suspicious
     return F.when(suspicious, masked).otherwise(col)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import fingerprint
 from ..functions.text import merge_maps
+from ..session import delete_folder, finished_folders
 from .gates import REASON, at_group, mark, with_verdict
 from .ordered import tie_breaker
 
@@ -61,3 +64,57 @@ def issue_rollup(
         F.max(ts).alias("last_seen"),
         F.min_by(sample, F.struct(*dict.fromkeys([order, sample]))).alias("first_event_id"),
     )
+
+
+_ISSUE = ("events", "first_seen", "last_seen")
+
+
+def _issue_parts(df: DataFrame, project: str, order: str, ts: str, sample: str) -> DataFrame:
+    """Partial rollup of some rows, which merges with others."""
+    df = df if "fingerprint" in df.columns else with_fingerprint(df)
+    first = F.min(F.struct(F.col(order).alias("place"), F.col(sample).alias("event_id")))
+    return df.groupBy(F.col(project).alias("project_id"), "fingerprint").agg(
+        F.count(F.lit(1)).alias("events"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), first.alias("first"))
+
+
+def _merge_issues(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("project_id", "fingerprint").agg(
+        F.sum("events").alias("events"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.min("first").alias("first"))
+
+
+class IssueTable:
+    """The issue rollup of all days so far, kept in a folder that executors share.
+
+    ``add`` reads the rows of one day only. Its partial rollup is stored under the day and merged with the
+    table before it into the next version; a day that is added again replaces its part, and the version is then
+    merged from the stored parts, never from rows. A version counts once it is written whole.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def versions(self) -> list[int]:
+        return sorted(int(n) for n in finished_folders(self.spark, f"{self.path}/versions"))
+
+    def days(self) -> list[str]:
+        return sorted(finished_folders(self.spark, f"{self.path}/days"))
+
+    def add(self, day: str, df: DataFrame, project: str = "project_id", order: str = "seq", ts: str = "timestamp",
+            sample: str = "event_id") -> None:
+        seen, versions = day in self.days(), self.versions()
+        _issue_parts(df, project, order, ts, sample).write.mode("overwrite").parquet(f"{self.path}/days/{day}")
+        part = self.spark.read.parquet(f"{self.path}/days/{day}")
+        if seen or not versions:
+            merged = [self.spark.read.parquet(f"{self.path}/days/{d}") for d in self.days()]
+        else:
+            merged = [self.spark.read.parquet(f"{self.path}/versions/{versions[-1]}"), part]
+        number = versions[-1] + 1 if versions else 0
+        _merge_issues(reduce(DataFrame.unionByName, merged)).write.mode("overwrite").parquet(f"{self.path}/versions/{number}")
+        for old in versions[:-1]:  # the one before stays for those who read it
+            delete_folder(self.spark, f"{self.path}/versions/{old}")
+
+    def issues(self) -> DataFrame:
+        """What ``issue_rollup`` gives for all rows added."""
+        current = self.spark.read.parquet(f"{self.path}/versions/{self.versions()[-1]}")
+        return current.select("project_id", "fingerprint", *_ISSUE, F.col("first.event_id").alias("first_event_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .gates import REASON
@@ -17,16 +17,29 @@ REASONS = (
 COUNTERS = ("sent", *(f"dropped_{r}" for r in REASONS))
 
 
-def drop_report(df: DataFrame, by: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
-    """The ten counters, for the whole frame or per group; ``weight`` counts a row as many."""
+def counters(weight: Column | None = None) -> list[Column]:
+    """The ten counters as aggregates; ``weight`` counts a row as many."""
     amount = F.lit(1) if weight is None else weight
 
     def count(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0)).cast("long")
 
     counts = [count(F.col(REASON).isNull()).alias("sent")]
-    counts += [count(F.col(REASON) == r).alias(f"dropped_{r}") for r in REASONS]
-    return df.groupBy(*by).agg(*counts) if by else df.agg(*counts)
+    return counts + [count(F.col(REASON) == r).alias(f"dropped_{r}") for r in REASONS]
+
+
+def drop_report(df: DataFrame, by: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
+    """The ten counters, for the whole frame or per group."""
+    return df.groupBy(*by).agg(*counters(weight)) if by else df.agg(*counters(weight))
+
+
+def observed(df: DataFrame, name: str = "counters") -> tuple[DataFrame, Observation]:
+    """The frame, and its ten counters once an action has run over all of it: ``observation.get``.
+
+    They are counted while the rows are written, without a pass of their own.
+    """
+    observation = Observation(name)
+    return df.observe(observation, *counters()), observation
 
 
 def merge_reports(*reports: DataFrame, by: Sequence[str] = ()) -> DataFrame:

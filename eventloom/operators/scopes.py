@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,39 +81,42 @@ def layer_scopes(scopes: DataFrame, max_depth: int | None = None) -> DataFrame:
     """Resolve nested scopes: each starts as a copy of its parent and adds its own changes.
 
     Own tags and extra values win and an own non-empty user replaces the parent's. A row with
-    ``reset`` true starts empty. Parents are followed to the end, one level per pass. A scope that is
-    its own ancestor, or has more than ``max_depth`` ancestors where that is given, is an error at
-    once; rows that are merged halfway are never returned. A parent without a row is empty.
+    ``reset`` true starts empty. In every round a scope takes in all that the scope it points to has taken
+    in so far and points to where that one points, so a chain of n ancestors takes log2(n) + 1 rounds. A
+    scope that is its own ancestor, or has more than ``max_depth`` ancestors where that is given, is an error;
+    rows that are merged halfway are never returned. A parent without a row is empty, scope ids are unique.
     """
     reset = F.coalesce(F.col("reset"), F.lit(False)) if "reset" in scopes.columns else F.lit(False)
-    base = scopes.select(
-        "scope_id", F.when(~reset, F.col("parent_scope_id")).alias("parent_scope_id"),
-        *[F.coalesce(n, empty_map()).alias(n) for n in ("tags", "user", "extra")])
-    parents = base.select(
-        F.col("scope_id").alias("__up"), F.col("parent_scope_id").alias("__up_next"),
-        *[F.col(n).alias(f"__up_{n}") for n in ("tags", "user", "extra")])
-    names = ("scope_id", "tags", "user", "extra")
-    open_rows = cut_lineage(base.withColumn("__up", F.col("parent_scope_id")).drop("parent_scope_id"), "scopes")
-    done = open_rows.where("__up is null").select(*names)
-    open_rows, depth = open_rows.where("__up is not null"), 0
-    # A chain is followed only as long as it lasts; finished rows are not read again.
-    while left := open_rows.agg(F.count(F.lit(1)), F.count_if(F.col("__up") == F.col("scope_id"))).first():
+    maps = ("tags", "user", "extra")
+    names = ("scope_id", *maps)
+    rows = cut_lineage(scopes.select(
+        "scope_id", F.when(~reset, F.col("parent_scope_id")).alias("__up"),
+        F.when(~reset & F.col("parent_scope_id").isNotNull(), 1).otherwise(0).cast("long").alias("__depth"),
+        *[F.coalesce(n, empty_map()).alias(n) for n in maps]), "scopes")
+    done, open_rows = [rows.where("__up is null")], rows.where("__up is not null")
+    reach, total = 1, None  # ancestors each open scope has taken in, itself included
+    while left := open_rows.agg(F.count(F.lit(1)), F.max("__depth")).first():
         if not left[0]:
-            return done
-        if left[1]:
-            raise ValueError("a scope is its own ancestor")
-        if max_depth is not None and depth >= max_depth:
+            break
+        total = total or rows.count()
+        if max_depth is not None and left[1] > max_depth:
             raise ValueError(f"a scope has more than {max_depth} ancestors")
-        depth += 1
-        joined = open_rows.join(parents, "__up", "left")
-        layered = cut_lineage(joined.select(
-            "scope_id",
+        if reach > total:
+            raise ValueError("a scope is its own ancestor")
+        above = reduce(DataFrame.unionByName, done, open_rows).select(
+            F.col("scope_id").alias("__up"), F.col("__up").alias("__next"), F.col("__depth").alias("__up_depth"),
+            *[F.col(n).alias(f"__up_{n}") for n in maps])
+        layered = cut_lineage(open_rows.join(above, "__up", "left").select(
+            "scope_id", F.col("__next").alias("__up"),
+            (F.col("__depth") + F.coalesce("__up_depth", F.lit(0))).alias("__depth"),
             merge_maps(F.col("__up_tags"), F.col("tags")).alias("tags"),
             F.when(_non_empty(F.col("user")), F.col("user"))
             .otherwise(F.coalesce("__up_user", empty_map())).alias("user"),
-            merge_maps(F.col("__up_extra"), F.col("extra")).alias("extra"),
-            F.col("__up_next").alias("__up"),
-        ), "scopes")
-        done = done.unionByName(layered.where("__up is null").select(*names))
+            merge_maps(F.col("__up_extra"), F.col("extra")).alias("extra")), "scopes")
+        done.append(layered.where("__up is null"))
         open_rows = layered.where("__up is not null")
-    return done
+        reach *= 2
+    out = reduce(DataFrame.unionByName, done)
+    if max_depth is not None and out.where(F.col("__depth") > max_depth).limit(1).count():
+        raise ValueError(f"a scope has more than {max_depth} ancestors")
+    return out.select(*names)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ def scrub_fields(
 
 
 def scrub_event(
-    df: DataFrame, fragments: Sequence[str], literals: Sequence[str] = (),
+    df: DataFrame, fragments: Sequence[str], literals: Sequence[str] | Column = (),
     max_scan_bytes: int | None = None,
 ) -> DataFrame:
     """Message by token shape, context and tags by name, breadcrumbs both ways. Type, file,
@@ -62,8 +62,22 @@ def scrub_event(
 
 
 def scrub_fatal(
-    df: DataFrame, literals: Sequence[str] = (), max_scan_bytes: int | None = None
+    df: DataFrame, literals: Sequence[str] | Column = (), max_scan_bytes: int | None = None
 ) -> DataFrame:
     """The lean variant for out-of-memory rows: message and file only."""
     return df.withColumns({
         name: scrub_text(F.col(name), literals, max_scan_bytes) for name in ("message", "file")})
+
+
+def with_project_literals(
+    df: DataFrame, secrets: DataFrame, project: str = "project_id", secret: str = "secret", name: str = "literals"
+) -> DataFrame:
+    """Add the secrets of each row's project as an array for ``scrub_text`` and ``scrub_event``.
+
+    ``secrets`` has one row per secret, as many projects as there are; longer secrets come first, so one
+    inside another doesn't break it up. Rows without a project, or of one without secrets, get none.
+    """
+    listed = secrets.where(F.col(secret).isNotNull() & (F.col(secret) != "")).groupBy(project).agg(
+        F.transform(F.sort_array(F.collect_set(F.struct(F.length(secret).alias("n"), F.col(secret).alias("v"))), False),
+                    lambda s: s["v"]).alias(name))
+    return df.drop(name).join(listed, project, "left").select(*[c for c in df.columns if c != name], name)

@@ -21,7 +21,7 @@ from ..operators.gates import (
 from ..operators.logs import (
     build_log_batches, build_log_records, interpolate_messages, to_log_wire)
 from ..operators.payload import merge_context, to_error_payload
-from ..operators.reports import drop_report
+from ..operators.reports import drop_report, observed
 from ..operators.requests import collect_request_context
 from ..operators.scopes import apply_scope
 from ..operators.scrub import scrub_event
@@ -35,10 +35,15 @@ KEYS = ("event_id", "sender_id", "flush_id", "seq")
 
 @dataclass(frozen=True)
 class Capture:
-    """``verdicts`` has one narrow row per input row, ``payloads`` one per row that is sent."""
+    """``verdicts`` has one narrow row per input row, ``payloads`` one per row that is sent.
+
+    ``counters`` are the ten counters, counted while the verdicts were written (errors and fatals); a job
+    on logs counts them with ``report``.
+    """
 
     verdicts: DataFrame
     payloads: DataFrame
+    counters: dict[str, int] | None = None
 
     def report(self, by: Sequence[str] = ()) -> DataFrame:
         return drop_report(self.verdicts, by)
@@ -71,8 +76,11 @@ def capture_errors(
         full = df.where(~lean) if lean_rows else df
         if crumbs is not None:
             own = full.schema["breadcrumbs"].dataType
+            is_reset = F.coalesce(F.col("reset"), F.lit(False)) if "reset" in crumbs.columns else F.lit(False)
             trailed = attach_trail(
-                full, crumbs, cfg.max_breadcrumbs, output="__trail", rows_per_slice=rows_per_slice)
+                full, crumbs.where(~is_reset), cfg.max_breadcrumbs, crumb=F.col("crumb"),
+                resets=crumbs.where(is_reset) if "reset" in crumbs.columns else None, output="__trail",
+                rows_per_slice=rows_per_slice)
             full = trailed.withColumn("breadcrumbs", F.concat(
                 F.coalesce("breadcrumbs", F.array().cast(own)), F.col("__trail").cast(own))).drop("__trail")
         full = scrub(full if scopes is None else apply_scope(full, scopes))
@@ -106,7 +114,8 @@ def capture_errors(
     verdicts = throttle(
         verdicts, "sender_id", cfg.events_per_second, cfg.burst, ts="timestamp",
         rows_per_slice=rows_per_slice)
-    verdicts = cut_lineage(verdicts, "verdicts")
+    counted, observation = observed(verdicts)
+    verdicts = cut_lineage(counted, "verdicts")
 
     place = ["event_id", "flush_id", "seq"]
     sent = verdicts.where(F.col(REASON).isNull()).select(*place, "duplicate_count").dropDuplicates(place)
@@ -119,7 +128,7 @@ def capture_errors(
         F.col("duplicate_count").isNotNull(), merge_maps(F.col("tags"), tag)
     ).otherwise(F.col("tags")))
     payloads = to_error_payload(rows).select(*KEYS, "payload")
-    return Capture(verdicts, payloads)
+    return Capture(verdicts, payloads, observation.get)
 
 
 def capture_logs(

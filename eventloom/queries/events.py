@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hmac_sha256
 from ..functions.levels import errno_name, errno_severity, log_level, severity
 from ..functions.text import empty_map
-from ..operators.dedupe import dedupe, issue_rollup, with_fingerprint
+from ..operators.dedupe import IssueTable, dedupe, issue_rollup, with_fingerprint
 from ..operators.events import from_exceptions, from_fatals, from_messages, from_raw_errors
 from ..operators.gates import before_send, buffer_cap, gate_enabled, last_n, sample
 from ..operators.payload import event_to_row, promote_context, stringify_tags, to_error_payload
-from ..operators.reports import drop_report, health_rollup, merge_reports, rollup_reports
+from ..operators.reports import COUNTERS, drop_report, health_rollup, merge_reports, observed, rollup_reports
 from ..operators.scrub import scrub_event
 from ..plans import views
 from ..session import scratch_path
+from ..sources.delivery import body_sink, receipts, sink_stats
 from ..sources.jsonl import read_events_jsonl, write_events_jsonl
-from ..sources.sinks import build_error_bodies
+from ..sources.sinks import build_error_bodies, null_sink
 from .registry import EV, FP, query
 
 
@@ -69,6 +70,21 @@ def issues(spark, sf):
         "first_seen": F.unix_micros("first_seen"), "last_seen": F.unix_micros("last_seen")})
 
 
+@query("issue_table", f"""
+WITH {EV}, fp AS (SELECT *, {FP} AS fingerprint FROM ev)
+SELECT sender_id AS project_id, fingerprint, count(*) AS events,
+       epoch_us(min(ts)) AS first_seen, epoch_us(max(ts)) AS last_seen, min(event_id) AS first_event_id
+FROM fp GROUP BY sender_id, fingerprint""")
+def issue_table(spark, sf):
+    """The same rollup from a table that is added to, in four parts, one of them twice."""
+    ev = views.ev(spark, sf).withColumnRenamed("sender_id", "project_id")
+    table = IssueTable(spark, scratch_path(spark, "issues"))
+    for part in (2, 0, 1, 3, 1):
+        table.add(f"part-{part}", ev.where(F.col("user_id") % 4 == part), ts="ts")
+    return table.issues().withColumns({
+        "first_seen": F.unix_micros("first_seen"), "last_seen": F.unix_micros("last_seen")})
+
+
 SAMPLE_SQL = "CAST(('0x' || substr(sha1(CAST(event_id AS VARCHAR) || ':s1'), 1, 8)) AS UBIGINT) % 1000000"
 
 VERDICTS_SQL = f"""
@@ -112,6 +128,23 @@ def gate_sample(spark, sf):
         "event_id", "drop_reason")
 
 
+@query("sample_by_column", f"""
+WITH {EV} SELECT event_id, CASE WHEN (event_id * 7) % 10 >= 4 THEN 'sampled' END AS drop_reason FROM ev""")
+def sample_by_column(spark, sf):
+    """A column of the rows decides instead of the key."""
+    ev = views.ev(spark, sf).select("event_id")
+    return sample(ev, 0.4, draw=(F.col("event_id") * 7) % 10 / 10)
+
+
+@query("null_sink_counters", f"WITH {EV}, {VERDICTS_SQL}, s AS (SELECT r1 AS drop_reason FROM gated) SELECT {COUNTERS_SQL} FROM s")
+def null_sink_counters(spark, sf):
+    """Rows that are computed and thrown away, counted on the way."""
+    ev = views.ev(spark, sf).select("event_id", "sender_id")
+    rows, observation = observed(sample(gate_enabled(ev, F.col("sender_id") != "7"), 0.8, seed="s1"))
+    null_sink(rows)
+    return spark.createDataFrame([observation.get], ", ".join(f"{c} long" for c in COUNTERS)).select(*COUNTERS)
+
+
 @query("drop_report", f"WITH {EV}, {VERDICTS_SQL} SELECT {COUNTERS_SQL} FROM judged")
 def report(spark, sf):
     return drop_report(_verdicts(spark, sf))
@@ -465,3 +498,42 @@ def bodies(spark, sf):
     return out.withColumn("f", fields).select(
         "event_id", "url", "project_id", "has_api_key", "f.*",
         F.length("batch_key").cast("long").alias("key_length"))
+
+
+def _answers(rows: list[dict]) -> list[int | None]:
+    """A collector of the queries: some bodies are refused, some known already, some get no answer."""
+    return [(202, 202, 409, 503, None, 400)[row["event_id"] % 6] for row in rows]
+
+
+_ANSWER_SQL = "[202, 202, 409, 503, NULL, 400][event_id % 6 + 1]"
+
+
+def _sent(spark, sf, job: str) -> str:
+    """Bodies of all events, written to the sink in two jobs, the first of them twice."""
+    spark.dataSource.register(body_sink("eventloom_answers", _answers, ("event_id", "batch_key")))
+    bodies = build_error_bodies(views.full_events(views.ev(spark, sf)), F.lit("https://ingest.example.com/proj1"))
+    path = scratch_path(spark, "sink")
+    for name in ("even", "odd", "even"):
+        half = bodies.where(F.col("event_id") % 2 == int(name == "odd")).select("event_id", "batch_key", "body")
+        half.write.format("eventloom_answers").option("job", f"{job}-{name}").mode("append").save(path)
+    return path
+
+
+@query("sink_receipts", f"""
+WITH {EV}
+SELECT event_id, CASE event_id % 2 WHEN 0 THEN 'r-even' ELSE 'r-odd' END AS job, CAST({_ANSWER_SQL} AS INTEGER) AS status,
+       coalesce({_ANSWER_SQL} IN (202, 409), false) AS sent, true AS has_key FROM ev""")
+def sink_receipts(spark, sf):
+    path = _sent(spark, sf, "r")
+    return receipts(spark, path, "event_id long, batch_key string").select(
+        "event_id", "job", "status", "sent", F.col("batch_key").rlike("^[0-9a-f]{64}$").alias("has_key"))
+
+
+@query("sink_stats", f"""
+WITH {EV}
+SELECT CASE event_id % 2 WHEN 0 THEN 's-even' ELSE 's-odd' END AS job,
+       count(*) FILTER (WHERE coalesce({_ANSWER_SQL} IN (202, 409), false)) AS sent,
+       count(*) FILTER (WHERE NOT coalesce({_ANSWER_SQL} IN (202, 409), false)) AS failed
+FROM ev GROUP BY 1""")
+def stats_of_sink(spark, sf):
+    return sink_stats(spark, _sent(spark, sf, "s"))

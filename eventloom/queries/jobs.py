@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import CaptureConfig, LogConfig
+from ..operators.reports import COUNTERS
 from ..plans import views
 from ..plans.capture import (
     capture_errors, capture_fatals, capture_logs, delivery_report, request_context_job)
@@ -33,12 +34,15 @@ judged AS (
   FROM deduped d LEFT JOIN walk w ON w.seq = d.seq)"""
 
 
-def _errors(spark, sf):
-    cfg = CaptureConfig(
+def _error_config(**changes):
+    return CaptureConfig(
         dsn=DSN, sample_rate=0.9, sample_seed="s1", max_buffered_events=30,
-        events_per_second="1/3600", burst=3)
+        events_per_second="1/3600", burst=3, **changes)
+
+
+def _errors(spark, sf):
     return capture_errors(
-        views.full_events(views.ev(spark, sf)), views.scopes(spark, sf), cfg)
+        views.full_events(views.ev(spark, sf)), views.scopes(spark, sf), _error_config())
 
 
 @query("error_capture", f"""
@@ -64,6 +68,88 @@ def errors_report(spark, sf):
     return _errors(spark, sf).report()
 
 
+@query("error_capture_counters", f"WITH {CAPTURED_SQL} SELECT {COUNTERS_SQL} FROM judged")
+def errors_counted(spark, sf):
+    """The counters that were observed while the verdicts were written."""
+    counters = _errors(spark, sf).counters
+    return spark.createDataFrame([counters], ", ".join(f"{c} long" for c in COUNTERS)).select(*COUNTERS)
+
+
+# Rows of type view stand for the answers of the collector, all others are captured.
+ANSWERED_SQL = (
+    CAPTURED_SQL
+    .replace(f"{EV},", f"""{EV},
+seen AS (
+  SELECT * FROM (SELECT *, last_value(CASE WHEN type = 'view' THEN epoch_us(ts) // 1000000 + greatest(1, k * 60) END IGNORE NULLS)
+      OVER (PARTITION BY sender_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS until FROM ev)
+  WHERE type <> 'view'),""")
+    .replace("'sampled' END AS r1 FROM ev)", "'sampled' END AS r1 FROM seen)")
+    .replace("waiting AS (SELECT * FROM deduped WHERE r3 IS NULL)", """held AS (
+  SELECT * REPLACE (CASE WHEN r3 IS NULL AND epoch_us(ts) // 1000000 < until THEN 'rate_limit' ELSE r3 END AS r3) FROM deduped),
+waiting AS (SELECT * FROM held WHERE r3 IS NULL)""")
+    .replace("FROM deduped d", "FROM held d"))
+
+
+@query("error_capture_responses", f"WITH {ANSWERED_SQL} SELECT event_id, drop_reason FROM judged")
+def errors_answered(spark, sf):
+    """Events wait after a 429 of their endpoint, before they meet the throttle."""
+    ev = views.ev(spark, sf)
+    events = views.full_events(ev.where(F.col("type") != "view")).withColumn("endpoint", F.col("sender_id"))
+    answers = views.shape_attempts(ev.where(F.col("type") == "view"))
+    return capture_errors(events, None, _error_config(), responses=answers).verdicts.select("event_id", "drop_reason")
+
+
+HOOKED_SQL = CAPTURED_SQL.replace("THEN 'sampled' END AS r1", "THEN 'sampled' WHEN line = 2 THEN 'before_send' END AS r1").replace(
+    f"{FP} AS fingerprint", "sha1('hooked|' || file || '|' || CAST(line AS VARCHAR)) AS fingerprint")
+
+
+def _hook(df):
+    """Refuses some events, renames all others and leaves a secret for the second scrubbing."""
+    return df.withColumns({
+        "keep": F.col("line") != 2, "type": F.lit("hooked"),
+        "message": F.concat("message", F.lit(" token ghp_"), F.col("event_id").cast("string"))})
+
+
+@query("error_capture_hook", f"""
+WITH {HOOKED_SQL}
+SELECT event_id, 'hooked' AS type,
+       message || CASE WHEN k % 4 = 0 THEN ' key [REDACTED]' ELSE '' END || ' token [REDACTED]' AS message
+FROM judged WHERE drop_reason IS NULL""")
+def errors_hooked(spark, sf):
+    out = capture_errors(views.full_events(views.ev(spark, sf)), None, _error_config(before_send=_hook))
+    return out.payloads.select("event_id", F.col("payload")["type"].alias("type"), F.col("payload")["message"].alias("message"))
+
+
+# Rows of type error are captured; the others are breadcrumbs, and signups empty their scope.
+TRAILED_SQL = CAPTURED_SQL.replace("'sampled' END AS r1 FROM ev)", "'sampled' END AS r1 FROM ev WHERE type = 'error')")
+
+
+@query("error_capture_crumbs", f"""
+WITH {TRAILED_SQL},
+marked AS (
+  SELECT *, count(*) FILTER (WHERE type = 'signup') OVER (PARTITION BY scope_id ORDER BY seq) AS era,
+         count(*) FILTER (WHERE type NOT IN ('error', 'signup')) OVER (PARTITION BY scope_id ORDER BY seq) AS i FROM ev),
+c AS (SELECT * FROM marked WHERE type NOT IN ('error', 'signup'))
+SELECT e.event_id, count(c.seq) AS crumbs,
+       coalesce(string_agg(c.type || ':' || c.seq || ':[REDACTED]', ',' ORDER BY c.seq), '') AS trail
+FROM marked e JOIN judged j ON j.event_id = e.event_id AND j.drop_reason IS NULL
+LEFT JOIN c ON c.scope_id = e.scope_id AND c.era = e.era AND c.i > e.i - 4 AND c.i <= e.i
+GROUP BY e.event_id""")
+def errors_trailed(spark, sf):
+    """Each event carries the last four breadcrumbs of its scope, scrubbed with it."""
+    ev = views.ev(spark, sf)
+    crumb = F.struct(
+        F.col("type").alias("category"), F.concat(F.col("seq").cast("string"), F.lit(":pk_"), F.col("k").cast("string")).alias("message"),
+        F.lit("info").alias("level"), F.create_map(F.lit("password"), F.lit("x")).alias("data"), F.col("ts").alias("timestamp"))
+    crumbs = ev.where(F.col("type") != "error").select("scope_id", "seq", crumb.alias("crumb"), (F.col("type") == "signup").alias("reset"))
+    events = views.full_events(ev.where(F.col("type") == "error"))
+    out = capture_errors(events, None, _error_config(max_breadcrumbs=4), crumbs=crumbs)
+    held = F.col("payload")["breadcrumbs"]
+    return out.payloads.select(
+        "event_id", F.size(held).cast("long").alias("crumbs"),
+        F.array_join(F.transform(held, lambda c: F.concat(c["category"], F.lit(":"), c["message"])), ",").alias("trail"))
+
+
 def _log_config():
     return LogConfig(
         endpoint="https://logs.example.com/v1", token="sk_log_x", app_name="app", max_buffered_logs=70,

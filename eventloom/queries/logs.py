@@ -18,14 +18,27 @@ def interpolated(spark, sf):
     return interpolate_messages(views.logs(spark, sf)).select("seq", "message")
 
 
-@query("interpolate_safe", f"""
-WITH {LOGS} SELECT seq, '[REDACTED]' || ' ' || CAST(turn AS VARCHAR) AS message FROM logs""")
+@query("interpolate_safe", f"WITH {LOGS} SELECT seq, {FILLED_SQL} || ' with [REDACTED]' AS message FROM logs")
 def interpolated_safe(spark, sf):
-    """A template that names a sensitive field gets its masked value."""
-    rows = views.logs(spark, sf).withColumn("message", F.lit("{auth_code} {turn}"))
+    """Where a message names a sensitive field, its masked value is filled in."""
+    rows = views.logs(spark, sf).withColumn("message", F.concat("message", F.lit(" with {auth_code}")))
     return interpolate_messages(rows, ("auth",)).select("seq", "message")
 
 
+@query("log_fallback", f"""
+WITH {LOGS}
+SELECT seq, CASE WHEN turn % 3 = 1 THEN 'info' WHEN role = 'user' THEN 'notice' WHEN role = 'assistant' THEN 'error'
+                 ELSE 'info' END AS severity,
+       CASE WHEN turn % 3 = 1 THEN '<unserializable log entry>' ELSE message END AS message,
+       CASE WHEN turn % 3 <> 1 THEN ts_text END AS timestamp FROM logs""")
+def fallback(spark, sf):
+    """Records whose text is no valid UTF-8 become a fixed entry."""
+    broken = F.concat("message", F.lit(b"\xc3\x28").cast("string"))
+    rows = views.logs(spark, sf).withColumn("message", F.when(F.col("turn") % 3 == 1, broken).otherwise(F.col("message")))
+    w = F.col("wire")
+    return to_log_wire(rows).select("seq", *[w[n].alias(n) for n in ("severity", "message", "timestamp")])
+
+
 @query("log_wire", f"""
 WITH {LOGS}
 SELECT seq, CASE role WHEN 'user' THEN 'notice' WHEN 'assistant' THEN 'error' ELSE 'info' END AS severity,

@@ -10,7 +10,7 @@ from ..functions.redact import SCAN_BOUND, scrub_query_string, scrub_text, scrub
 from ..functions.text import cap_bytes
 from ..operators.requests import collect_request_context, pseudonymize_session, with_client_ip
 from ..operators.routing import route_by_dsn, route_by_log_endpoint
-from ..operators.scrub import scrub_event, scrub_fatal, scrub_fields
+from ..operators.scrub import scrub_event, scrub_fatal, scrub_fields, with_project_literals
 from ..plans import views
 from .events import PADS
 from .registry import EV, query
@@ -145,17 +145,19 @@ IPV4_SQL = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\.(25[0-5]|2[0-4][0-9
 
 @query("anonymize_ip", f"""
 WITH d AS (
-  SELECT doc_id, regexp_extract(text, '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+') AS ip,
+  SELECT doc_id, regexp_extract_all(text, '[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+') AS ips,
          CASE WHEN doc_id % 3 = 0 THEN 0 ELSE doc_id % 65536 END AS g2,
-         CASE WHEN doc_id % 2 = 0 THEN 0 ELSE doc_id % 977 END AS g3 FROM documents)
-SELECT doc_id,
+         CASE WHEN doc_id % 2 = 0 THEN 0 ELSE doc_id % 977 END AS g3 FROM documents),
+a AS (SELECT *, unnest(range(1, greatest(1, coalesce(len(ips), 0)) + 1)) AS place FROM d),
+e AS (SELECT *, ips[place] AS ip FROM a)
+SELECT doc_id, CAST(place AS INTEGER) AS place,
        CASE WHEN regexp_full_match(ip, '{IPV4_SQL}') THEN regexp_replace(ip, '[0-9]+$', '0') END AS v4,
        CASE WHEN doc_id % 6 = 4 THEN NULL
             ELSE '2001' || CASE WHEN g2 = 0 AND g3 = 0 THEN '' WHEN g3 = 0 THEN ':' || printf('%x', g2)
                  ELSE ':' || printf('%x', g2) || ':' || printf('%x', g3) END || '::' END AS v6
-FROM d""")
+FROM e""")
 def ip(spark, sf):
-    """The first IPv4-like text of a document and an IPv6 address in one of six spellings."""
+    """Every IPv4-like text of a document, or one row without, and an IPv6 address in one of six spellings."""
     key = F.col("doc_id")
     two = F.when(key % 3 == 0, 0).otherwise(key % 65536).cast("long")
     three = F.when(key % 2 == 0, 0).otherwise(key % 977).cast("long")
@@ -170,9 +172,32 @@ def ip(spark, sf):
         .when(kind == 3, F.concat(head, F.lit("::1.2.3.4")))
         .when(kind == 4, F.concat(head, F.lit("::1%eth0")))
         .otherwise(F.concat(wide, F.lit(":1:2:3:10.0.0.1"))))
-    v4 = F.regexp_extract("text", r"[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+", 0)
-    return views.table(spark, sf, "documents").select(
-        "doc_id", anonymize_ip(v4).alias("v4"), anonymize_ip(v6).alias("v6"))
+    found = F.regexp_extract_all("text", F.lit(r"[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+"), F.lit(0))
+    each = views.table(spark, sf, "documents").select("doc_id", F.posexplode_outer(found).alias("i", "ip"))
+    return each.select("doc_id", (F.coalesce("i", F.lit(0)) + 1).alias("place"), anonymize_ip(F.col("ip")).alias("v4"),
+                       anonymize_ip(v6).alias("v6"))
+
+
+@query("scrub_project_secrets", f"""
+WITH {TOK}, p AS (
+  SELECT doc_id, text || ' ' || own.c_name || ' ' || 'key' || own.c_custkey * 7919 || 'z ' || other.c_name AS text, own.c_name,
+         'key' || own.c_custkey * 7919 || 'z' AS c_key,
+         own.c_custkey % 10 = 0 AS bare
+  FROM tok JOIN customer own ON own.c_custkey = doc_id % 100 + 1 JOIN customer other ON other.c_custkey = doc_id % 100 + 2)
+SELECT doc_id, {masked_sql("CASE WHEN bare THEN text ELSE replace(replace(text, c_name, '[REDACTED]'), c_key, '[REDACTED]') END")} AS text
+FROM p""")
+def project_secrets(spark, sf):
+    """Each project's own secrets are masked, those of another project stay."""
+    customers = views.table(spark, sf, "customer")
+    key = F.concat(F.lit("key"), (F.col("c_custkey") * 7919).cast("string"), F.lit("z"))
+    names = customers.select(F.col("c_custkey").alias("project_id"), "c_name", key.alias("c_key"))
+    other = names.select((F.col("project_id") - 1).alias("project_id"), F.col("c_name").alias("other"))
+    rows = views.tok(spark, sf).withColumn("project_id", F.col("doc_id") % 100 + 1)
+    rows = rows.join(names, "project_id").join(other, "project_id").withColumn(
+        "text", F.concat_ws(" ", "text", "c_name", "c_key", "other"))
+    secrets = names.where(F.col("project_id") % 10 != 0).select(
+        "project_id", F.explode(F.array("c_name", "c_key")).alias("secret"))
+    return with_project_literals(rows, secrets).select("doc_id", scrub_text(F.col("text"), F.col("literals")).alias("text"))
 
 
 CONTEXT_SQL = """

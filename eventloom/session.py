@@ -56,6 +56,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path`` that a job has written to the end."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if files.exists(hadoop.Path(s.getPath(), "_SUCCESS"))]
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete what this application wrote to its scratch folders, once results that read it are
     written themselves; returns the number of folders."""

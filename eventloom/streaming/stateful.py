@@ -20,7 +20,7 @@ from ..operators.delivery import is_failure_signal, is_success
 from ..operators.logs import build_log_batches, to_log_wire
 from ..operators.slices import ROWS_PER_SLICE, numbered, running
 from ..operators.throttle import BUCKETS, throttle_from
-from ..session import delete_folder
+from ..session import delete_folder, finished_folders
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
@@ -51,12 +51,7 @@ def with_state(
 
 def latest_state(spark, path: str, schema: str) -> DataFrame | None:
     """The state after the last micro-batch that was finished, if any."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/state")
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    done = [int(s.getPath().getName()) for s in files.listStatus(folder)
-            if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    done = [int(n) for n in finished_folders(spark, f"{path}/state")]
     return spark.read.schema(schema).parquet(f"{path}/state/{max(done)}") if done else None
 
 
