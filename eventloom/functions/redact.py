@@ -125,14 +125,6 @@ class _Pairs(list):
     """The members of a JSON object in their order, repeated names included."""
 
 
-def _write(node) -> str:
-    if isinstance(node, _Pairs):
-        return "{" + ",".join(f"{json.dumps(name)}:{_write(value)}" for name, value in node) + "}"
-    if isinstance(node, list):
-        return "[" + ",".join(map(_write, node)) + "]"
-    return str(node) if isinstance(node, _Raw) else json.dumps(node)
-
-
 def json_is_readable(col: Column) -> Column:
     """Whether a text is a JSON object or list; null for null."""
     return F.when(col.isNotNull(), col.rlike(r"(?s)^\s*[\[{].*[\]}]\s*$") & F.get_json_object(col, "$").isNotNull())
@@ -147,21 +139,44 @@ def scrub_json(col: Column, fragments: Sequence[str], depth: int = MAX_DEPTH, un
     slip through; ``json_is_readable`` tells which ones.
     """
     kept = [f.lower() for f in fragments if f]
-
-    def walk(node, left):
+    quoted = json.encoder.encode_basestring_ascii
+
+    class Names(dict):
+        """A name as it is written, with the mask where it is sensitive; remembers a bounded number."""
+
+        def __missing__(self, name):
+            if len(self) >= 10_000:
+                self.clear()
+            lowered = name.lower()
+            masked = any(f in lowered for f in kept)
+            entry = self[name] = (quoted(name) + ":" + (f'"{MASK}"' if masked else ""), masked)
+            return entry
+
+    names = Names()
+
+    def write(node, left):
+        if isinstance(node, _Raw):
+            return node
+        if isinstance(node, str):
+            return quoted(node)
+        if not isinstance(node, list):
+            return json.dumps(node)
         if left <= 0:
-            return []
-        if isinstance(node, _Pairs):
-            return _Pairs((name, MASK if any(f in name.lower() for f in kept) else
-                           walk(value, left - 1) if isinstance(value, list) else value) for name, value in node)
-        return [walk(v, left - 1) if isinstance(v, list) else v for v in node]
+            return "[]"
+        if not isinstance(node, _Pairs):
+            return "[" + ",".join([write(v, left - 1) for v in node]) + "]"
+        members = []
+        for name, value in node:
+            head, masked = names[name]
+            members.append(head if masked else head + write(value, left - 1))
+        return "{" + ",".join(members) + "}"
 
     def one(text):
         if text is None:
             return None
         try:
             node = json.loads(text, parse_float=_Raw, parse_int=_Raw, object_pairs_hook=_Pairs)
-            return _write(walk(node, depth)) if isinstance(node, list) else unreadable
+            return write(node, depth) if isinstance(node, list) else unreadable
         except (ValueError, RecursionError):
             return unreadable
 
@@ -175,7 +190,8 @@ def scrub_json(col: Column, fragments: Sequence[str], depth: int = MAX_DEPTH, un
     deep = F.length(F.regexp_replace(col, r"[^\[{]", "")) > depth
     touched = folded | named | deep | ~json_is_readable(col)
     # Rows that stay are sent as null, which costs Python nothing.
-    return F.when(touched, rewrite(F.when(touched, col))).otherwise(col)
+    rewritten = rewrite(F.when(touched, col))
+    return F.coalesce(rewritten, col) if unreadable is not None else F.when(touched, rewritten).otherwise(col)
 
 
 def _decoded_name(pair: Column) -> Column:
