@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import fingerprint
 from ..functions.text import merge_maps
 from ..session import delete_folder, finished_folders
-from .gates import REASON, at_group, mark, with_verdict
+from .gates import REASON, at_group, is_large, mark, with_verdict
 from .ordered import tie_breaker
+from .slices import ROWS_PER_SLICE
 
 
 def with_fingerprint(df: DataFrame, fingerprint_message: bool = False) -> DataFrame:
@@ -23,23 +24,30 @@ def with_fingerprint(df: DataFrame, fingerprint_message: bool = False) -> DataFr
 
 
 def dedupe(
-    df: DataFrame, group: str = "flush_id", order: str = "seq", keep_dropped: bool = True
+    df: DataFrame, group: str = "flush_id", order: str = "seq", keep_dropped: bool = True,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Keep the first live row per (group, fingerprint); with repeats it gains a
     ``duplicate_count``, also put into ``tags`` where that column exists.
 
     First is by ``order``, then event_id; rows that agree in both are one delivery and share their
-    fate. Counts are pre-aggregated before the shuffle; large groups of copies are spread where they
-    meet their first place. Rows without a group are a group.
+    fate. Rows without a group are a group. A window finds the first place, behind ``buffer_cap`` without a
+    shuffle of its own; where copies number more than ``rows_per_slice``, they are counted before the shuffle and meet
+    their first place in a join.
     """
     df = df if "fingerprint" in df.columns else with_fingerprint(df)
     df = with_verdict(df)
     columns = [order, *tie_breaker(df, order)]
     live = F.col(REASON).isNull()
-    heads = df.where(live).groupBy(group, "fingerprint").agg(
-        F.min(F.struct(*columns)).alias("__head"), F.count(F.lit(1)).alias("__copies"))
+    head, copies = F.min(F.struct(*columns)), F.count(F.lit(1))
     rows = df if keep_dropped else df.where(live)
-    joined = at_group(rows, heads, [group, "fingerprint"])
+    # Fingerprints are counted only where a group is large.
+    if is_large(df, [group], rows_per_slice) and is_large(df, [group, "fingerprint"], rows_per_slice):
+        heads = df.where(live).groupBy(group, "fingerprint").agg(head.alias("__head"), copies.alias("__copies"))
+        joined = at_group(rows, heads, [group, "fingerprint"])
+    else:
+        same = Window.partitionBy(group, "fingerprint", *([live] if keep_dropped else []))
+        joined = rows.withColumns({"__head": head.over(same), "__copies": copies.over(same)})
     out = mark(joined, F.struct(*columns) > F.col("__head"), "dedup", keep_dropped).drop("__head")
     copies = F.when(F.col(REASON).isNull() & (F.col("__copies") > 1), F.col("__copies"))
     out = out.withColumn("duplicate_count", copies).drop("__copies")

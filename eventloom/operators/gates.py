@@ -16,7 +16,7 @@ from ..functions.hashing import DRAW_RANGE, fast_draw, portable_draw
 from ..functions.levels import FATAL_MASK
 from ..functions.text import in_order
 from .ordered import tie_breaker
-from .slices import without_nulls
+from .slices import ROWS_PER_SLICE, without_nulls
 
 REASON = "drop_reason"
 
@@ -119,6 +119,12 @@ def first_n(
     return out.drop("__rank")
 
 
+def is_large(df: DataFrame, groups: list[str], rows_per_slice: int) -> bool:
+    """Whether some group has more rows than one task should sort; counting runs a job over the group columns."""
+    most = df.groupBy(*groups).count().agg(F.max("count")).first()[0]
+    return (most or 0) > rows_per_slice
+
+
 def at_group(df: DataFrame, side: DataFrame, groups: list[str]) -> DataFrame:
     """Left join of ``side`` (unique on ``groups``) where null groups match; Spark's adaptive skew join
     splits the rows of large groups."""
@@ -130,16 +136,24 @@ def at_group(df: DataFrame, side: DataFrame, groups: list[str]) -> DataFrame:
 
 def buffer_cap(
     df: DataFrame, n: int = 100, group: str = "flush_id", order: str = "seq",
-    keep_dropped: bool = True,
+    keep_dropped: bool = True, rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """A flush buffers its first ``n`` live rows; later ones are dropped ``buffer``.
 
     Rows are ordered by ``order``, then event_id; rows that agree in both are one delivery and share
-    their fate. Each group's last buffered place is found on narrow columns and met by its rows.
+    their fate. A window per flush ranks the rows; where a flush has more than ``rows_per_slice``, its last
+    buffered place is found on narrow columns instead and met by its rows.
     """
     df = with_verdict(df)
     columns = [order, *tie_breaker(df, order)]
-    live = df.where(F.col(REASON).isNull()).select(group, *columns)
+    alive = F.col(REASON).isNull()
+    if not is_large(df, [group], rows_per_slice):
+        if not keep_dropped:
+            place = F.rank().over(Window.partitionBy(group).orderBy(*columns))
+            return df.where(alive).withColumn("__place", place).where(F.col("__place") <= n).select(*df.columns)
+        place = F.rank().over(Window.partitionBy(group, alive).orderBy(*columns))
+        return mark(df.withColumn("__place", place), F.col("__place") > n, "buffer").select(*df.columns)
+    live = df.where(alive).select(group, *columns)
     last = first_n(live, n, group, order).groupBy(group).agg(F.max(F.struct(*columns)).alias("__last"))
     joined = at_group(df, last, [group])
     out = mark(joined, F.struct(*columns) > F.col("__last"), "buffer", keep_dropped).select(*df.columns)

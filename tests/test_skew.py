@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.operators.dedupe import dedupe
 from eventloom.operators.delivery import dropped_since_last_send, failure_runs, is_success, suppress_after_429
+from eventloom.operators.gates import buffer_cap
 from eventloom.operators.logs import build_log_batches
 from eventloom.operators.ordered import END, PART, fold_running, scan_ranges
 from eventloom.operators.slices import numbered, running
@@ -239,3 +241,37 @@ def test_batches_of_a_large_flush(spark):
     a = build_log_batches(df, 30, rows_per_slice=17).orderBy("batch_no").collect()
     b = build_log_batches(df, 30).orderBy("batch_no").collect()
     assert a == b and len(a) == 34
+
+
+@pytest.mark.parametrize("keep_dropped", [True, False])
+def test_cap_and_dedupe_by_window_and_by_join(spark, keep_dropped):
+    """Null groups, equal places, repeated rows and rows dropped before, both ways against brute force."""
+    rng = random.Random(6)
+    rows = [(rng.choice(["f", "f", "g", None]), rng.randrange(40), rng.randrange(5), rng.choice("ab"),
+             rng.choice([None, None, None, "sampled"])) for _ in range(400)]
+    rows += rows[:60]
+    df = spark.createDataFrame(rows, "flush_id string, seq long, event_id long, fingerprint string, drop_reason string")
+    expected = []
+    live = [r for r in rows if r[4] is None]
+    last = {f: sorted((r[1], r[2]) for r in live if r[0] == f)[:30][-1] for f in ("f", "g", None)}
+    kept = [r for r in live if (r[1], r[2]) <= last[r[0]]]
+    for r in rows:
+        place, same = (r[1], r[2]), [(k[1], k[2]) for k in kept if k[0] == r[0] and k[3] == r[3]]
+        reason = r[4] or ("buffer" if place > last[r[0]] else "dedup" if place > min(same) else None)
+        if keep_dropped or reason is None:
+            expected.append((*r[:4], reason, len(same) if reason is None and len(same) > 1 else None))
+    for rows_per_slice in (5, 10**6):
+        capped = buffer_cap(df, 30, keep_dropped=keep_dropped, rows_per_slice=rows_per_slice)
+        out = dedupe(capped, keep_dropped=keep_dropped, rows_per_slice=rows_per_slice)
+        assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, expected))
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("Exchange hashpartitioning" in line for line in plan.splitlines())
+
+
+def test_cap_and_dedupe_share_one_shuffle(spark):
+    df = spark.range(1000).select(F.col("id").alias("seq"), (F.col("id") % 7).cast("string").alias("flush_id"),
+                                  (F.col("id") % 3).alias("fingerprint"))
+    assert shuffles(dedupe(buffer_cap(df, 20))) == 1
