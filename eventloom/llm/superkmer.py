@@ -5,19 +5,21 @@ words in it. Consecutive windows with the same minimiser form a super-k-mer, whi
 packed string to the bucket of that minimiser; equal windows have equal minimisers, so a bucket holds
 all copies of its windows, and sorting them counts them exactly, by their words.
 
-- Only minimisers that occur twice can hide a repeat. A first pass marks them in a bit set of fixed
+- Only minimisers of two runs, or at two places of one, can hide a repeat. A first pass marks them in a bit set of fixed
   size (2 ** ``filter_bits`` bits, sent to all tasks); other super-k-mers stay at home. If the bit set
   fills up, more strings travel than needed, and the result is the same.
 - Equal packed strings, as copies of documents make them, are counted before they move, so a passage
   in a third of all documents arrives once per task.
-- A bucket with more than ``bucket_strings`` different strings is not sorted in one task: its windows
-  are counted by a grouping over 128-bit digests.
-- Very long runs (repetitive text) are cut every ``run_windows`` windows.
+- A bucket with more than ``bucket_windows`` windows in different strings is not sorted in one task: its
+  windows are counted by a grouping over 128-bit digests. Such buckets are marked in a second bit set of fixed
+  size; another bucket that meets a marked one's bit is counted that way too, with the same result.
+- A run ends where the value of the minimiser changes, not its place, so repetitive text, in which it comes
+  again every few words, makes long runs; very long ones are cut every ``run_windows`` windows.
 
 Words covered by a repeated window are removed; windows are judged on the input.
 
 Defined results: a null or empty text has no words, and the digest of the empty text; a text of fewer
-than ``width`` words keeps all; rows that repeat are copies of each other and lose all their windows;
+than ``width`` words keeps all; texts of any length are worked on in whole, the longest one at a time; rows that repeat are copies of each other and lose all their windows;
 an empty table gives an empty result. Input columns with the names of result columns are replaced.
 """
 
@@ -33,23 +35,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, release
-from .common import WordHash, chain, mix, row_ids, slices
+from .common import WordHash, bit_place, bit_set, chain, in_bit_set, mix, row_ids, slices
 
 RUN_WINDOWS = 512
-BUCKET_STRINGS = 100_000
+BUCKET_WINDOWS = 300_000
 FILTER_BITS = 27
 RESULT = "n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
 def runs(hashes: np.ndarray, doc: np.ndarray, width: int, gram: int, longest: int):
-    """Super-k-mers of concatenated texts: first window, number of windows, minimiser.
+    """Super-k-mers of concatenated texts: first window, number of windows, minimiser."""
+    return runs_with_places(hashes, doc, width, gram, longest)[:3]
+
+
+def runs_with_places(hashes: np.ndarray, doc: np.ndarray, width: int, gram: int, longest: int):
+    """The same, and whether the minimiser has several places in the run, so that windows inside may be equal.
 
     ``doc`` is the text of each word. Windows over the end of a text are left out.
     """
     n = len(hashes) - width + 1
+    none = np.empty(0, np.int64)
     if n <= 0:
-        none = np.empty(0, np.int64)
-        return none, none, none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none.astype(bool)
     value = chain(hashes, gram)
     place = np.arange(len(value))
     span, wanted = 1, width - gram + 1
@@ -62,18 +69,20 @@ def runs(hashes: np.ndarray, doc: np.ndarray, width: int, gram: int, longest: in
     valid = doc[:n] == doc[width - 1:]
     index = np.flatnonzero(valid)
     if not len(index):
-        none = np.empty(0, np.int64)
-        return none, none, none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none.astype(bool)
     place, value = place[index], value[index]
     new = np.ones(len(index), bool)
-    new[1:] = (place[1:] != place[:-1]) | (index[1:] != index[:-1] + 1) | (doc[index[1:]] != doc[index[:-1]])
+    new[1:] = (value[1:] != value[:-1]) | (index[1:] != index[:-1] + 1) | (doc[index[1:]] != doc[index[:-1]])
     first = np.flatnonzero(new)
     length = np.diff(np.append(first, len(index)))
+    moved = np.append(False, place[1:] != place[:-1]) & ~new
+    several = np.add.reduceat(moved, first, dtype=np.int64) > 0
     if length.max() > longest:
         pieces = -(-length // longest)
         offset = np.concatenate([np.arange(p) * longest for p in pieces])
+        several = np.repeat(several, pieces)
         first, length = np.repeat(first, pieces) + offset, np.minimum(np.repeat(length, pieces) - offset, longest)
-    return index[first], length, value[first]
+    return index[first], length, value[first], several
 
 
 def _words(texts, hashes: WordHash):
@@ -90,14 +99,14 @@ def _bit(value: np.ndarray, bits: int) -> np.ndarray:
 
 
 def repeated_minimisers(base: DataFrame, width: int, gram: int, bits: int) -> bytes:
-    """Bit set of the minimisers that start two super-k-mers or more."""
+    """Bit set of the minimisers of two super-k-mers or more, or of one in which they have several places."""
 
     def emit(batches):
         hashes = WordHash()
         for piece in slices(batches, "text"):
             _, _, h, doc = _words(piece.column("text").to_pylist(), hashes)
-            _, _, value = runs(h, doc, width, gram, RUN_WINDOWS)
-            yield pa.RecordBatch.from_arrays([pa.array(_bit(value, bits))], ["bit"])
+            _, _, value, several = runs_with_places(h, doc, width, gram, RUN_WINDOWS)
+            yield pa.RecordBatch.from_arrays([pa.array(_bit(np.append(value, value[several]), bits))], ["bit"])
 
     twice = base.select("text").mapInArrow(emit, "bit long").groupBy("bit").count().where("count > 1")
     # At most 2 ** bits / 8 bytes in all, in pieces of 4 KB. Spark counts bits and pieces from 1.
@@ -152,7 +161,7 @@ def _spans(found) -> pa.Array:
 
 
 def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8, filter_bits: int = FILTER_BITS,
-                   run_windows: int = RUN_WINDOWS, bucket_strings: int = BUCKET_STRINGS) -> DataFrame:
+                   run_windows: int = RUN_WINDOWS, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """``docs`` with n_words, n_removed, kept_sha256 and kept_text (kept words joined by one space)."""
     spark = docs.sparkSession
     base = row_ids(docs)
@@ -172,16 +181,29 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8, filter_bits:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value[pick].view(np.int64)), pa.array([xxhash.xxh3_128_digest(p) for p in packed], pa.binary()),
                  pa.array([rows[d] for d in own], pa.string()), pa.array((first[pick] - begin[own]).astype(np.int32)),
-                 pa.array(packed, pa.binary())], ["minimiser", "digest", "row", "start", "packed"])
+                 pa.array(length[pick].astype(np.int64)), pa.array(packed, pa.binary())],
+                ["minimiser", "digest", "row", "start", "windows", "packed"])
 
     # Written once: counted by string, and looked up by place.
     moved = cut_lineage(base.select("__row", "text").mapInArrow(
-        emit, "minimiser long, digest binary, row string, start int, packed binary"), "super-k-mers")
-    strings = moved.groupBy("minimiser", "digest").agg(F.count("*").alias("copies"), F.first("packed").alias("packed"))
-    strings = cut_lineage(strings, "packed-strings")
-    large = [r["minimiser"] for r in strings.groupBy("minimiser").count()
-             .where(F.col("count") > bucket_strings).select("minimiser").collect()]
-    is_large = F.col("minimiser").isin(large) if large else F.lit(False)
+        emit, "minimiser long, digest binary, row string, start int, windows long, packed binary"), "super-k-mers")
+    strings = moved.groupBy("minimiser", "digest").agg(F.count("*").alias("copies"), F.first("windows").alias("windows"),
+                                                     F.first("packed").alias("packed"))
+    written = strings = cut_lineage(strings, "packed-strings")
+    large = strings.groupBy("minimiser").agg(F.sum("windows").alias("windows")).where(F.col("windows") > bucket_windows)
+    marks = bit_set(large.select("minimiser").mapInArrow(_places(filter_bits), "bit long"), filter_bits)
+    some_large = any(marks)
+    strings = strings.select("minimiser", "digest", "packed", "copies")
+    if some_large:
+        sent_marks = spark.sparkContext.broadcast(marks)
+
+        def mark(batches):
+            members = np.frombuffer(sent_marks.value, np.uint8)
+            for batch in batches:
+                own = in_bit_set(batch.column("minimiser").to_numpy().view(np.uint64), members, filter_bits)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], [*batch.schema.names, "large"])
+
+        strings = strings.mapInArrow(mark, "minimiser long, digest binary, packed binary, copies long, large boolean")
 
     def count(batches):
         def groups():
@@ -191,7 +213,7 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8, filter_bits:
 
         digests, found = [], []
         for _, members in groupby(groups(), key=lambda g: g[0]):
-            members = list(members)  # at most bucket_strings strings
+            members = list(members)  # at most bucket_windows windows
             for member, spans in zip(members, count_windows([(m[2], m[3]) for m in members], width)):
                 if spans:
                     digests.append(member[1])
@@ -201,22 +223,31 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = 8, filter_bits:
                 digests, found = [], []
         yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), _spans(found)], ["digest", "spans"])
 
-    repeats = (strings.where(~is_large).repartition("minimiser").sortWithinPartitions("minimiser")
+    small = strings.where("not large") if some_large else strings
+    repeats = (small.repartition("minimiser").sortWithinPartitions("minimiser")
                .select("minimiser", "digest", "packed", "copies").mapInArrow(count, f"digest binary, spans {SPANS}"))
-    if large:
-        repeats = repeats.unionByName(_count_large(strings.where(is_large), width))
+    if some_large:
+        repeats = repeats.unionByName(_count_large(strings.where("large"), width))
     by_row = (moved.select("digest", "row", "start").join(repeats, "digest")
               .select(F.col("row").alias("__row"), F.transform("spans", lambda s: F.struct(
                   (s["start"] + F.col("start")).alias("start"), (s["stop"] + F.col("start")).alias("stop"))).alias("s"))
               .groupBy("__row").agg(F.flatten(F.collect_list("s")).alias("__spans")))
     # Few numbers per document; the packed strings are done with.
     by_row = cut_lineage(by_row, "repeated-spans")
-    release(moved, strings)
+    release(moved, written)
     names = {f.split()[0] for f in RESULT.split(", ")}
     marked_docs = base.drop(*names).join(by_row, "__row", "left").drop("__row")
     return _cut(marked_docs)
 
 
+def _places(bits: int):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(bit_place(batch.column("minimiser").to_numpy().view(np.uint64), bits))], ["bit"])
+
+    return run
+
+
 def _count_large(strings: DataFrame, width: int) -> DataFrame:
     """What ``count_windows`` finds, for buckets of any size."""
 

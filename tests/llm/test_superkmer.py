@@ -4,7 +4,8 @@ from collections import Counter
 
 import pytest
 
-from eventloom.llm.superkmer import count_windows, remove_repeats, runs
+from eventloom.llm.common import WordHash
+from eventloom.llm.superkmer import RUN_WINDOWS, _words, count_windows, remove_repeats, runs
 from llm_data import UGLY, docs, words
 
 
@@ -40,7 +41,7 @@ def corpus():
 
 
 @pytest.mark.parametrize("options", [
-    {}, {"run_windows": 3}, {"bucket_strings": 4}, {"filter_bits": 15}, {"gram": 5}, {"gram": 1}])
+    {}, {"run_windows": 3}, {"bucket_windows": 4}, {"bucket_windows": 40, "filter_bits": 15}, {"filter_bits": 15}, {"gram": 5}, {"gram": 1}])
 def test_against_brute_force(spark, options):
     got = check(spark, corpus(), 5, **{"gram": 2, **options})
     assert any(r[2] for r in got) and any(not r[2] for r in got if r[1] > 5)
@@ -76,3 +77,19 @@ def test_count_windows():
     assert count_windows([(b"a b c", 1), (b"b c d", 1)], 2) == [[(1, 3)], [(0, 2)]]
     assert count_windows([(b"a b", 3), (b"a b c", 1)], 2) == [[(0, 2)], [(0, 2)]]
     assert count_windows([(b"a a a", 1)], 2) == [[(0, 3)]]
+
+
+@pytest.mark.parametrize("period", [1, 2, 5, 9])
+def test_repetitive_text_moves_little(period):
+    """Runs of one minimiser value hold each word little more than once, whatever the period."""
+    text = " ".join(f"w{i % period}" for i in range(20_000))
+    _, _, h, doc = _words([text], WordHash())
+    first, length, _ = runs(h, doc, 35, 8, RUN_WINDOWS)
+    moved = sum(n + 34 for n in length.tolist())
+    assert length.sum() == 20_000 - 34 and moved < 4 * 20_000
+
+
+def test_repetitive_texts_against_brute_force(spark):
+    rows = [(i, " ".join(f"w{j % p}" for j in range(n))) for i, (p, n) in enumerate([(1, 300), (2, 211), (3, 90), (5, 1200), (2, 30), (7, 64)])]
+    for options in ({}, {"bucket_windows": 20, "run_windows": 16}):
+        check(spark, rows, 9, gram=3, **options)
