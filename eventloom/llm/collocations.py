@@ -2,8 +2,8 @@
 
 Every word of a piece of text starts a suffix, cut after ``longest`` words. The tree of all suffixes of a
 language is never built as a whole. It is partitioned by word prefixes of varying length: a prefix that
-occurs more than ``group_tokens`` times is split into its continuations, up to ``longest - 1`` words, and
-prefixes are dealt to groups of about that many occurrences. A group is one Spark partition: its suffixes,
+occurs more than ``group_tokens`` times, or more often than one word in ``SHARES``, is split into its
+continuations, up to ``longest - 1`` words, and prefixes are dealt to groups of about ``group_tokens`` occurrences. A group is one Spark partition: its suffixes,
 counted per chunk of text before they move, are sorted by Spark, and one pass over the sorted rows yields the
 subtrees: the count of a phrase is the sum of the leaf totals below its node.
 
@@ -44,6 +44,7 @@ LONGEST = 4
 SHARE = 80
 TOP = 2000
 GROUP_TOKENS = 4_000_000
+SHARES = 2_000
 MAX_SPLIT = 50_000
 FILTER_BITS = 27
 #: Words a task holds before it counts and sends them, and different words it remembers.
@@ -320,9 +321,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, t
 
     # Above this bound at most max_split words, and as many pairs, can lie.
     budget = max(group_tokens, -(-total // max_split))
+    bound = max(min(group_tokens, total // SHARES), -(-total // max_split))
 
     def above(counts):
-        values = [r["h"] for r in counts.where(F.col("n") > budget).select("h").collect()]
+        values = [r["h"] for r in counts.where(F.col("n") > bound).select("h").collect()]
         return np.sort(np.array(values, np.int64).view(np.uint64))
 
     split = send((above(frequent), above(pairs)))
