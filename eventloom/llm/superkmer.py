@@ -256,16 +256,20 @@ def _count_large(strings: DataFrame, width: int) -> DataFrame:
             for digest, packed, copies in zip(*(batch.column(c).to_pylist() for c in ("digest", "packed", "copies"))):
                 words = packed.split(b" ")
                 n = len(words) - width + 1
-                keys = [xxhash.xxh3_128_digest(b" ".join(words[i:i + width])) for i in range(n)]
+                # Equal windows of a string travel as one row, at most run_windows places long.
+                places: dict[bytes, list[int]] = {}
+                for i in range(n):
+                    places.setdefault(xxhash.xxh3_128_digest(b" ".join(words[i:i + width])), []).append(i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([digest] * n, pa.binary()), pa.array(range(n), pa.int32()), pa.array(keys, pa.binary()),
-                     pa.array([copies] * n, pa.int64())], ["digest", "at", "window", "copies"])
+                    [pa.array([digest] * len(places), pa.binary()), pa.array(list(places.values()), pa.list_(pa.int32())),
+                     pa.array(list(places), pa.binary()), pa.array([copies * len(p) for p in places.values()], pa.int64())],
+                    ["digest", "at", "window", "copies"])
 
     windows = strings.select("digest", "packed", "copies").mapInArrow(
-        explode, "digest binary, at int, window binary, copies long")
+        explode, "digest binary, at array<int>, window binary, copies long")
     twice = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
     return (windows.join(twice, "window").groupBy("digest")
-            .agg(F.transform(F.sort_array(F.collect_list("at")),
+            .agg(F.transform(F.sort_array(F.flatten(F.collect_list("at"))),
                              lambda i: F.struct(i.alias("start"), (i + width).cast("int").alias("stop"))).alias("spans")))
 
 
