@@ -1,20 +1,25 @@
 """Hidden Markov language model, with a unigram model beside it.
 
 Tokens are lower-cased words and one end per text. Words are counted over all training texts. A hidden
-Markov chain of ``states`` latent states emits symbols: the ``symbols`` most frequent tokens each have
-their own, any other word has the symbol of its class (a hash of its last bytes), times the word's
-smoothed share of its class. So every text has a proper probability, unknown words included.
+Markov chain of ``states`` latent states emits words. Training rounds know the ``symbols`` most frequent tokens
+one by one, and any other word by its class (a hash of its last bytes). A last round then counts every
+word in every state, so each training word, however rare, ends with emissions of its own: the state emits the
+class, and within its class a word w of n occurrences has the share ``(n_c e(w, s) / e(c, s) + 0.5) / (n_c + 0.5 (v_c + 1))``,
+where e are expected counts in state s and n_c and v_c the occurrences and words of the class. Averaged over states that is
+the unigram formula; unknown words get 0.5 in place of the first term. So every text has a proper probability.
 
 Baum-Welch: tasks run scaled forward and backward recursions over all training texts, each in whole,
 and send expected counts of emissions, transitions and starts; Spark adds them up and the driver
-normalises, until a round gains less than ``GAIN`` a token, at most ``rounds`` times. The first model is
+normalises. Texts are dealt to ``PARTS`` parts by a hash of doc_id; a round takes one part after the other, and after each the
+part's new counts replace its old ones in the sums that the next model comes from. Rounds end when one gains less than
+``GAIN`` a token, or after ``rounds``. The first model is
 the unigram model tilted at random; no sample of texts shapes it. The score of a text is the exact scaled
 forward recursion over the whole text.
 
-What is sent to tasks is bounded: counts of the ``HEAD`` most frequent words, and the model. Words
-beyond them meet their counts in a join, once per text and word.
+What is sent to tasks is bounded: the ``HEAD`` most frequent words with counts and emissions, and the model.
+The table of emissions has a row for every other training word; these meet the texts in a join, once per text and word.
 
-Defined results: a null or empty text is the end alone; without training tokens all probabilities are
+Defined results: texts of any length are one sequence each, worked on in blocks; a null or empty text is the end alone; without training tokens all probabilities are
 those of the unigram formula and score equals base_score; a null doc_id is not held out; repeated rows
 get equal scores; an empty table gives an empty result. Other input columns are ignored.
 """
@@ -38,8 +43,16 @@ CLASSES = 256
 STATES = 8
 #: Training ends when a round gains less log likelihood a token, or after so many rounds.
 GAIN, ROUNDS = 1e-3, 50
+#: Parts of the training texts after which the model is renewed.
+PARTS = 4
+#: Precision of forward and backward values while training; counts are added up in double precision.
+PRECISION = np.float32
 #: Texts worked on at once, the steps whose forward values are kept, and about how many tokens these hold.
-BATCH, BLOCK, HELD = 1024, 4096, 1 << 20
+BATCH, BLOCK, HELD = 2048, 1024, 1 << 19
+#: Steps after which forward values are scaled, by precision, so that none gets too small. Divide ``BLOCK``.
+SCALE = {"float32": 2, "float64": 8}
+#: Rare words a task holds before it reports them.
+LOCAL = 1 << 16
 #: The end of a text; words hold no line end.
 END = b"\n"
 
@@ -83,12 +96,10 @@ class Vocabulary:
         self.share = total + 0.5 * (distinct + 1)
         own = min(symbols, len(words))
         self.own = own
-        self.class_size = class_n + 0.5 * (class_v + 1)
-        classes = np.array([class_of(w) for w in words[own:]], np.int64)
-        self.symbol = np.concatenate([np.arange(own), own + classes]).astype(np.uint16)
+        self.class_n, self.class_size = class_n, class_n + 0.5 * (class_v + 1)
+        self.classes = np.array([class_of(w) for w in words[own:]], np.int64)
+        self.symbol = np.concatenate([np.arange(own), own + self.classes]).astype(np.uint16)
         self.log = np.log10(counts + 0.5)
-        self.inside = np.zeros(len(words))
-        self.inside[own:] = self.log[own:] - np.log10(self.class_size[classes])
         #: Expected share of each symbol among training tokens.
         self.unigram = np.concatenate([counts[:own] + 0.5, self.class_size])
         self.unigram /= self.unigram.sum()
@@ -121,50 +132,54 @@ def build_vocabulary(words: DataFrame, head: int, symbols: int) -> Vocabulary:
 
 
 def encode(docs: DataFrame, vocabulary) -> DataFrame:
-    """Symbols of each text, what its frequent words add to the scores, and its other words with counts."""
+    """Symbols of each text, what its frequent words add to the unigram score, and its other words with counts.
+
+    ``rest`` tells the words behind the symbols of classes: a place in the head, or behind it in ``others``.
+    """
 
     def run(batches):
         v = vocabulary.value
-        get, log_share = v.number.get, np.log10(v.share)
-        log_class = np.log10(v.class_size)
+        get, log_share, head = v.number.get, np.log10(v.share), len(v.number)
         for piece in slices(batches, "text"):
             rows = []
             for text in piece.column("text").to_pylist():
                 tokens = _tokens(text)
                 ids = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
                 known, tail = ids[ids >= 0], np.flatnonzero(ids < 0)
-                symbol = v.symbol[ids] if len(v.symbol) else np.zeros(len(ids), np.uint16)
-                other = Counter(tokens[i] for i in tail.tolist())
-                classes = np.array([class_of(tokens[i]) for i in tail.tolist()], np.int64)
-                symbol[tail] = v.own + classes
+                symbol = v.symbol[ids] if head else np.zeros(len(ids), np.uint16)
+                other: Counter = Counter(tokens[i] for i in tail.tolist())
+                place = {w: i for i, w in enumerate(other)}
+                classes = np.array([class_of(w) for w in other], np.int64)
+                at = np.array([place[tokens[i]] for i in tail.tolist()], np.int64)
+                symbol[tail] = v.own + classes[at]
+                ids[tail] = head + at
                 base = v.log[known].sum() - len(tokens) * log_share
-                inside = v.inside[known].sum() - log_class[classes].sum()
-                rows.append((len(tokens), len(known), float(base), float(inside), symbol.tobytes(),
-                             list(other), list(other.values())))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+                rows.append((len(tokens), len(known), float(base), symbol.tobytes(),
+                             ids[symbol >= v.own].astype(np.uint32).tobytes(), list(other), list(other.values())))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
             new = [pa.array(x, k) for x, k in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), *new], names)
 
-    names = ["doc_id", "held_out", "n_tokens", "head_known", "head_base", "inside", "symbols", "others", "times"]
+    names = ["doc_id", "held_out", "n_tokens", "head_known", "head_base", "symbols", "rest", "others", "times"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "held_out", "text").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, inside double, "
-             "symbols binary, others array<binary>, times array<long>")
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, "
+             "symbols binary, rest binary, others array<binary>, times array<long>")
 
 
 class Model:
-    """start[0] begins a text, start[1] a piece that is not its beginning; move[from, to]; emit[symbol, state]."""
+    """start[state]; move[from, to]; emit[symbol, state]."""
 
     def __init__(self, start, move, emit):
         self.start, self.move, self.emit = start, move, emit
 
 
-def _groups(texts: list[tuple[np.ndarray, bool]]):
+def _groups(texts: list[np.ndarray]):
     """Texts of like length, as many as are worked on at once."""
     part, held = [], 0
-    for text in sorted(texts, key=lambda s: -len(s[0])):
+    for text in sorted(texts, key=lambda s: -len(s)):
         part.append(text)
-        held += min(len(text[0]), BLOCK)
+        held += min(len(text), BLOCK)
         if len(part) == BATCH or held >= HELD:
             yield part
             part, held = [], 0
@@ -172,77 +187,91 @@ def _groups(texts: list[tuple[np.ndarray, bool]]):
         yield part
 
 
-def expected_counts(model: Model, texts: list[tuple[np.ndarray, bool]]):
+def _block(part: list[np.ndarray], length: np.ndarray, begin: int):
+    """Texts active at each step, where each step begins, and the symbols step by step."""
+    active = np.searchsorted(-length, -np.arange(begin, min(begin + BLOCK, length[0])), side="left")
+    place = np.cumsum(active) - active
+    symbol = np.empty(active.sum(), np.int64)
+    for i in range(active[0]):
+        s = part[i][begin:begin + BLOCK]
+        symbol[place[:len(s)] + i] = s
+    return active.tolist(), place.tolist(), symbol
+
+
+def expected_counts(model: Model, texts: list[np.ndarray]):
     """Starts, moves, emissions and log likelihood, by scaled forward and backward recursion.
 
-    Texts run side by side, the longest first. Forward values are kept for ``BLOCK`` steps; longer texts
+    Texts run side by side, the longest first, in the precision of ``model.emit``. Emissions are taken relative to
+    the symbol's largest, and forward values scaled every few steps. They are kept for ``BLOCK`` steps; longer texts
     keep those between blocks, and compute a block again on the way back.
     """
-    k, size = model.move.shape[0], len(model.emit)
-    starts, moves, emitted, loglik = np.zeros((2, k)), np.zeros((k, k)), np.zeros((k, size)), 0.0
-    emit, back = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+    k, size, kind = model.move.shape[0], len(model.emit), model.emit.dtype
+    starts, moves, emitted, loglik = np.zeros(k), np.zeros((k, k)), np.zeros((k, size)), 0.0
+    level, every, ones = model.emit.max(axis=1), SCALE[kind.name], np.ones(k, kind)
+    emit, start, move = model.emit / level[:, None], model.start.astype(kind), model.move.astype(kind)
+    back, room = np.ascontiguousarray(move.T), np.empty((2, 0, k), kind)
     for part in _groups(texts):
-        length = np.array([len(s) for s, _ in part])
-        later = np.array([int(not first) for _, first in part])
-
-        def block(begin):
-            """Texts active at each step, where each step begins, and the symbols step by step."""
-            active = np.searchsorted(-length, -np.arange(begin, min(begin + BLOCK, length[0])), side="left")
-            place = np.cumsum(active) - active
-            symbol = np.empty(active.sum(), np.int64)
-            for i in range(active[0]):
-                s = part[i][0][begin:begin + BLOCK]
-                symbol[place[:len(s)] + i] = s
-            return active.tolist(), place.tolist(), symbol
+        length = np.array([len(s) for s in part])
 
         def run_forward(active, place, symbol, last):
-            alpha, scale = np.empty((k, len(symbol))), np.empty(len(symbol))
-            for n, at in zip(active, place):
-                a = emit.take(symbol[at:at + n], axis=1)
-                a *= model.start[later].T if last is None else back @ last[:, :n]
-                total = np.add.reduce(a, axis=0, out=scale[at:at + n])
-                last = np.divide(a, total, out=alpha[:, at:at + n])
-            return alpha, scale, last.copy()
+            nonlocal room
+            if room.shape[1] < len(symbol):
+                room = np.empty((2, len(symbol), k), kind)
+            seen, alpha, scale = room[0, :len(symbol)], room[1, :len(symbol)], {}
+            np.take(emit, symbol, axis=0, out=seen, mode="clip")
+            for t, (n, at) in enumerate(zip(active, place)):
+                a = alpha[at:at + n]
+                if last is None:
+                    np.multiply(seen[at:at + n], start, out=a)
+                else:
+                    np.matmul(last[:n], move, out=a)
+                    a *= seen[at:at + n]
+                if t % every == every - 1:
+                    scale[t] = (a @ ones)[:, None]
+                    a /= scale[t]
+                last = a
+            return seen, alpha, scale, last.copy()
 
         begins, entry = range(0, length[0], BLOCK), [None]
         for begin in begins:
-            steps = block(begin)
-            alpha, scale, last = run_forward(*steps, entry[-1])
+            steps = _block(part, length, begin)
+            seen, alpha, scale, last = run_forward(*steps, entry[-1])
             entry.append(last)
-            loglik += np.log(scale).sum()
-        beta, ahead = np.ones((k, len(part))), None
+            loglik += float(np.log(np.concatenate([*scale.values(), np.ones((1, 1))]), dtype=np.float64).sum())
+        beta, ahead = np.ones((len(part), k), kind), None
         for number in reversed(range(len(begins))):
             if number + 1 < len(begins):
-                steps = block(begins[number])
-                alpha, scale, _ = run_forward(*steps, entry[number])
+                steps = _block(part, length, begins[number])
+                seen, alpha, scale, _ = run_forward(*steps, entry[number])
             active, place, symbol = steps
-            for n, at in zip(reversed(active), reversed(place)):
-                here = alpha[:, at:at + n]
+            for t in reversed(range(len(active))):
+                n, at = active[t], place[t]
+                here, m = alpha[at:at + n], 0
                 if ahead is not None:
-                    m = ahead.shape[1]
-                    moves += here[:, :m] @ ahead.T
-                    beta[:, :m] = model.move @ ahead
-                ahead = emit.take(symbol[at:at + n], axis=1)
-                ahead *= beta[:, :n]
-                ahead /= scale[at:at + n]
-                here *= beta[:, :n]  # now the posterior of states
+                    m = len(ahead)
+                    moves += here[:m].T @ ahead
+                    np.matmul(ahead, back, out=beta[:m])
+                if m < n:  # texts that end here
+                    total = (here[m:] @ ones)[:, None]
+                    loglik += float(np.log(total, dtype=np.float64).sum())
+                    beta[m:n] = 1 / total
+                ahead = seen[at:at + n]
+                ahead *= beta[:n]
+                if t in scale:
+                    ahead /= scale[t]
+                here *= beta[:n]  # now the posterior of states
+            ahead = ahead.copy()  # its block is about to be written over
             for s in range(k):
-                emitted[s] += np.bincount(symbol, alpha[s], minlength=size)
-        begun = alpha[:, :len(part)]
-        starts[0] += begun[:, later == 0].sum(axis=1)
-        starts[1] += begun[:, later == 1].sum(axis=1)
+                emitted[s] += np.bincount(symbol, alpha[:, s], minlength=size)
+        starts += alpha[:len(part)].sum(axis=0, dtype=np.float64)
+    loglik += float(emitted.sum(axis=0) @ np.log(level))
     return starts, moves * model.move, emitted.T, loglik
 
 
-def segments_of(symbols: bytes) -> list[tuple[np.ndarray, bool]]:
-    """A text in one piece."""
-    return [(np.frombuffer(symbols, np.uint16), True)]
-
-
 def normalise(starts, moves, emitted, unigram, smooth: float = 200.0) -> Model:
     """The next model: expected counts with a little of the unigram model."""
     k = len(moves)
-    start = (starts + 0.1) / (starts + 0.1).sum(axis=1, keepdims=True)
+    start = (starts + 0.1) / (starts + 0.1).sum()
     move = (moves + 0.1) / (moves + 0.1).sum(axis=1, keepdims=True)
     emit = emitted + smooth * unigram[:, None]
     return Model(start, move, emit / emit.sum(axis=0, keepdims=True)) if k else None
@@ -252,12 +281,13 @@ def start_model(unigram: np.ndarray, states: int, seed: int = 7) -> Model:
     """A starting point that no text shapes: the unigram model, tilted at random in each state."""
     rng = np.random.default_rng(seed)
     emit = unigram[:, None] * np.exp(rng.normal(0, 0.7, (len(unigram), states)))
-    return Model(np.full((2, states), 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states),
+    return Model(np.full(states, 1 / states), np.full((states, states), 0.1 / states) + 0.9 * np.eye(states),
                  emit / emit.sum(axis=0))
 
 
-def train_round(train: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Model, float]:
-    """One round of Baum-Welch over all rows of ``train`` (column symbols); also the log likelihood."""
+def part_counts(train: DataFrame, model: Model):
+    """Expected counts and log likelihood of all rows of ``train`` (column symbols); None without rows."""
+    model = Model(model.start, model.move, model.emit.astype(PRECISION))
     sent = train.sparkSession.sparkContext.broadcast(model)
     k, size = model.move.shape[0], len(model.emit)
     states = [f"s{i}" for i in range(k)]
@@ -272,7 +302,7 @@ def train_round(train: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Mo
 
         for batch in batches:
             for symbols in batch.column("symbols").to_pylist():
-                held += segments_of(symbols)
+                held.append(np.frombuffer(symbols, np.uint16))
                 tokens += len(symbols) // 2
                 if tokens + 64 * len(held) > 4 * HELD:
                     total = work(total)
@@ -282,40 +312,149 @@ def train_round(train: DataFrame, model: Model, unigram: np.ndarray) -> tuple[Mo
         if total is not None:
             starts, moves, emitted, loglik = total
             # One table: symbols, then moves, starts and the log likelihood.
-            table = np.vstack([emitted, moves, starts, np.full((1, k), loglik)])
+            table = np.vstack([emitted, moves, starts[None], np.full((1, k), loglik)])
             used = np.flatnonzero(table.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(table[used, i]) for i in range(k))], ["i", *states])
 
     sums = (train.select("symbols").mapInArrow(run, "i long, " + ", ".join(f"{s} double" for s in states))
             .groupBy("i").agg(*[F.sum(s).alias(s) for s in states]).toArrow())
     sent.unpersist()
-    table = np.zeros((size + k + 3, k))
+    if not sums.num_rows:
+        return None
+    table = np.zeros((size + k + 2, k))
     place = sums.column("i").to_numpy()
     for i, s in enumerate(states):
         table[place, i] = sums.column(s).to_numpy()
-    model = normalise(table[size + k:size + k + 2], table[size:size + k], table[:size], unigram)
-    return model, float(table[-1, 0])
-
+    return table[size + k], table[size:size + k], table[:size], float(table[-1, 0])
+
+
+def fit(train: DataFrame, vocabulary: Vocabulary, states: int, rounds: int) -> Model:
+    """Rounds of Baum-Welch over all rows of ``train`` (columns symbols and part)."""
+    model, before, kept = start_model(vocabulary.unigram, states), -np.inf, {}
+    for _ in range(rounds):
+        loglik = 0.0
+        for part in range(PARTS):
+            found = part_counts(train.where(F.col("part") == part), model)
+            if found is not None:
+                *kept[part], gained = found
+                loglik += gained
+                model = normalise(*(sum(of) for of in zip(*kept.values())), vocabulary.unigram)
+        if loglik - before < GAIN * vocabulary.total:
+            break
+        before = loglik
+    return model
+
+
+def word_counts(train: DataFrame, model: Model, vocabulary) -> DataFrame:
+    """Expected counts of every word that shares its symbol: class, i (place in the head) or word, s0, s1, ..."""
+    sent = train.sparkSession.sparkContext.broadcast(model)
+    k = len(model.move)
+    states = [f"s{i}" for i in range(k)]
 
-def forward(model: Model, texts: list[bytes]) -> np.ndarray:
+    def run(batches):
+        v, model = vocabulary.value, sent.value
+        head, own = len(v.number), v.own
+        sums, held, tokens, local = np.zeros((head - own, k)), [], 0, {}
+
+        def rows(i, word, c, e):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(i, pa.int64()), pa.array(word, pa.binary()), pa.array(c, pa.int64()),
+                 *(pa.array(e[:, s].astype(np.float32)) for s in range(k))], ["i", "word", "class", *states])
+
+        def work():
+            classes = np.array([class_of(w) for w in local], np.int64)
+            wide = model.emit[np.concatenate([v.symbol.astype(np.int64), own + classes])]
+            emitted = expected_counts(Model(model.start, model.move, wide), held)[2]
+            sums[:] += emitted[own:head]
+            return rows([None] * len(local), list(local), classes, emitted[head:])
+
+        for batch in slices(batches, "symbols"):
+            for symbols, rest, others in zip(*(batch.column(c).to_pylist() for c in ("symbols", "rest", "others"))):
+                x = np.frombuffer(symbols, np.uint16).astype(np.int64)
+                new = [local.setdefault(w, head + len(local)) for w in others]
+                held.append(_wide(x, rest, own, head, np.array(new, np.int64)))
+                tokens += len(x)
+                if tokens > 4 * HELD or len(local) > LOCAL:
+                    yield work()
+                    held, tokens, local = [], 0, {}
+        if held:
+            yield work()
+        used = np.flatnonzero(sums.any(axis=1))
+        yield rows(own + used, [None] * len(used), v.classes[used], sums[used])
+
+    return (train.select("symbols", "rest", "others")
+            .mapInArrow(run, "i long, word binary, class long, " + ", ".join(f"{s} float" for s in states))
+            .groupBy("i", "word", "class").agg(*[F.sum(s).alias(s) for s in states]))
+
+
+def _wide(symbols: np.ndarray, rest: bytes, own: int, head: int, others: np.ndarray) -> np.ndarray:
+    """``symbols`` with those of classes replaced by their words: places in the head, or numbers of ``others``."""
+    ids = np.frombuffer(rest, np.uint32).astype(np.int64)
+    far = ids >= head
+    ids[far] = others[ids[far] - head]
+    symbols[symbols >= own] = ids
+    return symbols
+
+
+class Emissions:
+    """The model with the share of every frequent word within its class, state by state."""
+
+    def __init__(self, model: Model, vocabulary: Vocabulary, counts: DataFrame):
+        k = len(model.move)
+        states = [f"s{i}" for i in range(k)]
+        self.model, self.own, self.head = model, vocabulary.own, len(vocabulary.number)
+        self.class_n, self.class_size = vocabulary.class_n, vocabulary.class_size
+        self.of_class = np.zeros((CLASSES, k))
+        for row in counts.groupBy("class").agg(*[F.sum(s).alias(s) for s in states]).collect():
+            self.of_class[row["class"]] = [row[s] for s in states]
+        self.classes = vocabulary.classes
+        found = counts.where("i is not null").select("i", *states).toArrow()
+        counted = np.zeros((self.head - self.own, k))
+        place = found.column("i").to_numpy() - self.own
+        for i, s in enumerate(states):
+            counted[place, i] = found.column(s).to_numpy()
+        self.within = self.share(counted, self.classes).astype(np.float32)
+
+    def share(self, counted: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Share of words in their classes, by state. A word counted nowhere is an unknown one."""
+        part = counted / np.maximum(self.of_class[classes], 1e-300)
+        return (part * self.class_n[classes, None] + 0.5) / self.class_size[classes, None]
+
+    def known(self) -> np.ndarray:
+        """Emissions of the head."""
+        emit = self.model.emit
+        return np.concatenate([emit[:self.own], emit[self.own + self.classes] * self.within])
+
+    def others(self, counted: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        return self.model.emit[self.own + classes] * self.share(counted, classes)
+
+
+def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 likelihood of each symbol sequence: one scaled forward recursion, texts side by side."""
-    sequences = [np.frombuffer(t, np.uint16) for t in texts]
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    length = np.array([len(sequences[i]) for i in order])
-    flat = np.concatenate([sequences[i] for i in order]).astype(np.int64)
-    begin = np.cumsum(length) - length
-    out = np.zeros(len(order))
-    alpha = None
-    for t in range(length[0]):
-        n = int(np.searchsorted(-length, -t, side="left"))  # texts longer than t
-        seen = model.emit[flat[begin[:n] + t]]
-        a = (model.start[:1] if t == 0 else alpha[:n] @ model.move) * seen
-        scale = a.sum(axis=1)
-        out[:n] += np.log10(scale)
-        alpha = a / scale[:, None]
-    result = np.empty(len(order))
-    result[order] = out
-    return result
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    out, done = np.zeros(len(texts)), 0
+    level = model.emit.max(axis=1)
+    emit, log_level = model.emit / level[:, None], np.log(level)
+    for part in _groups([texts[i] for i in order]):
+        length, last, total = np.array([len(s) for s in part]), None, np.zeros(len(part))
+        for begin in range(0, length[0], BLOCK):
+            active, place, symbol = _block(part, length, begin)
+            seen = emit.take(symbol, axis=0)
+            for t, (n, at) in enumerate(zip(active, place)):
+                if last is not None and n < len(last):
+                    total[n:len(last)] += np.log(last[n:].sum(axis=1))
+                a = seen[at:at + n]
+                a *= model.start if last is None else last[:n] @ model.move
+                if t % 8 == 7:
+                    scale = a.sum(axis=1)
+                    total[:n] += np.log(scale)
+                    a /= scale[:, None]
+                last = a
+        total[:len(last)] += np.log(last.sum(axis=1))
+        total += [log_level[s].sum() for s in part]
+        out[order[done:done + len(part)]] = total
+        done += len(part)
+    return out / np.log(10)
 
 
 def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int = STATES, rounds: int = ROUNDS,
@@ -328,43 +467,55 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
     vocabulary = build_vocabulary(words, head, symbols)
     sent = context.broadcast(vocabulary)
     # Written once: row numbers and everything else below come from the written table.
-    encoded = cut_lineage(encode(texts, sent).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    if vocabulary.total:
-        train = encoded.where("not held_out")
-        model, before = start_model(vocabulary.unigram, states), -np.inf
-        for _ in range(rounds):
-            model, loglik = train_round(train, model, vocabulary.unigram)
-            if loglik - before < GAIN * vocabulary.total:
-                break
-            before = loglik
-        sent_model = context.broadcast(model)
-    else:
-        sent_model = None
+    encoded = cut_lineage(encode(texts, sent).select(
+        "*", F.monotonically_increasing_id().alias("row"), F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part")),
+        "encoded", by="part")
+    total = F.lit(vocabulary.total).cast("long").alias("train_tokens")
+    if not vocabulary.total:
+        # No word is known, so all have the count 0.
+        base = F.col("head_base") + (F.col("n_tokens") - F.col("head_known")) * F.log10(F.lit(0.5))
+        return encoded.select("doc_id", "held_out", "n_tokens", F.lit(0).cast("long").alias("n_known"), total,
+                              base.alias("base_score"), base.alias("score"))
+    train = encoded.where("not held_out")
+    model = fit(train, vocabulary, states, rounds)
+    counts = cut_lineage(word_counts(train, model, sent), "emissions")
+    emissions = context.broadcast(Emissions(model, vocabulary, counts))
+    # Words beyond the head meet their counts and emissions.
+    names = [f"s{i}" for i in range(states)]
+    rare = counts.where("word is not null").select("word", "class", F.array(*[F.col(s).cast("float") for s in names]).alias("e"))
+    others = (encoded.select("row", F.posexplode(F.arrays_zip("others", "times")).alias("place", "o"))
+              .select("row", "place", F.col("o.others").alias("word"), F.col("o.times").alias("times")))
+    seen = F.when(F.col("n").isNotNull(), F.struct("place", "e"))
+    met = others.join(words.join(rare, "word"), "word", "left").groupBy("row").agg(
+        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail"),
+        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
+        F.collect_list(seen).alias("met"))
 
     def likelihood(batches):
-        for batch in batches:
-            if batch.num_rows:
-                score = forward(sent_model.value, batch.column("symbols").to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in carried), pa.array(score)], [*carried, "chain"])
-
-    carried = ["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "inside"]
+        m = emissions.value
+        known = m.known()
+        for batch in slices(batches, "symbols"):
+            sequences, counted, classes, at = [], [], [], m.head
+            for symbols, rest, words_met in zip(*(batch.column(c).to_pylist() for c in ("symbols", "rest", "met"))):
+                x, r = np.frombuffer(symbols, np.uint16).astype(np.int64), np.frombuffer(rest, np.uint32).astype(np.int64)
+                far = r >= m.head
+                size = int(r.max()) + 1 - m.head if far.any() else 0
+                e, c = np.zeros((size, states)), np.zeros(size, np.int64)
+                c[r[far] - m.head] = x[x >= m.own][far] - m.own
+                for w in words_met or ():
+                    e[w["place"]] = w["e"]
+                counted.append(e)
+                classes.append(c)
+                sequences.append(_wide(x, rest, m.own, m.head, at + np.arange(size)))
+                at += size
+            emit = np.concatenate([known, m.others(np.concatenate(counted), np.concatenate(classes))])
+            score = forward(Model(m.model.start, m.model.move, emit), sequences)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(score)], [*carried, "score"])
+
+    carried = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    if sent_model is None:
-        scored = encoded.select(*carried, F.lit(0.0).alias("chain"))
-    else:
-        scored = encoded.select(*carried, "symbols").mapInArrow(
-            likelihood, f"row long, doc_id {kind}, held_out boolean, n_tokens long, head_known long, head_base double, "
-                        "inside double, chain double")
-    # Words beyond the head meet their counts.
-    others = (encoded.select("row", F.explode(F.arrays_zip("others", "times")).alias("o"))
-              .select("row", F.col("o.others").alias("word"), F.col("o.times").alias("times")))
-    met = others.join(words, "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"))
-    tail = F.coalesce("tail", F.lit(0.0))
-    base = F.col("head_base") + tail
-    return scored.join(met, "row", "left").select(
+    scored = encoded.join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(vocabulary.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (F.col("chain") + F.col("inside") + tail if sent_model is not None else base).alias("score"))
+        (F.col("head_base") + F.coalesce("tail", F.lit(0.0))).alias("base_score"), "symbols", "rest", "met").mapInArrow(
+        likelihood, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", total, "base_score", "score")
