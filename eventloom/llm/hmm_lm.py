@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .common import crc_fold, most_frequent, slices
 
 HEAD = 1 << 18
@@ -289,7 +289,7 @@ def part_counts(train: DataFrame, model: Model):
     """Expected counts and log likelihood of all rows of ``train`` (column symbols); None without rows."""
     model = Model(model.start, model.move, model.emit.astype(PRECISION))
     sent = train.sparkSession.sparkContext.broadcast(model)
-    k, size = model.move.shape[0], len(model.emit)
+    k, size, kind = model.move.shape[0], len(model.emit), model.emit.dtype
     states = [f"s{i}" for i in range(k)]
 
     def run(batches):
@@ -314,9 +314,10 @@ def part_counts(train: DataFrame, model: Model):
             # One table: symbols, then moves, starts and the log likelihood.
             table = np.vstack([emitted, moves, starts[None], np.full((1, k), loglik)])
             used = np.flatnonzero(table.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(table[used, i]) for i in range(k))], ["i", *states])
+            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(table[used, i].astype(kind)) for i in range(k))], ["i", *states])
 
-    sums = (train.select("symbols").mapInArrow(run, "i long, " + ", ".join(f"{s} double" for s in states))
+    named = {"float32": "float", "float64": "double"}[kind.name]
+    sums = (train.select("symbols").mapInArrow(run, "i long, " + ", ".join(f"{s} {named}" for s in states))
             .groupBy("i").agg(*[F.sum(s).alias(s) for s in states]).toArrow())
     sent.unpersist()
     if not sums.num_rows:
@@ -346,7 +347,7 @@ def fit(train: DataFrame, vocabulary: Vocabulary, states: int, rounds: int) -> M
 
 
 def word_counts(train: DataFrame, model: Model, vocabulary) -> DataFrame:
-    """Expected counts of every word that shares its symbol: class, i (place in the head) or word, s0, s1, ..."""
+    """Counts of every word that shares its symbol: class, i (place in the head) or word, n, and in the states s0, s1, ..."""
     sent = train.sparkSession.sparkContext.broadcast(model)
     k = len(model.move)
     states = [f"s{i}" for i in range(k)]
@@ -359,7 +360,8 @@ def word_counts(train: DataFrame, model: Model, vocabulary) -> DataFrame:
         def rows(i, word, c, e):
             return pa.RecordBatch.from_arrays(
                 [pa.array(i, pa.int64()), pa.array(word, pa.binary()), pa.array(c, pa.int64()),
-                 *(pa.array(e[:, s].astype(np.float32)) for s in range(k))], ["i", "word", "class", *states])
+                 pa.array(np.rint(e.sum(axis=1)).astype(np.int64)),  # states of a token add up to 1
+                 *(pa.array(e[:, s].astype(np.float32)) for s in range(k))], ["i", "word", "class", "n", *states])
 
         def work():
             classes = np.array([class_of(w) for w in local], np.int64)
@@ -383,8 +385,8 @@ def word_counts(train: DataFrame, model: Model, vocabulary) -> DataFrame:
         yield rows(own + used, [None] * len(used), v.classes[used], sums[used])
 
     return (train.select("symbols", "rest", "others")
-            .mapInArrow(run, "i long, word binary, class long, " + ", ".join(f"{s} float" for s in states))
-            .groupBy("i", "word", "class").agg(*[F.sum(s).alias(s) for s in states]))
+            .mapInArrow(run, "i long, word binary, class long, n long, " + ", ".join(f"{s} float" for s in states))
+            .groupBy("i", "word", "class").agg(*[F.sum(s).alias(s) for s in ("n", *states)]))
 
 
 def _wide(symbols: np.ndarray, rest: bytes, own: int, head: int, others: np.ndarray) -> np.ndarray:
@@ -465,6 +467,7 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
                         F.col("text").cast("string").alias("text"))
     words = cut_lineage(count_words(texts.where("not held_out")), "words")
     vocabulary = build_vocabulary(words, head, symbols)
+    release(words)
     sent = context.broadcast(vocabulary)
     # Written once: row numbers and everything else below come from the written table.
     encoded = cut_lineage(encode(texts, sent).select(
@@ -482,11 +485,11 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
     emissions = context.broadcast(Emissions(model, vocabulary, counts))
     # Words beyond the head meet their counts and emissions.
     names = [f"s{i}" for i in range(states)]
-    rare = counts.where("word is not null").select("word", "class", F.array(*[F.col(s).cast("float") for s in names]).alias("e"))
+    rare = counts.where("word is not null").select("word", "n", F.array(*[F.col(s).cast("float") for s in names]).alias("e"))
     others = (encoded.select("row", F.posexplode(F.arrays_zip("others", "times")).alias("place", "o"))
               .select("row", "place", F.col("o.others").alias("word"), F.col("o.times").alias("times")))
     seen = F.when(F.col("n").isNotNull(), F.struct("place", "e"))
-    met = others.join(words.join(rare, "word"), "word", "left").groupBy("row").agg(
+    met = others.join(rare, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
         F.collect_list(seen).alias("met"))
