@@ -93,3 +93,26 @@ def test_repetitive_texts_against_brute_force(spark):
     rows = [(i, " ".join(f"w{j % p}" for j in range(n))) for i, (p, n) in enumerate([(1, 300), (2, 211), (3, 90), (5, 1200), (2, 30), (7, 64)])]
     for options in ({}, {"bucket_windows": 20, "run_windows": 16}):
         check(spark, rows, 9, gram=3, **options)
+
+
+def test_windows_of_a_bucket_stay_in_their_strings():
+    import tracemalloc
+
+    rng = random.Random(8)
+    own = [f"{rng.getrandbits(80):020x}".encode() for _ in range(6000)]
+    strings = [(b" ".join(own), 1), (b" ".join(own[2000:2500]), 1), (b" ".join(own[:3] * 20), 3), (b"a b", 2)]
+    tracemalloc.start()
+    found = count_windows(strings, 35)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [[(2000, 2500)], [(0, 500)], [(0, 60)], []]
+    assert peak < 6000 * 200  # a window alone has 730 bytes
+
+
+def test_windows_of_equal_hash_are_told_apart(monkeypatch):
+    from eventloom.llm import superkmer
+
+    monkeypatch.setattr(superkmer.xxhash, "xxh3_64_intdigest", lambda w: 5)
+    strings = [(b"a b c d e f", 1), (b"x b c d y", 1), (b"q r s", 1), (b"u v w", 2)]
+    assert count_windows(strings, 3) == [[(1, 4)], [(1, 4)], [], [(0, 3)]]
+    assert count_windows([], 3) == [] and count_windows([(b"a", 1)], 3) == [[]]
