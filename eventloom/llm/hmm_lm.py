@@ -31,6 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,15 +148,14 @@ def encode(docs: DataFrame, vocabulary) -> DataFrame:
                 ids = np.fromiter((get(w, -1) for w in tokens), np.int64, len(tokens))
                 known, tail = ids[ids >= 0], np.flatnonzero(ids < 0)
                 symbol = v.symbol[ids] if head else np.zeros(len(ids), np.uint16)
-                other: Counter = Counter(tokens[i] for i in tail.tolist())
-                place = {w: i for i, w in enumerate(other)}
+                other: dict[bytes, int] = {}
+                at = np.array([other.setdefault(tokens[i], len(other)) for i in tail.tolist()], np.int64)
                 classes = np.array([class_of(w) for w in other], np.int64)
-                at = np.array([place[tokens[i]] for i in tail.tolist()], np.int64)
                 symbol[tail] = v.own + classes[at]
                 ids[tail] = head + at
                 base = v.log[known].sum() - len(tokens) * log_share
                 rows.append((len(tokens), len(known), float(base), symbol.tobytes(),
-                             ids[symbol >= v.own].astype(np.uint32).tobytes(), list(other), list(other.values())))
+                             ids[symbol >= v.own].astype(np.uint32).tobytes(), list(other), np.bincount(at)))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
             new = [pa.array(x, k) for x, k in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("held_out"), *new], names)
@@ -365,10 +365,17 @@ def word_counts(train: DataFrame, model: Model, vocabulary) -> DataFrame:
 
         def work():
             classes = np.array([class_of(w) for w in local], np.int64)
-            wide = model.emit[np.concatenate([v.symbol.astype(np.int64), own + classes])]
-            emitted = expected_counts(Model(model.start, model.move, wide), held)[2]
-            sums[:] += emitted[own:head]
-            return rows([None] * len(local), list(local), classes, emitted[head:])
+            symbol = np.concatenate([v.symbol.astype(np.int64), own + classes])
+            # Only words that these texts hold get a row of emissions.
+            number = np.zeros(len(symbol), np.int64)
+            for x in held:
+                number[x] = 1
+            used = np.flatnonzero(number)
+            number[used] = np.arange(len(used))
+            emitted = expected_counts(Model(model.start, model.move, model.emit[symbol[used]]), [number[x] for x in held])[2]
+            begin, end = np.searchsorted(used, [own, head])
+            sums[used[begin:end] - own] += emitted[begin:end]
+            return rows([None] * len(local), list(local), classes, emitted[end:])
 
         for batch in slices(batches, "symbols"):
             for symbols, rest, others in zip(*(batch.column(c).to_pylist() for c in ("symbols", "rest", "others"))):
@@ -431,12 +438,20 @@ class Emissions:
         return self.model.emit[self.own + classes] * self.share(counted, classes)
 
 
+def relative(emit: np.ndarray):
+    """Emissions relative to the symbol's largest, and the logarithm of that."""
+    level = emit.max(axis=1)
+    return emit / level[:, None], np.log(level)
+
+
 def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 likelihood of each symbol sequence: one scaled forward recursion, texts side by side."""
+    return _forward(model, *relative(model.emit), texts)
+
+
+def _forward(model: Model, emit: np.ndarray, log_level: np.ndarray, texts: list[np.ndarray]) -> np.ndarray:
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     out, done = np.zeros(len(texts)), 0
-    level = model.emit.max(axis=1)
-    emit, log_level = model.emit / level[:, None], np.log(level)
     for part in _groups([texts[i] for i in order]):
         length, last, total = np.array([len(s) for s in part]), None, np.zeros(len(part))
         for begin in range(0, length[0], BLOCK):
@@ -459,6 +474,29 @@ def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return out / np.log(10)
 
 
+def _met(batch: pa.RecordBatch, emissions: Emissions, states: int):
+    """Sequences of words, those beyond the head numbered behind it text by text, and their counts by state and classes."""
+    own, head = emissions.own, emissions.head
+    symbols, rest, met = (batch.column(c) for c in ("symbols", "rest", "met"))
+    x = np.frombuffer(b"".join(symbols.to_pylist()), np.uint16).astype(np.int64)
+    ids = np.frombuffer(b"".join(rest.to_pylist()), np.uint32).astype(np.int64)
+    text = np.repeat(np.arange(len(batch)), pc.binary_length(rest).to_numpy() // 4)
+    far = np.flatnonzero(ids >= head)
+    size = np.zeros(len(batch), np.int64)
+    np.maximum.at(size, text[far], ids[far] - head + 1)
+    begin = np.cumsum(size) - size
+    ids[far] += begin[text[far]]
+    classed = np.flatnonzero(x >= own)
+    classes = np.zeros(size.sum(), np.int64)
+    classes[ids[far] - head] = x[classed[far]] - own
+    x[classed] = ids
+    counted = np.zeros((len(classes), states))
+    place, e = met.flatten().flatten()
+    text = np.repeat(np.arange(len(batch)), pc.fill_null(pc.list_value_length(met), 0).to_numpy())
+    counted[begin[text] + place.to_numpy()] = e.flatten().to_numpy().reshape(-1, states)
+    return np.split(x, np.cumsum(pc.binary_length(symbols).to_numpy()[:-1] // 2)), counted, classes
+
+
 def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int = STATES, rounds: int = ROUNDS,
                 head: int = HEAD, symbols: int = SYMBOLS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each text."""
@@ -496,23 +534,16 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
 
     def likelihood(batches):
         m = emissions.value
-        known = m.known()
+        emit, level = relative(m.known())
         for batch in slices(batches, "symbols"):
-            sequences, counted, classes, at = [], [], [], m.head
-            for symbols, rest, words_met in zip(*(batch.column(c).to_pylist() for c in ("symbols", "rest", "met"))):
-                x, r = np.frombuffer(symbols, np.uint16).astype(np.int64), np.frombuffer(rest, np.uint32).astype(np.int64)
-                far = r >= m.head
-                size = int(r.max()) + 1 - m.head if far.any() else 0
-                e, c = np.zeros((size, states)), np.zeros(size, np.int64)
-                c[r[far] - m.head] = x[x >= m.own][far] - m.own
-                for w in words_met or ():
-                    e[w["place"]] = w["e"]
-                counted.append(e)
-                classes.append(c)
-                sequences.append(_wide(x, rest, m.own, m.head, at + np.arange(size)))
-                at += size
-            emit = np.concatenate([known, m.others(np.concatenate(counted), np.concatenate(classes))])
-            score = forward(Model(m.model.start, m.model.move, emit), sequences)
+            sequences, counted, classes = _met(batch, m, states)
+            if len(emit) < m.head + len(classes):
+                room = np.empty((m.head + 2 * len(classes), states))
+                room[:m.head], emit = emit[:m.head], room
+                level = np.append(level[:m.head], np.empty(2 * len(classes)))
+            there = slice(m.head, m.head + len(classes))
+            emit[there], level[there] = relative(m.others(counted, classes))
+            score = _forward(m.model, emit, level, sequences)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(score)], [*carried, "score"])
 
     carried = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]

@@ -211,3 +211,46 @@ def test_training_takes_all_of_every_text(spark, monkeypatch):
     for i, t in rows:
         if all(w in number for w in tokens(t)):
             assert got[i].score == pytest.approx(forward(model, [texts[i]])[0], rel=1e-6)
+
+
+def test_met_words_of_a_batch_in_one_pass():
+    import pyarrow as pa
+
+    own, head, states = 4, 6, 2
+    symbols = [[0, 4, 5, 7, 5], [1], [6, 6, 2, 4, 6]]  # from 4 on classes
+    rest = [[4, 6, 7, 6], [], [6, 7, 5, 6]]  # a place in the head, or behind it among the words of the text
+    met = [[{"place": 1, "e": [0.5, 1.5]}], None, [{"place": 1, "e": [2.0, 3.0]}, {"place": 0, "e": [4.0, 5.0]}]]
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("e", pa.list_(pa.float32()))]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([np.array(s, np.uint16).tobytes() for s in [[9], *symbols]]),
+         pa.array([np.array(r, np.uint32).tobytes() for r in [[8], *rest]]), pa.array([met[2], *met], kind)],
+        ["symbols", "rest", "met"]).slice(1)
+    emissions = type("E", (), {"own": own, "head": head})
+    sequences, counted, classes = hmm_lm._met(batch, emissions, states)
+    assert [s.tolist() for s in sequences] == [[0, 4, 6, 7, 6], [1], [8, 9, 2, 5, 8]]
+    assert classes.tolist() == [1, 3, 2, 2]
+    assert counted.tolist() == [[0, 0], [0.5, 1.5], [4, 5], [2, 3]]
+
+
+def test_last_round_makes_emissions_for_the_words_of_its_texts_only(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, " ".join(words(rng, 20, 400))) for i in range(30)]
+    train = docs(spark, rows).selectExpr("doc_id", "false held_out", "text")
+    vocabulary = hmm_lm.build_vocabulary(hmm_lm.count_words(train).cache(), 200, 20)
+    sent = spark.sparkContext.broadcast(vocabulary)
+    encoded = hmm_lm.encode(train, sent).coalesce(1)
+    monkeypatch.setattr(hmm_lm, "LOCAL", 8)
+    model, sizes, real = hmm_lm.start_model(vocabulary.unigram, 3), spark.sparkContext.accumulator(0), expected_counts
+    calls = spark.sparkContext.accumulator(0)
+
+    def watched(model, texts):
+        calls.add(1)
+        sizes.add(max(len(model.emit) - len(set().union(*(t.tolist() for t in texts))), 0))
+        return real(model, texts)
+
+    monkeypatch.setattr(hmm_lm, "expected_counts", watched)
+    got = hmm_lm.word_counts(encoded, model, sent).collect()
+    assert calls.value > 2 and sizes.value == 0
+    want = Counter(w for _, t in rows for w in hmm_lm._tokens(t))
+    assert all(abs(sum(r[f"s{i}"] for i in range(3)) - r["n"]) < 1e-3 for r in got)
+    assert {bytes(r["word"]): r["n"] for r in got if r["word"] is not None}.items() <= want.items()
