@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, release
+from ..session import brief_shuffles, cut_lineage, release
 from .common import crc_fold, most_frequent, slices
 
 HEAD = 1 << 18
@@ -54,6 +54,8 @@ BATCH, BLOCK, HELD = 2048, 1024, 1 << 19
 SCALE = {"float32": 2, "float64": 8}
 #: Rare words a task holds before it reports them.
 LOCAL = 1 << 16
+#: Training tokens a task of the last round counts at least: each task reports most frequent words once.
+TASK_TOKENS = 1 << 22
 #: The end of a text; words hold no line end.
 END = b"\n"
 
@@ -317,8 +319,9 @@ def part_counts(train: DataFrame, model: Model):
             yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(table[used, i].astype(kind)) for i in range(k))], ["i", *states])
 
     named = {"float32": "float", "float64": "double"}[kind.name]
-    sums = (train.select("symbols").mapInArrow(run, "i long, " + ", ".join(f"{s} {named}" for s in states))
-            .groupBy("i").agg(*[F.sum(s).alias(s) for s in states]).toArrow())
+    with brief_shuffles(train.sparkSession):
+        sums = (train.select("symbols").mapInArrow(run, "i long, " + ", ".join(f"{s} {named}" for s in states))
+                .groupBy("i").agg(*[F.sum(s).alias(s) for s in states]).toArrow())
     sent.unpersist()
     if not sums.num_rows:
         return None
@@ -391,7 +394,7 @@ def word_counts(train: DataFrame, model: Model, vocabulary) -> DataFrame:
         used = np.flatnonzero(sums.any(axis=1))
         yield rows(own + used, [None] * len(used), v.classes[used], sums[used])
 
-    return (train.select("symbols", "rest", "others")
+    return (train.select("symbols", "rest", "others").coalesce(-(-vocabulary.value.total // TASK_TOKENS))
             .mapInArrow(run, "i long, word binary, class long, n long, " + ", ".join(f"{s} float" for s in states))
             .groupBy("i", "word", "class").agg(*[F.sum(s).alias(s) for s in ("n", *states)]))
 
@@ -527,7 +530,10 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, states: int
     others = (encoded.select("row", F.posexplode(F.arrays_zip("others", "times")).alias("place", "o"))
               .select("row", "place", F.col("o.others").alias("word"), F.col("o.times").alias("times")))
     seen = F.when(F.col("n").isNotNull(), F.struct("place", "e"))
-    met = others.join(rare, "word", "left").groupBy("row").agg(
+    # Written, so that the words' shuffles and the table of emissions go before whole texts move.
+    found = cut_lineage(others.join(rare, "word", "left").select("row", "place", "times", "n", "e"), "met")
+    release(counts)
+    met = found.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
         F.collect_list(seen).alias("met"))

@@ -254,3 +254,22 @@ def test_last_round_makes_emissions_for_the_words_of_its_texts_only(spark, monke
     want = Counter(w for _, t in rows for w in hmm_lm._tokens(t))
     assert all(abs(sum(r[f"s{i}"] for i in range(3)) - r["n"]) < 1e-3 for r in got)
     assert {bytes(r["word"]): r["n"] for r in got if r["word"] is not None}.items() <= want.items()
+
+
+def test_rounds_leave_no_shuffle_files_and_few_tasks_report_the_head(spark):
+    from test_scratch import new_files, shuffle_files
+
+    rng = random.Random(13)
+    rows = [(i, " ".join(words(rng, 20, 400))) for i in range(30)]
+    train = docs(spark, rows).selectExpr("doc_id", "false held_out", "text")
+    vocabulary = hmm_lm.build_vocabulary(hmm_lm.cut_lineage(hmm_lm.count_words(train)), 200, 20)
+    sent = spark.sparkContext.broadcast(vocabulary)
+    encoded = hmm_lm.cut_lineage(hmm_lm.encode(train, sent).repartition(6))
+    model, before = hmm_lm.start_model(vocabulary.unigram, 3), shuffle_files(spark)
+    assert hmm_lm.part_counts(encoded, model) is not None
+    assert not new_files(spark, before)
+    # 630 tokens are one task's work: each word is reported once, whatever the files.
+    counts = hmm_lm.word_counts(encoded, model, sent)
+    assert "Coalesce 1" in counts._jdf.queryExecution().executedPlan().toString()
+    want = Counter(w for _, t in rows for w in tokens(t))
+    assert {bytes(r["word"]): r["n"] for r in counts.collect() if r["word"] is not None}.items() <= want.items()
